@@ -55,7 +55,6 @@ def tenor_months(tenor: Column) -> Column:
     """Tenor length in months for sorting; text that is no tenor sorts last (infinity)."""
     text = F.trim(tenor)
     pattern = r"^(?i)(\d+(?:\.\d+)?)\s*([DWMY])"
-    amount = F.expr("try_cast(null as double)")
     amount = F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).try_cast("double")
     unit = F.upper(F.regexp_extract(text, pattern, 2))
     months = reduce(
