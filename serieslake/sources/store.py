@@ -122,6 +122,10 @@ class VersionedTable:
         commits = self._commits()
         return commits[-1].version if commits else None
 
+    def committed_at(self, version: int) -> datetime:
+        """When the newest commit of a snapshot was made."""
+        return self._commits(version)[-1].commit_ts
+
     def _record(
         self,
         kind: str,
