@@ -45,7 +45,7 @@ def non_usd_currency(base: Column, quote: Column) -> Column:
 
 def parent_codes(parents: Column) -> Column:
     """Array of parent codes from a pipe-delimited list, blanks removed; empty for NULL."""
-    parts = F.transform(F.split(parents, r"\|"), F.trim)
+    parts = F.transform(F.split(parents, r"\|"), lambda part: F.trim(part))
     return F.coalesce(
         F.filter(parts, lambda part: part != ""), F.array().cast("array<string>")
     )

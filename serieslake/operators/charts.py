@@ -21,8 +21,10 @@ from serieslake.functions.text import day_label, range_label, tenor_months
 from serieslake.operators.reshape import pivot_values
 from serieslake.schema import SERIES_CODE, TIMESTAMP, VALUE
 
-#: Rank error of the quantile sketch that narrows an exact percentile down.
+#: Accuracy of the quantile sketch that narrows an exact percentile down, and the number of
+#: rows from which narrowing pays; below it a series is sorted whole.
 SKETCH_ACCURACY = 10_000
+SKETCH_ROWS = 10 * SKETCH_ACCURACY
 
 
 def _known(frame: DataFrame) -> DataFrame:
@@ -85,7 +87,7 @@ def exact_percentiles(frame: DataFrame, quantiles: Mapping[str, float]) -> DataF
     the values below each bracket, and only the distinct values inside one are sorted.
     """
     known = _known(frame)
-    slack = 2.0 / SKETCH_ACCURACY
+    slack = 3.0 / SKETCH_ACCURACY
     names = list(quantiles)
     low_at = [max(0.0, quantiles[name] - slack) for name in names]
     high_at = [min(1.0, quantiles[name] + slack) for name in names]
@@ -95,6 +97,7 @@ def exact_percentiles(frame: DataFrame, quantiles: Mapping[str, float]) -> DataF
         F.max(VALUE).alias("_max"),
         F.percentile_approx(VALUE, low_at + high_at, SKETCH_ACCURACY).alias("_cuts"),
     )
+    is_small = F.col("_n") <= SKETCH_ROWS
     brackets = sketch.select(
         SERIES_CODE,
         F.array(
@@ -102,10 +105,12 @@ def exact_percentiles(frame: DataFrame, quantiles: Mapping[str, float]) -> DataF
                 F.struct(
                     F.lit(name).alias("name"),
                     (F.lit(quantiles[name]) * (F.col("_n") - 1)).alias("rank"),
-                    (F.col("_min") if low_at[i] <= 0 else F.col("_cuts")[i]).alias("low"),
-                    (F.col("_max") if high_at[i] >= 1 else F.col("_cuts")[i + len(names)]).alias(
-                        "high"
-                    ),
+                    F.when(is_small | F.lit(low_at[i] <= 0), F.col("_min"))
+                    .otherwise(F.col("_cuts")[i])
+                    .alias("low"),
+                    F.when(is_small | F.lit(high_at[i] >= 1), F.col("_max"))
+                    .otherwise(F.col("_cuts")[i + len(names)])
+                    .alias("high"),
                 )
                 for i, name in enumerate(names)
             ]

@@ -33,7 +33,9 @@ def day_list(spark: SparkSession, start: date | datetime | str, end: date | date
         F.lit(str(start)).cast("date").alias("s"), F.lit(str(end)).cast("date").alias("e")
     )
     days = F.when(F.col("s") <= F.col("e"), F.sequence("s", "e", _one_day()))
-    return bounds.select(F.explode(days).cast("timestamp_ntz").alias("day"))
+    return bounds.select(F.explode(days).alias("d")).select(
+        F.col("d").cast("timestamp_ntz").alias("day")
+    )
 
 
 def business_days(frame: DataFrame, keys: Sequence[str] = (SERIES_CODE,)) -> DataFrame:
@@ -41,9 +43,10 @@ def business_days(frame: DataFrame, keys: Sequence[str] = (SERIES_CODE,)) -> Dat
     bounds = frame.groupBy(*keys).agg(
         F.min(TIMESTAMP).cast("date").alias("s"), F.max(TIMESTAMP).cast("date").alias("e")
     )
-    return bounds.select(
-        *keys, F.explode(F.sequence("s", "e", _one_day())).cast("timestamp_ntz").alias("day")
-    ).filter(is_business_day(F.col("day")))
+    days = bounds.select(*keys, F.explode(F.sequence("s", "e", _one_day())).alias("d"))
+    return days.filter(is_business_day(F.col("d"))).select(
+        *keys, F.col("d").cast("timestamp_ntz").alias("day")
+    )
 
 
 def year_months(frame: DataFrame, keys: Sequence[str] = (SERIES_CODE,)) -> DataFrame:

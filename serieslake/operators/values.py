@@ -40,6 +40,12 @@ def order_key(*columns: Column | str) -> Column:
     return parts[0] if len(parts) == 1 else F.struct(*parts)
 
 
+def time_order(frame: DataFrame) -> Column:
+    """Order of a series' rows in time, repeats by save order. A frame that records no save
+    order must hold one row per (series, timestamp)."""
+    return order_key(TIMESTAMP, *save_order(frame))
+
+
 def select_codes(frame: DataFrame, codes: DataFrame | Sequence[str]) -> DataFrame:
     """Rows of the given series.
 

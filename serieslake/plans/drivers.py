@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from serieslake.functions.dates import parse_timestamp
 from serieslake.functions.numeric import is_finite, log_level
 from serieslake.functions.text import non_usd_leg
-from serieslake.operators.periods import conform_to_business_days, daily_last
+from serieslake.operators.periods import conform_to_business_days
 from serieslake.operators.quality import Rule, freshness, out_of_range
 from serieslake.operators.rolling import realized_volatility
-from serieslake.operators.values import select_codes
+from serieslake.operators.values import select_codes, time_order
 from serieslake.plans.universes import (
     BUY_SELL_SERIES,
     CHINA_DRIVERS,
@@ -128,6 +128,12 @@ def flows_cutover(catalog: DataFrame) -> date:
     return ends[0]["d"]
 
 
+def flows_complete(values: DataFrame) -> bool:
+    """Whether each of the six flow series has some value: without one there is no driver."""
+    rows = select_codes(values, list(FLOWS.values())).filter(F.col(VALUE).isNotNull())
+    return rows.select(SERIES_CODE).distinct().count() == len(FLOWS)
+
+
 def driver_formulas(cutover: date | None) -> dict[str, Column]:
     """Driver columns over the slots. A missing input makes its driver NULL; nothing is ever
     substituted for it."""
@@ -141,7 +147,7 @@ def driver_formulas(cutover: date | None) -> dict[str, Column]:
         flows = F.lit(None).cast("double")
     else:
         by_regime = F.when(c("day") < F.lit(cutover), net).otherwise(turnover)
-        flows = F.when(is_chn & c("has_flows"), by_regime)
+        flows = F.when(is_chn, by_regime)
     return {
         "interest_rate_differential": c("base_swap") - c("quote_swap"),
         "yield_curve_or_cds": F.when(is_g10, curve).otherwise(c("cds")),
@@ -161,31 +167,24 @@ def raw_driver_frame(
     """(series_code, universe, day, rate, drivers...) on the days any input has a value.
 
     Each input series is read once for the whole run and joined to the pairs that use it; the
-    mapping is the small side. Series shared by every pair fan out only inside the map side of
-    one aggregate on (pair, day), which no single pair or series can skew.
+    mapping is the small side, so the join filters and fans out on the map side. One aggregate
+    on (pair, day) then takes the day's last value of every slot: no single pair or series can
+    skew it, however many pairs share a series.
     """
-    daily = daily_last(select_codes(values, required_series(mapping))).withColumnRenamed(
-        SERIES_CODE, SOURCE_CODE
-    )
-    slots = [F.max(F.when(F.col("slot") == slot, F.col(VALUE))).alias(slot) for slot in SLOTS]
+    present = values.filter(F.col(VALUE).isNotNull()).withColumnRenamed(SERIES_CODE, SOURCE_CODE)
+    order = time_order(present)
+    slots = [F.max_by(VALUE, F.when(F.col("slot") == slot, order)).alias(slot) for slot in SLOTS]
     wide = (
-        daily.join(mapping, SOURCE_CODE)
+        present.join(mapping, SOURCE_CODE)
         .groupBy(SERIES_CODE, "universe", F.col(TIMESTAMP).cast("date").alias("day"))
         .agg(*slots)
     )
-    if cutover is not None:
-        # Flows exist for a pair only when each of their six series has some value.
-        present = wide.filter(F.col("universe") == CHN).groupBy(SERIES_CODE).agg(
-            *[F.count(slot).alias(slot) for slot in FLOWS]
-        )
-        enough = F.lit(True)
-        for slot in FLOWS:
-            enough = enough & (F.col(slot) > 0)
-        present = present.select(SERIES_CODE, enough.alias("has_flows"))
-        wide = wide.join(present, SERIES_CODE, "left")
-    formulas = driver_formulas(cutover)
     return wide.select(
-        SERIES_CODE, "universe", "day", RATE, *[f.alias(name) for name, f in formulas.items()]
+        SERIES_CODE,
+        "universe",
+        "day",
+        RATE,
+        *[formula.alias(name) for name, formula in driver_formulas(cutover).items()],
     )
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from serieslake.api import DataAPI
 from serieslake.operators.quality import drop_failing, failing_keys, gate
 from serieslake.operators.periods import last_days
-from serieslake.operators.values import select_codes
 from serieslake.plans import discovery, drivers, estimation, results, signals
 from serieslake.plans.universes import CHN, UNIVERSES, Universe
 from serieslake.schema import SERIES_CODE, InsufficientDataError
@@ -92,14 +91,9 @@ class FitResults:
 
 def resolve_cutover(universe: Universe, catalog: DataFrame, values: DataFrame) -> date | None:
     """Regime change of the flows driver; only China needs one, and only if it has flows."""
-    if universe.name != CHN:
-        return None
-    try:
-        return drivers.flows_cutover(catalog)
-    except ValueError:
-        if not select_codes(values, list(drivers.FLOWS.values())).isEmpty():
-            raise
+    if universe.name != CHN or not drivers.flows_complete(values):
         return None
+    return drivers.flows_cutover(catalog)
 
 
 def pair_features(

@@ -24,7 +24,7 @@ VALS = """vals AS (
   FROM orders)"""
 PANEL = """panel AS (
   SELECT l_returnflag || '_' || l_linestatus AS series_code, l_shipdate AS "timestamp",
-         avg(l_extendedprice) AS "value"
+         avg(l_extendedprice) / 1.03 AS "value"
   FROM lineitem GROUP BY 1, 2)"""
 SPARSE = """sparse AS (
   SELECT o_orderpriority AS series_code, o_orderdate AS "timestamp", o_totalprice AS "value",

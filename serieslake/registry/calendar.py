@@ -110,13 +110,13 @@ def resample_month_end(spark, folder):
 @query(
     "month_window",
     views(PANEL)
-    + """SELECT series_code, "timestamp", round("value", 6) + 0 AS "value" FROM panel
+    + """SELECT series_code, "timestamp", round("value", 4) + 0 AS "value" FROM panel
     WHERE "timestamp" > TIMESTAMP '2000-05-31' - INTERVAL 3 MONTH
       AND "timestamp" <= '2000-05-31'""",
 )
 def month_window(spark, folder):
     rows = periods.month_window(t.panel(spark, folder), "2000-05-31", 3)
-    return rows.withColumn(VALUE, rounded(VALUE))
+    return rows.withColumn(VALUE, rounded(VALUE, 4))
 
 
 @query(

@@ -35,7 +35,7 @@ def ohlc_weekly(spark, folder):
     "seasonality_month",
     views(SPARSE, last_wins_sql("sparse"))
     + """SELECT series_code, year("timestamp") AS "year", month("timestamp") - 1 AS slot,
-       round(avg("value"), 6) + 0 AS mean FROM sparse_last GROUP BY 1, 2, 3""",
+       round(avg("value") / 1.03, 4) + 0 AS mean FROM sparse_last GROUP BY 1, 2, 3""",
 )
 def seasonality_month(spark, folder):
     return _season(spark, folder, "month")
@@ -45,7 +45,7 @@ def seasonality_month(spark, folder):
     "seasonality_dow",
     views(SPARSE, last_wins_sql("sparse"))
     + """SELECT series_code, year("timestamp") AS "year", isodow("timestamp") - 1 AS slot,
-       round(avg("value"), 6) + 0 AS mean FROM sparse_last GROUP BY 1, 2, 3""",
+       round(avg("value") / 1.03, 4) + 0 AS mean FROM sparse_last GROUP BY 1, 2, 3""",
 )
 def seasonality_dow(spark, folder):
     return _season(spark, folder, "dayofweek")
@@ -55,7 +55,7 @@ def _season(spark, folder, period):
     rows = charts.seasonality(last_wins(t.sparse(spark, folder)), period)
     return rows.select(
         SERIES_CODE, F.col("year").cast("bigint").alias("year"),
-        F.col("slot").cast("bigint").alias("slot"), rounded("mean").alias("mean"),
+        F.col("slot").cast("bigint").alias("slot"), rounded(F.col("mean") / 1.03, 4).alias("mean"),
     )
 
 
@@ -144,13 +144,13 @@ def calendar_values(spark, folder):
 @query(
     "scatter_pairs",
     views(PANEL)
-    + """SELECT a."timestamp", round(a."value", 6) AS x, round(b."value", 6) AS y
+    + """SELECT a."timestamp", round(a."value", 4) AS x, round(b."value", 4) AS y
     FROM panel a JOIN panel b ON a."timestamp" = b."timestamp"
     WHERE a.series_code = 'A_F' AND b.series_code = 'R_O'""",
 )
 def scatter_pairs(spark, folder):
     rows = charts.scatter_pairs(t.panel(spark, folder), "A_F", "R_O")
-    return rows.select(TIMESTAMP, rounded("x").alias("x"), rounded("y").alias("y"))
+    return rows.select(TIMESTAMP, rounded("x", 4).alias("x"), rounded("y", 4).alias("y"))
 
 
 TENOR_CATALOG = f"""tenors AS (
@@ -203,13 +203,13 @@ def term_structure(spark, folder):
     "seasonality_lines",
     views(PANEL)
     + """SELECT series_code, month("timestamp") - 1 AS slot,
-       round(avg(CASE WHEN year("timestamp") = 1998 THEN "value" END), 6) + 0 AS y1998,
-       round(avg(CASE WHEN year("timestamp") = 1999 THEN "value" END), 6) + 0 AS y1999
+       round(avg(CASE WHEN year("timestamp") = 1998 THEN "value" END), 4) + 0 AS y1998,
+       round(avg(CASE WHEN year("timestamp") = 1999 THEN "value" END), 4) + 0 AS y1999
     FROM panel GROUP BY 1, 2""",
 )
 def seasonality_lines(spark, folder):
     rows = charts.seasonality_lines(t.panel(spark, folder), [1998, 1999])
     return rows.select(
         SERIES_CODE, F.col("slot").cast("bigint").alias("slot"),
-        rounded("1998").alias("y1998"), rounded("1999").alias("y1999"),
+        rounded("1998", 4).alias("y1998"), rounded("1999", 4).alias("y1999"),
     )

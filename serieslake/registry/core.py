@@ -257,7 +257,7 @@ def source_aliases(spark, folder):
     return _routed_catalog(spark, folder).groupBy(source).agg(F.count("*").alias("n"))
 
 
-def _cells(codes, table="panel", digits=6):
+def _cells(codes, digits=4):
     return ", ".join(
         f"round(max(CASE WHEN series_code = '{c}' THEN \"value\" END), {digits}) + 0 AS \"{c}\""
         for c in codes
@@ -270,7 +270,7 @@ def _cells(codes, table="panel", digits=6):
 )
 def pivot_values(spark, folder):
     wide = reshape.pivot_values(t.panel(spark, folder), t.PANEL_CODES)
-    return wide.select(TIMESTAMP, *[rounded(f"`{c}`").alias(c) for c in t.PANEL_CODES])
+    return wide.select(TIMESTAMP, *[rounded(f"`{c}`", 4).alias(c) for c in t.PANEL_CODES])
 
 
 @query(
@@ -280,7 +280,7 @@ def pivot_values(spark, folder):
 )
 def pivot_last_wins(spark, folder):
     wide = reshape.pivot_values(t.sparse(spark, folder), t.PRIORITIES)
-    return wide.select(TIMESTAMP, *[rounded(f"`{c}`").alias(c) for c in t.PRIORITIES])
+    return wide.select(TIMESTAMP, *[rounded(f"`{c}`", 4).alias(c) for c in t.PRIORITIES])
 
 
 @query(
@@ -411,12 +411,12 @@ def _formula_sql(kind):
     known = " AND ".join(f"{c} IS NOT NULL" for c in PARENTS[kind])
     return (
         f"SELECT 'D_{kind}' AS series_code, \"timestamp\", "
-        f'round({FORMULAS[kind]}, 6) + 0 AS "value" FROM wide WHERE {known}'
+        f'round({FORMULAS[kind]}, 4) + 0 AS "value" FROM wide WHERE {known}'
     )
 
 
 LOG_SELECT = (
-    "SELECT 'D_LOG' AS series_code, \"timestamp\", round(v, 6) + 0 AS \"value\" "
+    "SELECT 'D_LOG' AS series_code, \"timestamp\", round(v, 4) + 0 AS \"value\" "
     "FROM log_vol WHERE n = 21"
 )
 
@@ -426,7 +426,7 @@ def _derive(kinds):
         result = derived.derive_series(
             t.panel(spark, folder), t.dependencies(spark, folder, kinds)
         )
-        return result.withColumn(VALUE, rounded(VALUE))
+        return result.withColumn(VALUE, rounded(VALUE, 4))
 
     return run
 
@@ -513,7 +513,7 @@ def parsed_parents(spark, folder):
 
 QUOTES = """quotes AS (
   SELECT n_name AS ticker, date_trunc('month', o_orderdate) AS "timestamp",
-         round(avg(o_totalprice), 4) AS "value"
+         round(avg(o_totalprice) / 1.03, 4) AS "value"
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   GROUP BY 1, 2)"""
 
@@ -524,7 +524,7 @@ def _quotes(spark, folder):
         t.catalog(spark, folder).select(SERIES_CODE, "currency"), SERIES_CODE
     )
     month = floor_day(F.date_trunc("month", TIMESTAMP)).alias(TIMESTAMP)
-    return priced.groupBy(nation, month).agg(F.round(F.avg(VALUE), 4).alias(VALUE))
+    return priced.groupBy(nation, month).agg(F.round(F.avg(VALUE) / 1.03, 4).alias(VALUE))
 
 
 @query(

@@ -27,6 +27,7 @@ from serieslake.plans.universes import (
 from serieslake.registry import tables as t
 from serieslake.registry.base import query, rounded, views
 from serieslake.schema import SERIES_CODE
+from serieslake.session import cut_lineage
 
 CCY = """CASE n_nationkey WHEN 0 THEN 'USD' WHEN 2 THEN 'CNH'
   ELSE 'N' || chr(65 + n_nationkey // 5) || chr(65 + n_nationkey % 5) END"""
@@ -68,8 +69,8 @@ fxcat AS (
     'Local', 'True', NULL FROM supplier JOIN nat ON s_nationkey = k)"""
 _FLOW_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in t.FLOW_CODES.items())
 FX_VALUES = f"""nd AS (
-  SELECT s_nationkey AS n_nationkey, l_shipdate AS d, avg(l_extendedprice) * 1e-4 AS px,
-         avg(l_discount) * 100 AS sw, avg(l_tax) * 100 AS m3, avg(l_quantity) * 0.1 AS y10,
+  SELECT s_nationkey AS n_nationkey, l_shipdate AS d, avg(l_extendedprice) / 9973 AS px,
+         avg(l_discount) / 0.0103 AS sw, avg(l_tax) / 0.0097 AS m3, avg(l_quantity) / 10.3 AS y10,
          max(l_quantity) AS cds, sum(l_extendedprice) / 1000 AS eq
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2),
 fxval AS (
@@ -82,10 +83,10 @@ fxval AS (
   UNION ALL SELECT CASE l_returnflag || '_' || l_linestatus {_FLOW_CASE} END, l_shipdate,
     sum(l_quantity) FROM lineitem GROUP BY 1, 2
   UNION ALL SELECT CASE l_returnflag WHEN 'R' THEN 'OFFSHORE_SPREAD_PX_LAST'
-    ELSE 'ONSHORE_SPREAD_PX_LAST' END, l_shipdate, avg(l_discount) * 100
+    ELSE 'ONSHORE_SPREAD_PX_LAST' END, l_shipdate, avg(l_discount) / 0.0103
     FROM lineitem WHERE l_returnflag IN ('R', 'N') GROUP BY 1, 2
-  UNION ALL SELECT 'MXWO_PX_LAST', l_shipdate, avg(l_extendedprice) FROM lineitem GROUP BY 1, 2
-  UNION ALL SELECT 'BRENT_PX_LAST', o_orderdate, avg(o_totalprice) / 1000 FROM orders GROUP BY 1, 2)"""
+  UNION ALL SELECT 'MXWO_PX_LAST', l_shipdate, avg(l_extendedprice) / 1.03 FROM lineitem GROUP BY 1, 2
+  UNION ALL SELECT 'BRENT_PX_LAST', o_orderdate, avg(o_totalprice) / 997 FROM orders GROUP BY 1, 2)"""
 
 ROLE_CASE = """CASE WHEN sub_asset_class = 'Interest Rate Swap' AND tenor = '2Y' THEN 'swap_2y'
   WHEN sub_asset_class = 'Money Market Rate' AND tenor = '3M' THEN 'rate_3m'
@@ -365,7 +366,7 @@ def silver_frame(spark, folder):
     "stale_pairs",
     views(*REPORT_VIEWS, FX_VALUES, MAPPING, RAW)
     + """SELECT series_code, max(d) FILTER (rate IS NOT NULL)::TIMESTAMP AS latest FROM raw GROUP BY 1
-    HAVING date_diff('day', max(d) FILTER (rate IS NOT NULL), DATE '2001-11-06') > 3""",
+    HAVING coalesce(date_diff('day', max(d) FILTER (rate IS NOT NULL), DATE '2001-11-06') > 3, true)""",
 )
 def stale_pairs(spark, folder):
     rows = drivers.stale_pairs(_raw(spark, folder), F.lit("2001-11-06").cast("timestamp_ntz"))
@@ -513,22 +514,12 @@ def ols_rolling(spark, folder):
     )
 
 
-def _solved(spark, folder, universe):
-    features = drivers.build_features(
-        drivers.conform_drivers(_raw(spark, folder).filter(F.col("universe") == universe.name)),
-        {universe.name: universe},
-    )
-    return features, estimation.estimate(features, universe)
-
-
 @query("ols_multi")
 def ols_multi(spark, folder):
     """Five- and seven-driver fits with sign check at each pair's newest day. Checked against
     row-level least squares in the tests."""
-    parts = []
-    for universe in (FX_G10, FX_EM, FX_CHN):
-        _, solved = _solved(spark, folder, universe)
-        parts.append(solved)
+    features = cut_lineage(_features(spark, folder), "features")
+    parts = [estimation.estimate(features, universe) for universe in (FX_G10, FX_EM, FX_CHN)]
     return parts[0].unionByName(parts[1], True).unionByName(parts[2], True)
 
 
@@ -558,7 +549,8 @@ def fair_value_signals(spark, folder):
 
 @query("design_matrix")
 def design_matrix(spark, folder):
-    features, solved = _solved(spark, folder, FX_G10)
+    features = cut_lineage(_features(spark, folder), "features")
+    solved = cut_lineage(estimation.estimate(features, FX_G10), "estimates")
     return estimation.design_rows(features, solved, FX_G10)
 
 
@@ -578,7 +570,7 @@ ESTIMATES = """est AS (
     o_orderdate AS as_of, o_orderkey AS _seq, o_orderkey % 4 = 0 AS is_logged,
     (c_acctbal - 4321.123) / 2203.7 AS z_score,
     CASE WHEN o_orderkey % 4 = 0 THEN ln(o_totalprice) ELSE o_totalprice END AS fitted_value,
-    o_totalprice * 1.07 AS current_rate, o_orderkey % 100 < 60 AS cointegration_passed,
+    o_totalprice / 0.93 AS current_rate, o_orderkey % 100 < 60 AS cointegration_passed,
     (o_orderkey % 100) / 1000.0 AS cointegration_p_value,
     CASE WHEN o_orderkey % 5 = 0 THEN 'local_equity,commodity' ELSE '' END AS dropped_variables
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
@@ -614,7 +606,7 @@ def _estimates(spark, folder):
             F.when(key % 4 == 0, F.ln("o_totalprice"))
             .otherwise(F.col("o_totalprice"))
             .alias("fitted_value"),
-            (F.col("o_totalprice") * 1.07).alias("current_rate"),
+            (F.col("o_totalprice") / 0.93).alias("current_rate"),
             (key % 100 < 60).alias("cointegration_passed"),
             ((key % 100) / 1000.0).alias("cointegration_p_value"),
             F.when(key % 5 == 0, "local_equity,commodity").otherwise("").alias("dropped_variables"),
@@ -670,13 +662,13 @@ def latest_per_pair(spark, folder):
         for p in t.PRIORITIES
     )
     + """ FROM (SELECT o_orderpriority AS series_code, o_orderdate AS as_of,
-      max(o_totalprice) / 1e5 AS z FROM orders GROUP BY 1, 2) GROUP BY 1""",
+      max(o_totalprice) / 99991 AS z FROM orders GROUP BY 1, 2) GROUP BY 1""",
 )
 def panel_z(spark, folder):
     rows = (
         t.load(spark, folder, "orders")
         .groupBy(F.col("o_orderpriority").alias(SERIES_CODE), F.col("o_orderdate").alias("as_of"))
-        .agg((F.max("o_totalprice") / 1e5).alias("z_score"))
+        .agg((F.max("o_totalprice") / 99991).alias("z_score"))
     )
     wide = results.panel(rows, "z_score", t.PRIORITIES)
     return wide.select("as_of", *[rounded(f"`{p}`").alias(p) for p in t.PRIORITIES])
