@@ -20,6 +20,7 @@ from serieslake.functions.dates import period_label
 from serieslake.functions.text import day_label, range_label, tenor_months
 from serieslake.operators.reshape import pivot_values
 from serieslake.schema import SERIES_CODE, TIMESTAMP, VALUE
+from serieslake.session import cut_lineage
 
 #: Accuracy of the quantile sketch that narrows an exact percentile down, and the number of
 #: rows from which narrowing pays; below it a series is sorted whole.
@@ -48,7 +49,9 @@ def histogram(frame: DataFrame, bins: int = 20) -> DataFrame:
     A series of one repeated value gets a range of one around it. The last bin is closed.
     """
     known = _known(frame)
-    limits = known.groupBy(SERIES_CODE).agg(F.min(VALUE).alias("a"), F.max(VALUE).alias("b"))
+    ends = known.groupBy(SERIES_CODE).agg(F.min(VALUE).alias("a"), F.max(VALUE).alias("b"))
+    # Written out: its real size then lets the join with the values avoid a shuffle.
+    limits = cut_lineage(ends, "limits")
     flat = F.col("a") == F.col("b")
     limits = limits.select(
         SERIES_CODE,
@@ -97,6 +100,7 @@ def exact_percentiles(frame: DataFrame, quantiles: Mapping[str, float]) -> DataF
         F.max(VALUE).alias("_max"),
         F.percentile_approx(VALUE, low_at + high_at, SKETCH_ACCURACY).alias("_cuts"),
     )
+    sketch = cut_lineage(sketch, "sketch")
     is_small = F.col("_n") <= SKETCH_ROWS
     brackets = sketch.select(
         SERIES_CODE,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from serieslake.functions.numeric import safe_ratio
 from serieslake.functions.text import parent_codes
+from serieslake.operators.joins import small_side
 from serieslake.operators.rolling import log_return_volatility
 from serieslake.operators.values import order_key, save_order
 from serieslake.schema import (
@@ -107,7 +108,7 @@ def align_parents(values: DataFrame, dependencies: DataFrame) -> DataFrame:
         for i in range(widest)
     ]
     aligned = (
-        present.join(edges, SERIES_CODE)
+        present.join(small_side(edges), SERIES_CODE)
         .groupBy("derived_code", CALC_TYPE, "parent_count", TIMESTAMP)
         .agg(*slots)
     )

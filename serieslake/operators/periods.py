@@ -16,7 +16,7 @@ from serieslake.functions.dates import (
     period_label,
 )
 from serieslake.operators.rolling import forward_fill
-from serieslake.operators.values import order_key, save_order
+from serieslake.operators.values import time_order
 from serieslake.schema import SERIES_CODE, TIMESTAMP, VALUE
 
 #: Longest gap, in business days, that conforming fills.
@@ -71,11 +71,10 @@ def dates_by_month(days: DataFrame, day: str = "day", keys: Sequence[str] = ())
 def daily_last(frame: DataFrame) -> DataFrame:
     """One value per (series, day): the last non-NULL one by timestamp, then save order."""
     day = floor_day(F.col(TIMESTAMP))
-    order = order_key(TIMESTAMP, *(save_order(frame) or [VALUE]))
     return (
         frame.filter(F.col(VALUE).isNotNull())
         .groupBy(SERIES_CODE, day.alias("_day"))
-        .agg(F.max_by(VALUE, order).alias(VALUE))
+        .agg(F.max_by(VALUE, time_order(frame)).alias(VALUE))
         .select(SERIES_CODE, F.col("_day").alias(TIMESTAMP), VALUE)
     )
 
@@ -139,11 +138,10 @@ def conform_series(frame: DataFrame, *, max_fill_days: int = MAX_FILL_DAYS) -> D
 
 def resample_last(frame: DataFrame, freq: str = "W") -> DataFrame:
     """Last value of each period, labelled by the period."""
-    order = order_key(TIMESTAMP, *(save_order(frame) or [VALUE]))
     return (
         frame.filter(F.col(VALUE).isNotNull())
         .groupBy(SERIES_CODE, period_label(F.col(TIMESTAMP), freq).alias("period"))
-        .agg(F.max_by(VALUE, order).alias(VALUE))
+        .agg(F.max_by(VALUE, time_order(frame)).alias(VALUE))
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from serieslake.functions.dates import floor_day
+from serieslake.operators.joins import small_side
 from serieslake.operators.values import last_wins, order_key, save_order
 from serieslake.schema import (
     SERIES_CODE,
@@ -81,7 +82,7 @@ def relabel(
 ) -> DataFrame:
     """Long rows with a catalog attribute in place of the series code column's role."""
     labels = catalog.select(code, F.col(label).alias("_label")).filter("_label IS NOT NULL")
-    return frame.join(labels.distinct(), code).withColumnRenamed("_label", label)
+    return frame.join(small_side(labels.distinct()), code).withColumnRenamed("_label", label)
 
 
 def matrix_by_label(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from serieslake.functions.text import canonical_source
+from serieslake.operators.joins import small_side
 from serieslake.schema import (
     DEFAULT_SOURCE,
     SEQ,
@@ -47,13 +48,14 @@ def time_order(frame: DataFrame) -> Column:
 
 
 def select_codes(frame: DataFrame, codes: DataFrame | Sequence[str]) -> DataFrame:
-    """Rows of the given series.
+    """Rows of the given series: a list, or a table with a code column (repeats do no harm).
 
-    A table of codes is semi-joined without a hint: adaptive execution broadcasts it when its
-    measured size allows, and splits the partition of a hot series when it does not.
+    A table of codes is semi-joined: sent to every executor when counted small, so that values
+    are filtered where they are read; otherwise shuffled, with hot series split.
     """
     if isinstance(codes, DataFrame):
-        return frame.join(codes.select(SERIES_CODE).distinct(), SERIES_CODE, "left_semi")
+        wanted = small_side(codes.select(SERIES_CODE))
+        return frame.join(wanted, SERIES_CODE, "left_semi")
     if not codes:
         raise SeriesCodesRequiredError("at least one series code is needed")
     return frame.filter(F.col(SERIES_CODE).isin(list(codes)))
@@ -177,4 +179,4 @@ def route_by_default_source(
         codes = [row[SERIES_CODE] for row in bad.limit(5).collect()]
         if codes:
             raise InvalidQueryError(f"missing or invalid {DEFAULT_SOURCE} for series: {codes}")
-    return values.join(routed.distinct(), [SERIES_CODE, TICKER_SOURCE], "left_semi")
+    return values.join(small_side(routed.distinct()), [SERIES_CODE, TICKER_SOURCE], "left_semi")

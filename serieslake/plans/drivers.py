@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from serieslake.functions.dates import parse_timestamp
 from serieslake.functions.numeric import is_finite, log_level
 from serieslake.functions.text import non_usd_leg
-from serieslake.operators.periods import conform_to_business_days
+from serieslake.operators.joins import small_side
+from serieslake.operators.periods import conform_to_business_days, daily_last
 from serieslake.operators.quality import Rule, freshness, out_of_range
 from serieslake.operators.rolling import realized_volatility
-from serieslake.operators.values import select_codes, time_order
+from serieslake.operators.values import select_codes
 from serieslake.plans.universes import (
     BUY_SELL_SERIES,
     CHINA_DRIVERS,
@@ -166,16 +167,17 @@ def raw_driver_frame(
 ) -> DataFrame:
     """(series_code, universe, day, rate, drivers...) on the days any input has a value.
 
-    Each input series is read once for the whole run and joined to the pairs that use it; the
-    mapping is the small side, so the join filters and fans out on the map side. One aggregate
-    on (pair, day) then takes the day's last value of every slot: no single pair or series can
-    skew it, however many pairs share a series.
+    Each input series is read once for the whole run: values are filtered by the mapping, the
+    small side, where they are read, and reduced to one per (series, day), keys no hot series
+    can skew. Only then are they fanned out to the pairs that use them and lined up per
+    (pair, day).
     """
-    present = values.filter(F.col(VALUE).isNotNull()).withColumnRenamed(SERIES_CODE, SOURCE_CODE)
-    order = time_order(present)
-    slots = [F.max_by(VALUE, F.when(F.col("slot") == slot, order)).alias(slot) for slot in SLOTS]
+    small = small_side(mapping)
+    needed = values.join(small.select(F.col(SOURCE_CODE).alias(SERIES_CODE)), SERIES_CODE, "left_semi")
+    daily = daily_last(needed).withColumnRenamed(SERIES_CODE, SOURCE_CODE)
+    slots = [F.max(F.when(F.col("slot") == slot, F.col(VALUE))).alias(slot) for slot in SLOTS]
     wide = (
-        present.join(mapping, SOURCE_CODE)
+        daily.join(small, SOURCE_CODE)
         .groupBy(SERIES_CODE, "universe", F.col(TIMESTAMP).cast("date").alias("day"))
         .agg(*slots)
     )

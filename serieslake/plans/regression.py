@@ -156,17 +156,16 @@ def unit_root_test(series: np.ndarray) -> UnitRoot:
     if longest < 0 or np.ptp(series) == 0.0:
         return UnitRoot(math.nan, math.nan, 0, total)
     changes, levels = np.diff(series), series[:-1]
-    everything = _lag_design(changes, levels, longest)
     target = changes[longest:]
     n = len(target)
-
-    def criterion(lags: int) -> float:
-        fit = least_squares(target, everything[:, : lags + 1])
-        if fit.sse <= 0.0:
-            return -math.inf
-        return n * math.log(fit.sse / n) + math.log(n) * (lags + 2)
-
-    lags = min(range(longest + 1), key=criterion)
+    # Candidate designs are nested, so one orthogonal basis gives every sum of squared errors.
+    design = np.column_stack([np.ones(n), _lag_design(changes, levels, longest)])
+    basis, _ = np.linalg.qr(design)
+    explained = np.cumsum((basis.T @ target) ** 2)
+    errors = np.maximum(float(target @ target) - explained[1:], 0.0)
+    with np.errstate(divide="ignore"):
+        criteria = n * np.log(errors / n) + math.log(n) * np.arange(2, longest + 3)
+    lags = int(np.argmin(criteria))
     fit = least_squares(changes[lags:], _lag_design(changes, levels, lags))
     with np.errstate(divide="ignore", invalid="ignore"):
         statistic = float(fit.beta[1] / fit.standard_errors()[1])

@@ -8,6 +8,7 @@ from serieslake.functions.dates import floor_day
 from serieslake.functions.text import canonical_source, parent_codes
 from serieslake.operators import catalog as cat
 from serieslake.operators import derived, quality, reshape, values
+from serieslake.operators.joins import small_side
 from serieslake.registry import tables as t
 from serieslake.registry.base import (
     CATALOG,
@@ -38,7 +39,7 @@ SEGMENTS = {"asset_class": ["BUILDING", "MACHINERY"], "region": ["ASIA", "EUROPE
     WHERE r = 1""",
 )
 def last_value(spark, folder):
-    codes = cat.series_codes(cat.include(t.catalog(spark, folder), ASIA_EUROPE))
+    codes = cat.include(t.catalog(spark, folder), ASIA_EUROPE)
     rows = values.scan(
         t.values(spark, folder), codes=codes, start="1996-01-01", end="2000-12-31"
     )
@@ -63,7 +64,7 @@ def last_value_by_source(spark, folder):
     WHERE series_code IN (SELECT series_code FROM catalog WHERE region IN ('ASIA', 'EUROPE'))""",
 )
 def value_scan(spark, folder):
-    codes = cat.series_codes(cat.include(t.catalog(spark, folder), ASIA_EUROPE))
+    codes = cat.include(t.catalog(spark, folder), ASIA_EUROPE)
     return values.scan(t.values(spark, folder), codes=codes).drop(SEQ)
 
 
@@ -204,7 +205,7 @@ def group_series(spark, folder):
     keyed = cat.group_series(t.catalog(spark, folder), ["asset_class", "rating"])
     return (
         t.values(spark, folder)
-        .join(keyed, SERIES_CODE)
+        .join(small_side(keyed), SERIES_CODE)
         .groupBy("asset_class", "rating")
         .agg(
             F.count_distinct(SERIES_CODE).alias("series"),

@@ -8,8 +8,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -189,78 +187,95 @@ def fx_catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fx_values(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily values of the currency world, all from one aggregate over the line items."""
-    lines = (
-        load(spark, folder, "lineitem")
-        .join(load(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("s_nationkey", "l_returnflag", "l_linestatus", F.col("l_shipdate").alias("day"))
+    """Daily values of the currency world, all from one scan of the line items.
+
+    Lines are first added up per nation, flag, status and day, a number of groups only the
+    calendar bounds. Each group then counts towards its nation, its flag and status, its flag,
+    and the world: one more aggregate, over a group number.
+    """
+    nation = F.col("s_nationkey")
+    flag = F.position(F.col("l_returnflag"), F.lit("ANR"))
+    status = F.position(F.col("l_linestatus"), F.lit("FO"))
+    flow_base, basis_base, world_group = 1_000_000, 2_000_000, 3_000_000
+    groups = F.array(nation, flow_base + flag * 10 + status, basis_base + flag, F.lit(world_group))
+    sums = {
+        "price": "l_extendedprice",
+        "discount": "l_discount",
+        "tax": "l_tax",
+        "quantity": "l_quantity",
+    }
+    cells = (
+        supplied_lines(spark, folder)
+        .groupBy(nation, "l_returnflag", "l_linestatus", F.col("l_shipdate").alias(TIMESTAMP))
         .agg(
             F.count("*").alias("n"),
-            F.sum("l_extendedprice").alias("price"),
-            F.sum("l_discount").alias("discount"),
-            F.sum("l_tax").alias("tax"),
-            F.sum("l_quantity").alias("quantity"),
             F.max("l_quantity").alias("top"),
+            *[F.sum(column).alias(name) for name, column in sums.items()],
         )
     )
-    ccy = currency_code(F.col("s_nationkey"))
-
-    def mean(column: str, unit: float = 1.0) -> Column:
-        return F.sum(column) / F.sum("n") / unit
-
-    def long(frame: DataFrame, entries: list[Column]) -> DataFrame:
-        return (
-            frame.select("day", F.explode(F.array_compact(F.array(*entries))).alias("e"))
-            .select("e.code", "day", "e.v")
-            .toDF(SERIES_CODE, TIMESTAMP, VALUE)
+    lines = (
+        cells.select("*", F.explode(groups).alias("g"))
+        .groupBy("g", TIMESTAMP)
+        .agg(
+            F.sum("n").alias("n"),
+            F.max("top").alias("top"),
+            *[F.sum(name).alias(name) for name in sums],
         )
-
-    def entry(code: Column, value: str) -> Column:
-        return F.struct(code.alias("code"), F.col(value).alias("v"))
-
-    nations = lines.groupBy("s_nationkey", "day").agg(
-        mean("price", 9973.0).alias("px"),
-        mean("discount", 0.0103).alias("swap"),
-        mean("tax", 0.0097).alias("m3"),
-        mean("quantity", 10.3).alias("y10"),
-        F.max("top").alias("cds"),
-        (F.sum("price") / 1000).alias("eq"),
     )
-    suffixes = {"swap": "SWAP", "m3": "3M", "y10": "10Y", "cds": "CDS", "eq": "EQ"}
-    by_nation = long(
-        nations,
-        [
-            F.when(
-                F.col("s_nationkey") != 0,
-                entry(F.concat(F.lit("USD"), ccy, F.lit("_PX_LAST")), "px"),
-            ),
-            *[
-                entry(F.concat(ccy, F.lit(f"_{suffix}_PX_LAST")), column)
-                for column, suffix in suffixes.items()
-            ],
+    group = F.col("g")
+    ccy = currency_code(group)
+
+    def mean(column: str, unit: float = 1.0) -> Column:
+        return F.col(column) / F.col("n") / unit
+
+    def entry(condition: Column, code: Column | str, value: Column) -> Column:
+        label = F.lit(code) if isinstance(code, str) else code
+        return F.when(condition, F.struct(label.alias(SERIES_CODE), value.alias(VALUE)))
+
+    is_nation = group < flow_base
+    per_nation = {
+        "SWAP": mean("discount", 0.0103),
+        "3M": mean("tax", 0.0097),
+        "10Y": mean("quantity", 10.3),
+        "CDS": F.col("top"),
+        "EQ": F.col("price") / 1000,
+    }
+    flow_places = {
+        code: flow_base + (1 + "ANR".index(combo[0])) * 10 + 1 + "FO".index(combo[2])
+        for combo, code in FLOW_CODES.items()
+    }
+    entries = [
+        entry(
+            is_nation & (group != 0),
+            F.concat(F.lit("USD"), ccy, F.lit("_PX_LAST")),
+            mean("price", 9973.0),
+        ),
+        *[
+            entry(is_nation, F.concat(ccy, F.lit(f"_{suffix}_PX_LAST")), value)
+            for suffix, value in per_nation.items()
         ],
-    )
-    flags = lines.groupBy("l_returnflag", "l_linestatus", "day").agg(
-        F.sum("quantity").alias("quantity")
-    )
-    combo = F.concat_ws("_", "l_returnflag", "l_linestatus")
-    flow_code = F.create_map(*[F.lit(x) for kv in FLOW_CODES.items() for x in kv])[combo]
-    by_flow = long(flags, [entry(flow_code, "quantity")])
-    points = lines.groupBy("l_returnflag", "day").agg(mean("discount", 0.0103).alias("points"))
-    basis = F.when(F.col("l_returnflag") == "R", F.lit(OFFSHORE_SERIES)).when(
-        F.col("l_returnflag") == "N", F.lit(ONSHORE_SERIES)
-    )
-    by_basis = long(points, [F.when(basis.isNotNull(), entry(basis, "points"))])
-    world = lines.groupBy("day").agg(mean("price", 1.03).alias("world"))
-    by_world = long(world, [entry(F.lit(GLOBAL_EQUITY_SERIES), "world")])
+        *[entry(group == place, code, F.col("quantity")) for code, place in flow_places.items()],
+        entry(group == basis_base + 3, OFFSHORE_SERIES, mean("discount", 0.0103)),
+        entry(group == basis_base + 2, ONSHORE_SERIES, mean("discount", 0.0103)),
+        entry(group == world_group, GLOBAL_EQUITY_SERIES, mean("price", 1.03)),
+    ]
+    from_lines = lines.select(
+        TIMESTAMP, F.explode(F.array_compact(F.array(*entries))).alias("e")
+    ).select(f"e.{SERIES_CODE}", TIMESTAMP, f"e.{VALUE}")
     oil = (
         load(spark, folder, "orders")
-        .groupBy(F.col("o_orderdate").alias("day"))
-        .agg((F.avg("o_totalprice") / 997).alias("oil"))
+        .groupBy(F.col("o_orderdate").alias(TIMESTAMP))
+        .agg((F.avg("o_totalprice") / 997).alias(VALUE))
+        .select(F.lit(COMMODITY_SERIES).alias(SERIES_CODE), TIMESTAMP, VALUE)
+    )
+    return from_lines.unionByName(oil)
+
+
+def supplied_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items with the nation of their supplier."""
+    return load(spark, folder, "lineitem").join(
+        load(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
     )
-    by_oil = long(oil, [entry(F.lit(COMMODITY_SERIES), "oil")])
-    parts = [by_nation, by_flow, by_basis, by_world, by_oil]
-    return reduce(lambda left, right: left.unionByName(right), parts)
 
 
 def dependencies(spark: SparkSession, folder: str, kinds: list[str] | None = None) -> DataFrame:

@@ -15,6 +15,9 @@ REQUIRED_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+#: Settings that can only be given when a session is built. Call sites are recorded for every
+#: column expression otherwise, which slows plan building.
+BUILD_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def build_session(
@@ -23,7 +26,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**REQUIRED_SETTINGS, **settings}.items():
+    for key, value in {**REQUIRED_SETTINGS, **BUILD_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from serieslake.operators.joins import small_side
 from serieslake.schema import (
     SEQ,
     VERSION,
@@ -278,7 +279,7 @@ class VersionedTable:
                 .groupBy(key)
                 .agg(F.max(VERSION).alias("_replaced_at"))
             )
-            gone = gone.withColumnRenamed(key, "_gone_key")
+            gone = small_side(gone.withColumnRenamed(key, "_gone_key"))
             superseded = (F.col(key) == F.col("_gone_key")) & (
                 F.col(VERSION) < F.col("_replaced_at")
             )

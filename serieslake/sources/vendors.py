@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from serieslake.functions.dates import floor_day
 from serieslake.functions.numeric import clean_double
 from serieslake.functions.text import blank_to_null
+from serieslake.operators.joins import small_side
 from serieslake.operators.values import Moment, between
 from serieslake.schema import (
     BLOOMBERG,
@@ -61,7 +62,7 @@ def table_reader(quotes: DataFrame) -> Reader:
     def read(_: SparkSession, requests: DataFrame, start: Moment, end: Moment) -> DataFrame:
         wanted = between(quotes, start, end)
         keys = [TICKER, FIELD] if FIELD in quotes.columns else [TICKER]
-        return wanted.join(requests.select(*keys).distinct(), keys, "left_semi")
+        return wanted.join(small_side(requests.select(*keys).distinct()), keys, "left_semi")
 
     return read
 
@@ -86,7 +87,8 @@ def ticker_map(catalog: DataFrame, source: str) -> DataFrame:
 def fan_out(quotes: DataFrame, mapping: DataFrame, *, by_field: bool = False) -> DataFrame:
     """Quotes joined to every series that shares their ticker."""
     keys = [TICKER, FIELD] if by_field else [TICKER]
-    return quotes.join(mapping.select(SERIES_CODE, *keys).distinct(), keys).select(
+    users = small_side(mapping.select(SERIES_CODE, *keys).distinct())
+    return quotes.join(users, keys).select(
         SERIES_CODE, TIMESTAMP, VALUE
     )
 

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import math
+import time
 from datetime import date, datetime
 from pathlib import Path
 
 import duckdb
 
 
+LAST_SECONDS: dict[str, float] = {}
+
+
 def connect(folder: str):
     connection = duckdb.connect()
     for file in sorted(Path(folder).glob("*.parquet")):
@@ -37,13 +41,16 @@ def _sorted(rows, places):
 
 def compare(spark, run, sql: str, folder: str) -> str | None:
     """None when equal, else what differs."""
+    started = time.time()
     frame = run(spark, folder)
     connection = connect(folder)
     relation = connection.sql(sql)
     ours, theirs = sorted(frame.columns), sorted(relation.columns)
     if ours != theirs:
         return f"columns {ours} / {theirs}"
-    left = _sorted([tuple(r) for r in frame.collect()], [frame.columns.index(c) for c in ours])
+    rows = [tuple(r) for r in frame.collect()]
+    LAST_SECONDS["spark"] = time.time() - started
+    left = _sorted(rows, [frame.columns.index(c) for c in ours])
     right = _sorted(relation.fetchall(), [relation.columns.index(c) for c in theirs])
     if len(left) != len(right):
         return f"rows {len(left)} / {len(right)}"
