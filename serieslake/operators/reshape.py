@@ -43,6 +43,8 @@ def pivot_values(
     """
     if len(codes) > MAX_WIDTH:
         raise PivotTooWideError(f"{len(codes)} columns asked for, at most {MAX_WIDTH} allowed")
+    if not codes:
+        return frame.select(TIMESTAMP).limit(0)
     present = frame.filter(F.col(VALUE).isNotNull() & F.col(column).isin(list(codes)))
     if len(codes) <= ONE_PASS_WIDTH:
         order = order_key(*(save_order(frame) or [VALUE]))

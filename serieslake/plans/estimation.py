@@ -179,7 +179,11 @@ def solve_windows(
     drivers = list(universe.drivers)
     schema = estimate_schema(drivers)
     names = schema.names
-    wanted = None if test_dates is None else set(test_dates)
+    tested = F.lit(True)
+    if test_dates is not None:
+        # A pair is tested on a date only when that day is on its own grid.
+        dates = [F.lit(day).cast("date") for day in test_dates]
+        tested = F.col("as_of").isin(*dates) & (F.element_at("day", -1) == F.col("as_of"))
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -187,14 +191,13 @@ def solve_windows(
             for window in batch.to_dict("records"):
                 rate = _array(window[RATE])
                 table = np.column_stack([_array(window[name]) for name in drivers])
-                on_date = window["day"][-1] == window["as_of"]
                 row = solve_window(
                     rate,
                     table,
                     bool(window["is_logged"][-1]),
                     drivers,
                     universe,
-                    test=wanted is None or (window["as_of"] in wanted and on_date),
+                    test=bool(window["_tested"]),
                 )
                 row.update({key: window[key] for key in KEYS})
                 row["current_rate"] = None if np.isnan(rate[-1]) else float(rate[-1])
@@ -203,7 +206,8 @@ def solve_windows(
                 {f.name: _PANDAS_TYPES[f.dataType] for f in schema if f.dataType in _PANDAS_TYPES}
             )
 
-    return packed.mapInPandas(solve, schema)
+    columns = [*KEYS, RATE, "is_logged", *drivers]
+    return packed.select(*columns, tested.alias("_tested")).mapInPandas(solve, schema)
 
 
 _PANDAS_TYPES = {
