@@ -136,9 +136,9 @@ def exact_percentiles(frame: DataFrame, quantiles: Mapping[str, float]) -> DataF
         )
         .select(SERIES_CODE, F.inline("_below"))
     )
-    hit = F.filter("_brackets", lambda b: F.col(VALUE).between(b["low"], b["high"]))
     inside = (
-        placed.select(SERIES_CODE, VALUE, F.explode(hit).alias("b"))
+        placed.select(SERIES_CODE, VALUE, F.explode("_brackets").alias("b"))
+        .filter(F.col(VALUE).between(F.col("b.low"), F.col("b.high")))
         .groupBy(SERIES_CODE, F.col("b.name").alias("name"), F.col("b.rank").alias("rank"), VALUE)
         .agg(F.count("*").alias("n"))
         .join(below, [SERIES_CODE, "name"])

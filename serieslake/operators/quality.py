@@ -73,9 +73,10 @@ def rule_failures(frame: DataFrame, rules: Sequence[Rule], *keep: str) -> DataFr
             for rule in rules
         ]
     )
-    failed = F.filter(entries, lambda entry: entry.isNotNull())
-    return frame.select(*keep, F.explode(failed).alias("failure")).select(
-        *keep, "failure.category", "failure.check"
+    return (
+        frame.select(*keep, F.explode(entries).alias("failure"))
+        .filter("failure IS NOT NULL")
+        .select(*keep, "failure.category", "failure.check")
     )
 
 

@@ -58,19 +58,17 @@ def role_index(catalog: DataFrame) -> DataFrame:
     usable = {
         role: filters for role, filters in ROLES.items() if set(filters) <= set(catalog.columns)
     }
-    matches = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    reduce(
-                        lambda left, right: left & right,
-                        [F.col(column) == value for column, value in filters.items()],
-                    ),
-                    F.lit(role),
-                )
-                for role, filters in usable.items()
-            ]
-        )
+    matches = F.array(
+        *[
+            F.when(
+                reduce(
+                    lambda left, right: left & right,
+                    [F.col(column) == value for column, value in filters.items()],
+                ),
+                F.lit(role),
+            )
+            for role, filters in usable.items()
+        ]
     )
     if "is_synthetic" in catalog.columns:
         flag = F.when(F.col("is_synthetic").isNull(), 2).when(
@@ -82,6 +80,7 @@ def role_index(catalog: DataFrame) -> DataFrame:
     return (
         catalog.filter(F.col("currency").isNotNull())
         .select("currency", SERIES_CODE, synthetic.alias("_rank"), F.explode(matches).alias("role"))
+        .filter("role IS NOT NULL")
         .groupBy("role", "currency")
         .agg(F.min(F.struct("_rank", SERIES_CODE))[SERIES_CODE].alias("role_code"))
     )

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from serieslake.functions.dates import parse_timestamp
 from serieslake.functions.numeric import is_finite, log_level
 from serieslake.functions.text import non_usd_leg
-from serieslake.operators.joins import small_side
 from serieslake.operators.periods import conform_to_business_days, daily_last
 from serieslake.operators.quality import Rule, freshness, out_of_range
 from serieslake.operators.rolling import realized_volatility
@@ -30,6 +29,7 @@ from serieslake.plans.universes import (
     Universe,
 )
 from serieslake.schema import SERIES_CODE, TIMESTAMP, VALUE
+from serieslake.session import cut_lineage
 
 RATE = "rate"
 SOURCE_CODE = "source_code"
@@ -172,7 +172,8 @@ def raw_driver_frame(
     can skew. Only then are they fanned out to the pairs that use them and lined up per
     (pair, day).
     """
-    small = small_side(mapping)
+    # Written out: used twice, and its real size decides how it is joined.
+    small = cut_lineage(mapping, "mapping")
     needed = values.join(small.select(F.col(SOURCE_CODE).alias(SERIES_CODE)), SERIES_CODE, "left_semi")
     daily = daily_last(needed).withColumnRenamed(SERIES_CODE, SOURCE_CODE)
     slots = [F.max(F.when(F.col("slot") == slot, F.col(VALUE))).alias(slot) for slot in SLOTS]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from serieslake.plans.universes import (
     BUY_SELL_SERIES,
@@ -37,8 +38,15 @@ FLOW_CODES = dict(zip(PANEL_CODES, [*BUY_SELL_SERIES.values(), *TURNOVER_SERIES.
 FLOWS_END = "1998-06-30"
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A shared table; its schema is looked up once per file."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def catalog(spark: SparkSession, folder: str) -> DataFrame:
@@ -171,7 +179,7 @@ def fx_catalog(spark: SparkSession, folder: str) -> DataFrame:
         F.when(key == 2, row(c, "Flows", "Equity Flow", "CHN", ccy))
         for c in TURNOVER_SERIES.values()
     ]
-    real = nation.select(F.explode(F.array_compact(F.array(*rows))).alias("r")).select("r.*")
+    real = nation.select(F.explode(F.array(*rows)).alias("r")).filter("r IS NOT NULL").select("r.*")
     synthetic = (
         load(spark, folder, "supplier")
         .join(nation, F.col("s_nationkey") == key)
@@ -259,14 +267,16 @@ def fx_values(spark: SparkSession, folder: str) -> DataFrame:
         entry(group == basis_base + 2, ONSHORE_SERIES, mean("discount", 0.0103)),
         entry(group == world_group, GLOBAL_EQUITY_SERIES, mean("price", 1.03)),
     ]
-    from_lines = lines.select(
-        TIMESTAMP, F.explode(F.array_compact(F.array(*entries))).alias("e")
-    ).select(f"e.{SERIES_CODE}", TIMESTAMP, f"e.{VALUE}")
+    from_lines = (
+        lines.select(TIMESTAMP, F.explode(F.array(*entries)).alias("e"))
+        .filter("e IS NOT NULL")
+        .select(f"e.{SERIES_CODE}", TIMESTAMP, f"e.{VALUE}")
+    )
     oil = (
         load(spark, folder, "orders")
         .groupBy(F.col("o_orderdate").alias(TIMESTAMP))
         .agg((F.avg("o_totalprice") / 997).alias(VALUE))
-        .select(F.lit(COMMODITY_SERIES).alias(SERIES_CODE), TIMESTAMP, VALUE)
+        .select(F.explode(F.array(F.lit(COMMODITY_SERIES))).alias(SERIES_CODE), TIMESTAMP, VALUE)
     )
     return from_lines.unionByName(oil)
 
@@ -309,4 +319,4 @@ def dependencies(spark: SparkSession, folder: str, kinds: list[str] | None = Non
             for kind, parents in chosen.items()
         ]
     )
-    return codes.select(F.explode(F.array_compact(rows)).alias("r")).select("r.*")
+    return codes.select(F.explode(rows).alias("r")).filter("r IS NOT NULL").select("r.*")

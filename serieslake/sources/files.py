@@ -67,7 +67,10 @@ def _column_index(reference: str) -> int:
 
 
 def workbook_rows(content: bytes, sheet: str | int = 0) -> list[list[str | None]]:
-    """Cell texts of one sheet of an .xlsx file."""
+    """Cell texts of one sheet. The older binary format needs pandas' optional reader."""
+    if not zipfile.is_zipfile(io.BytesIO(content)):
+        table = pd.read_excel(io.BytesIO(content), sheet_name=sheet, header=None, dtype=str)
+        return table.astype(object).where(table.notna(), None).values.tolist()
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         names = set(book.namelist())
         shared = []

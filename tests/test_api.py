@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from serieslake.api import DataAPI
 from serieslake.datasets import FXMajor, FXSpot
 from serieslake.operators.quality import Rule
+from serieslake.plans.batch import load_catalog, load_vendor_values
 from serieslake.schema import (
     DirectFetchUnavailableError,
     FrameValidationError,
@@ -257,3 +258,16 @@ def test_admin(api):
     assert "currency" in api.get_metadata_columns()
     api.delete_values(series_code="EURUSD")
     assert records(api.value_exists(["EURUSD", "GBPUSD"])) == [("GBPUSD", True)]
+
+
+def test_scheduled_loads(spark, tmp_path, quotes):
+    api = vendor_api(spark, str(tmp_path / "lake"), quotes)
+    report = load_vendor_values(api, "BBG")
+    assert (report.rows, report.series, report.points, report.passed) == (3, 3, 3, True)
+    only = load_vendor_values(api, "BBG", codes=["E"])
+    assert (only.rows, only.series) == (1, 1)
+    (tmp_path / "meta.csv").write_text("series_code,series_name,bbg_ticker,bbg_field\nE,Euro,EURUSD Curncy,PX_LAST\nZ,Zed,T,\n")
+    loaded = load_catalog(api, str(tmp_path / "meta.csv"))
+    assert loaded.rows == 6 and not loaded.passed
+    assert dict(records(loaded.failures))["pairing"] == 2
+    assert loaded.preview.count() == 6
