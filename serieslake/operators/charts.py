@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from serieslake.functions.dates import period_label
 from serieslake.functions.text import day_label, range_label, tenor_months
+from serieslake.operators.periods import daily_last
 from serieslake.operators.reshape import pivot_values
 from serieslake.schema import SERIES_CODE, TIMESTAMP, VALUE
 from serieslake.session import cut_lineage
@@ -198,12 +199,14 @@ def correlation_matrix(
     """Pairwise-complete correlation of every pair of the listed series.
 
     Pearson is one aggregate over the wide frame. The rank methods need each pair's complete
-    rows together; on daily values that is at most one row per calendar day.
+    rows together, so they work on daily values (a day's last): at most one row per calendar
+    day, whatever the input.
     """
     codes = list(codes)
     if len(codes) < 2:
         raise ValueError("a correlation needs at least 2 series")
-    wide = pivot_values(frame, codes, sort=False)
+    rows = frame if method == "pearson" else daily_last(frame)
+    wide = pivot_values(rows, codes, sort=False)
     pairs = [(a, b) for i, a in enumerate(codes) for b in codes[i:]]
     if method == "pearson":
         cells = F.array(

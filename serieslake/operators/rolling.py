@@ -2,8 +2,8 @@
 
 Two situations, two plans. On a business-day grid a series has at most one row per day, so a
 window partitioned by series holds some 26,000 rows per century and needs nothing special.
-On raw timestamps a series has no such bound; :func:`chunk_rows` cuts it into pieces of
-bounded length, each carrying copies of the few rows before it, and the window runs per piece.
+On raw timestamps a series has no such bound: its length is counted, and a long one is cut by
+:func:`chunk_rows` into pieces that carry copies of the few rows before them.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from serieslake.functions.numeric import is_finite
 from serieslake.schema import SERIES_CODE, TIMESTAMP, VALUE
+from serieslake.session import cut_lineage
 
 CHUNK = "_chunk"
 IS_COPY = "_is_copy"
@@ -114,11 +115,21 @@ def log_return_volatility(
 
     Only positive finite levels take part, gaps are closed before differencing, and rows
     without a full window are dropped. Input: one row per (series, timestamp).
+
+    The levels are written out first: they are read more than once, and how long the longest
+    series is decides whether series must be cut into chunks.
     """
-    usable = frame.filter(is_finite(F.col(VALUE)) & (F.col(VALUE) > 0)).select(
+    levels = frame.filter(is_finite(F.col(VALUE)) & (F.col(VALUE) > 0)).select(
         SERIES_CODE, TIMESTAMP, F.ln(VALUE).alias("_log")
     )
-    rows, window = chunk_rows(usable, [SERIES_CODE], length, chunk_size=chunk_size)
+    usable = cut_lineage(levels, "levels")
+    lengths = usable.groupBy(SERIES_CODE).agg(F.count("*").alias("n"))
+    longest = lengths.agg(F.max("n")).first()[0] or 0
+    if longest > chunk_size:
+        rows, window = chunk_rows(usable, [SERIES_CODE], length, chunk_size=chunk_size)
+    else:
+        rows = usable.withColumn(IS_COPY, F.lit(False))
+        window = W.partitionBy(SERIES_CODE).orderBy(TIMESTAMP)
     returns = rows.withColumn("_return", F.col("_log") - F.lag("_log").over(window))
     span = window.rowsBetween(1 - length, 0)
     deviation = F.when(

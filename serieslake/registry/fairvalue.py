@@ -444,7 +444,7 @@ def ols_moments(spark, folder):
 @query(
     "ols_bivariate",
     views(*FEATURE_VIEWS)
-    + f"""SELECT series_code, universe, regr_count(rate, {X1}) AS n,
+    + f"""SELECT series_code, universe, regr_count(rate, {X1})::BIGINT AS n,
        round(regr_slope(rate, {X1}), 6) + 0 AS slope,
        round(regr_intercept(rate, {X1}), 6) + 0 AS intercept,
        round(regr_r2(rate, {X1}), 6) + 0 AS r_squared
