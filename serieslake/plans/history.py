@@ -1,0 +1,180 @@
+"""Estimates at every day of a long history, without copying rows per day.
+
+The row-level path hands each fit its whole window, which repeats every row once per date of
+its window. Here each day gets the centred sufficient statistics of its window from one
+windowed pass; the solve, the sign check and the refit on the kept drivers all work on them.
+The few fits the statistics cannot settle exactly (a dropped driver with gaps of its own, a
+rate without a logarithm) go through the row-level path.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from serieslake.functions.numeric import log_level
+from serieslake.plans.drivers import RATE
+from serieslake.plans.estimation import (
+    KEYS,
+    MONTH_UNITS,
+    estimate_schema,
+    month_key,
+    null_nan,
+    pack_windows,
+    solve_windows,
+)
+from serieslake.plans.regression import student_two_sided
+from serieslake.plans.universes import Universe
+from serieslake.schema import SERIES_CODE
+
+LEVEL, LOG = "_level", "_log"
+NEEDS_ROWS = "_needs_rows"
+
+
+def window_statistics(features: DataFrame, universe: Universe) -> DataFrame:
+    """Counts, means, covariances and the last complete row of each day's trailing window.
+
+    A pair has one row per business day, so its partition is bounded by the calendar.
+    """
+    names = list(universe.drivers)
+    complete = F.col(RATE).isNotNull()
+    for name in names:
+        complete = complete & F.col(name).isNotNull()
+    rows = features.filter(F.col("universe") == universe.name).select(
+        SERIES_CODE,
+        "universe",
+        F.col("day").alias("as_of"),
+        "is_logged",
+        F.col(RATE).alias("current_rate"),
+        F.when(complete, F.col(RATE)).alias(LEVEL),
+        F.when(complete, log_level(F.col(RATE))).alias(LOG),
+        *[F.when(complete, F.col(name)).alias(name) for name in names],
+        month_key(F.col("day")).cast("long").alias("_key"),
+    )
+    span = (
+        W.partitionBy(SERIES_CODE, "universe")
+        .orderBy("_key")
+        .rangeBetween(1 - MONTH_UNITS * universe.window_months, W.currentRow)
+    )
+    columns = [LEVEL, LOG, *names]
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:] if (a, b) != (LEVEL, LOG)]
+    last_row = F.when(F.col(LEVEL).isNotNull(), F.struct(*columns))
+    return rows.select(
+        *KEYS,
+        "is_logged",
+        "current_rate",
+        F.count(LEVEL).over(span).alias("n"),
+        F.count(LOG).over(span).alias("n_log"),
+        F.count("current_rate").over(span).alias("n_rate"),
+        *[F.avg(c).over(span).alias(f"mean_{c}") for c in columns],
+        *[F.covar_pop(a, b).over(span).alias(f"cov_{a}_{b}") for a, b in pairs],
+        F.last(last_row, ignorenulls=True).over(span).alias("_last"),
+    ).select("*", *[F.col("_last")[c].alias(f"last_{c}") for c in columns]).drop("_last")
+
+
+def _solve_subset(within: np.ndarray, across: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slopes and the inverse of the covariance matrix, scaled to unit variances first."""
+    scale = np.sqrt(np.maximum(np.diag(within), 1e-300))
+    inverse = np.linalg.pinv(within / np.outer(scale, scale), hermitian=True)
+    inverse = inverse / np.outer(scale, scale)
+    return inverse @ across, inverse
+
+
+def solve_statistics(row: dict, universe: Universe) -> dict[str, object]:
+    """One fit from the statistics of its window."""
+    names = list(universe.drivers)
+    n = int(row["n"])
+    result: dict[str, object] = {"status": "insufficient_data", NEEDS_ROWS: False}
+    if n < universe.min_observations:
+        return result
+    y = LOG if row["is_logged"] else LEVEL
+    if row["is_logged"] and row["n_log"] != n:
+        return result | {NEEDS_ROWS: True}
+    within = np.array([[row[f"cov_{a}_{b}" if i <= j else f"cov_{b}_{a}"] for j, b in enumerate(names)] for i, a in enumerate(names)])
+    across = np.array([row[f"cov_{y}_{name}"] for name in names])
+    signs = np.array([universe.expected_signs[name] for name in names])
+    slopes, inverse = _solve_subset(within, across)
+    kept = np.flatnonzero(~(slopes * signs < 0))
+    dropped = [name for i, name in enumerate(names) if i not in set(kept)]
+    if dropped and row["n_rate"] != n:
+        return result | {NEEDS_ROWS: True}
+    if len(kept) == 0:
+        return result
+    if dropped:
+        slopes, inverse = _solve_subset(within[np.ix_(kept, kept)], across[kept])
+    means = np.array([row[f"mean_{names[i]}"] for i in kept])
+    latest = np.array([row[f"last_{names[i]}"] for i in kept])
+    const = row[f"mean_{y}"] - slopes @ means
+    variance = row[f"cov_{y}_{y}"]
+    left = max(variance - slopes @ across[kept], 0.0)
+    spread = math.sqrt(left)
+    fitted, actual = float(const + slopes @ latest), float(row[f"last_{y}"])
+    free = n - len(kept) - 1
+    noise = n * left / free if free > 0 else math.nan
+    errors = np.sqrt(
+        noise / n * np.concatenate([[1.0 + means @ inverse @ means], np.diag(inverse)])
+    )
+    beta = np.concatenate([[const], slopes])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        tails = [student_two_sided(t, free) for t in beta / errors]
+    result.update(
+        status="ok",
+        fitted_value=fitted,
+        actual_value=actual,
+        residual_std=spread,
+        z_score=(actual - fitted) / spread if spread else 0.0,
+        r_squared=1.0 - left / variance if variance else math.nan,
+        n_obs=n,
+        dropped_variables=",".join(dropped),
+    )
+    labels = ["const", *[names[i] for i in kept]]
+    for prefix, numbers in (("coefficient", beta), ("standard_error", errors), ("p_value", tails)):
+        result.update({f"{prefix}_{label}": float(v) for label, v in zip(labels, numbers)})
+    return result
+
+
+def estimate_history(features: DataFrame, universe: Universe) -> DataFrame:
+    """Estimates of every pair at every day of its grid; no unit-root tests.
+
+    Same columns and numbers as the row-level path.
+    """
+    schema = estimate_schema(universe.drivers)
+    wide = T.StructType([*schema, T.StructField(NEEDS_ROWS, T.BooleanType())])
+    numeric = {f.name: "float64" for f in wide if isinstance(f.dataType, T.DoubleType)}
+    numeric |= {f.name: "Int64" for f in wide if isinstance(f.dataType, T.LongType)}
+    numeric |= {f.name: "boolean" for f in wide if isinstance(f.dataType, T.BooleanType)}
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        carried = [*KEYS, "is_logged", "current_rate"]
+        for batch in batches:
+            rows = [
+                {key: row[key] for key in carried} | solve_statistics(row, universe)
+                for row in batch.to_dict("records")
+            ]
+            yield pd.DataFrame(rows, columns=wide.names).astype(numeric)
+
+    solved = null_nan(window_statistics(features, universe).mapInPandas(solve, wide))
+    settled = solved.filter(~F.col(NEEDS_ROWS)).select(*schema.names)
+    open_fits = solved.filter(NEEDS_ROWS).select(*KEYS)
+    return settled.unionByName(_row_level(features, open_fits, universe))
+
+
+def _row_level(features: DataFrame, fits: DataFrame, universe: Universe) -> DataFrame:
+    """Given fits through the row-level path, matched to their rows by pair and month."""
+    months = universe.window_months
+    number = F.year("as_of") * 12 + F.month("as_of")
+    wanted = fits.select(*KEYS, F.explode(F.sequence(number - months, number)).alias("_month"))
+    rows = features.withColumn("_month", F.year("day") * 12 + F.month("day"))
+    inside = (F.col("day") <= F.col("as_of")) & (
+        F.col("day") > F.add_months("as_of", -months)
+    )
+    matched = rows.join(wanted, [SERIES_CODE, "universe", "_month"]).filter(inside)
+    packed = pack_windows(matched, universe.drivers)
+    return null_nan(solve_windows(packed, universe, test_dates=[]))

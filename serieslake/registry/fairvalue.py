@@ -14,6 +14,7 @@ from serieslake.functions.text import (
 )
 from serieslake.operators.quality import drop_failing, failing_keys
 from serieslake.plans import discovery, drivers, estimation, model, results, signals
+from serieslake.plans.history import estimate_history
 from serieslake.plans.universes import (
     BUY_SELL_SERIES,
     CHN,
@@ -547,6 +548,14 @@ def fair_value_signals(spark, folder):
     return results.signal_rows(fitted.signals)
 
 
+@query("fair_value_history")
+def fair_value_history(spark, folder):
+    """Sign-checked fits of every G10 pair at every day. Checked against the row-level path in
+    the tests."""
+    features = cut_lineage(_features(spark, folder), "features")
+    return estimate_history(features, FX_G10)
+
+
 @query("design_matrix")
 def design_matrix(spark, folder):
     features = cut_lineage(_features(spark, folder), "features")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from serieslake.api import DataAPI
 from serieslake.operators.quality import drop_failing
 from serieslake.plans import discovery, drivers, estimation, model, regression, results, signals
+from serieslake.plans import history as history_plan
 from serieslake.plans.universes import (
     BUY_SELL_SERIES,
     CHINA_DRIVERS,
@@ -487,3 +488,47 @@ def test_features_schema_failures_drop_only_that_pair(spark):
 
 def test_universe_is_plain_data():
     assert isinstance(FX_G10, Universe) and FX_CHN.drivers == CHINA_DRIVERS
+
+
+@pytest.mark.parametrize("gaps", [False, True])
+def test_history_equals_the_row_level_path(spark, gaps):
+    frame = panel(seed=11)
+    frame["rate"] = np.exp(frame["rate"]) - 0.3 * frame["commodity"]
+    rng = np.random.default_rng(5)
+    if gaps:
+        frame.loc[rng.random(400) < 0.1, "commodity"] = np.nan
+        frame.loc[rng.random(400) < 0.05, "rate"] = np.nan
+    features = as_features(spark, frame, universe="EM")
+    features = features.withColumn("is_logged", F.dayofmonth("day") % 2 == 0)
+    days = [frame.index[i].date() for i in (40, 90, 140, 233, 234, 399)]
+    history = history_plan.estimate_history(features, FX_EM)
+    assert history.count() == 400
+    ours = {r["as_of"]: r for r in history.filter(F.col("as_of").isin(days)).collect()}
+    for row in estimation.estimate(features, FX_EM, fit_dates=days, test_dates=[]).collect():
+        other = ours[row["as_of"]]
+        assert (row["status"], row["n_obs"], row["dropped_variables"]) == (
+            other["status"], other["n_obs"], other["dropped_variables"],
+        )
+        for name in row.asDict():
+            if isinstance(row[name], float):
+                assert other[name] == pytest.approx(row[name], rel=1e-6, abs=1e-9), name
+
+
+def test_long_lookback_takes_both_paths_to_the_same_result(spark, monkeypatch):
+    wide, values = market(spark)
+    ended = values.filter(
+        (F.col("series_code") != "USDZAR_PX_LAST") | (F.col("timestamp") <= str(wide.index[-4]))
+    )
+    catalog = world(spark).union(spark.createDataFrame([pair_row("USDEUR_PX_LAST", "EM")], CATALOG))
+    extra = values.filter("series_code = 'EURUSD_PX_LAST'").withColumn("series_code", F.lit("USDEUR_PX_LAST"))
+    both = ended.union(extra)
+    rows = model.fit(catalog, both, FX_EM, lookback_days=8).signals
+    monkeypatch.setattr(model, "HISTORY_DAYS", 2)
+    statistics = model.fit(catalog, both, FX_EM, lookback_days=8).signals
+    order = ["series_code", "as_of"]
+    left, right = (f.orderBy(*order).collect() for f in (rows, statistics))
+    assert len(left) == len(right) == 16
+    for a, b in zip(left, right):
+        for name in a.asDict():
+            close = pytest.approx(a[name], rel=1e-6, abs=1e-9) if isinstance(a[name], float) else a[name]
+            assert b[name] == close, name
