@@ -14,7 +14,7 @@ from datetime import date
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,10 +89,17 @@ def assign_dates(
     ).drop("_dates")
 
 
+def parallelism(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def pack_windows(assigned: DataFrame, drivers: Sequence[str]) -> DataFrame:
     """One row per (pair, as_of): day-ordered arrays of rate, drivers and regime flags."""
     row = F.struct("day", RATE, "is_logged", *drivers)
-    packed = assigned.groupBy(*KEYS).agg(F.sort_array(F.collect_list(row)).alias("w"))
+    # A fixed partition count: solving a window costs far more than its bytes suggest, so small
+    # shuffles must not be coalesced into a few tasks.
+    spread = assigned.repartition(parallelism(assigned.sparkSession), *KEYS)
+    packed = spread.groupBy(*KEYS).agg(F.sort_array(F.collect_list(row)).alias("w"))
     return packed.select(
         *KEYS,
         *[F.col("w")[name].alias(name) for name in ("day", RATE, "is_logged", *drivers)],

@@ -15,11 +15,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from serieslake.functions.numeric import log_level
 from serieslake.plans.drivers import RATE
 from serieslake.plans.estimation import (
     KEYS,
@@ -28,6 +26,7 @@ from serieslake.plans.estimation import (
     month_key,
     null_nan,
     pack_windows,
+    parallelism,
     solve_windows,
 )
 from serieslake.plans.regression import student_two_sided
@@ -38,45 +37,46 @@ LEVEL, LOG = "_level", "_log"
 NEEDS_ROWS = "_needs_rows"
 
 
-def window_statistics(features: DataFrame, universe: Universe) -> DataFrame:
+def window_statistics(rows: pd.DataFrame, universe: Universe) -> Iterator[dict]:
     """Counts, means, covariances and the last complete row of each day's trailing window.
 
-    A pair has one row per business day, so its partition is bounded by the calendar.
+    ``rows`` are one pair's days in order. Running sums of centred values and products give
+    every window as a difference of two rows.
     """
     names = list(universe.drivers)
-    complete = F.col(RATE).isNotNull()
-    for name in names:
-        complete = complete & F.col(name).isNotNull()
-    rows = features.filter(F.col("universe") == universe.name).select(
-        SERIES_CODE,
-        "universe",
-        F.col("day").alias("as_of"),
-        "is_logged",
-        F.col(RATE).alias("current_rate"),
-        F.when(complete, F.col(RATE)).alias(LEVEL),
-        F.when(complete, log_level(F.col(RATE))).alias(LOG),
-        *[F.when(complete, F.col(name)).alias(name) for name in names],
-        month_key(F.col("day")).cast("long").alias("_key"),
-    )
-    span = (
-        W.partitionBy(SERIES_CODE, "universe")
-        .orderBy("_key")
-        .rangeBetween(1 - MONTH_UNITS * universe.window_months, W.currentRow)
-    )
     columns = [LEVEL, LOG, *names]
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:] if (a, b) != (LEVEL, LOG)]
-    last_row = F.when(F.col(LEVEL).isNotNull(), F.struct(*columns))
-    return rows.select(
-        *KEYS,
-        "is_logged",
-        "current_rate",
-        F.count(LEVEL).over(span).alias("n"),
-        F.count(LOG).over(span).alias("n_log"),
-        F.count("current_rate").over(span).alias("n_rate"),
-        *[F.avg(c).over(span).alias(f"mean_{c}") for c in columns],
-        *[F.covar_pop(a, b).over(span).alias(f"cov_{a}_{b}") for a, b in pairs],
-        F.last(last_row, ignorenulls=True).over(span).alias("_last"),
-    ).select("*", *[F.col("_last")[c].alias(f"last_{c}") for c in columns]).drop("_last")
+    rate = rows[RATE].to_numpy(float)
+    table = rows[names].to_numpy(float)
+    complete = np.isfinite(rate) & np.isfinite(table).all(axis=1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        logs = np.where(rate > 0, np.log(np.where(rate > 0, rate, 1.0)), np.nan)
+    cells = np.column_stack([rate, logs, table])
+    cells[~complete] = np.nan
+    known = np.isfinite(cells)
+    first = known.argmax(axis=0)
+    centre = np.where(known.any(axis=0), cells[first, np.arange(len(columns))], 0.0)
+    moved = np.where(known, cells - centre, 0.0)
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns)) if (i, j) != (0, 1)]
+    products = np.column_stack([moved[:, i] * moved[:, j] for i, j in pairs])
+    counts = np.column_stack([complete, known[:, 1], np.isfinite(rate)]).astype(float)
+    running = np.vstack([np.zeros(3 + len(columns) + len(pairs)), np.cumsum(np.column_stack([counts, moved, products]), axis=0)])
+    keys = rows["_key"].to_numpy()
+    starts = np.searchsorted(keys, keys - MONTH_UNITS * universe.window_months, side="right")
+    windows = running[1:] - running[starts]
+    latest = np.maximum.accumulate(np.where(complete, np.arange(len(rows)), -1))
+    for at, window in enumerate(windows):
+        n, n_log, n_rate = window[:3]
+        row: dict = {"n": n, "n_log": n_log, "n_rate": n_rate, "is_logged": bool(rows["is_logged"].iat[at])}
+        if n:
+            means = window[3 : 3 + len(columns)] / n
+            row |= {f"mean_{c}": m + s for c, m, s in zip(columns, means, centre)}
+            covariances = window[3 + len(columns) :] / n
+            row |= {
+                f"cov_{columns[i]}_{columns[j]}": c - means[i] * means[j]
+                for (i, j), c in zip(pairs, covariances)
+            }
+            row |= {f"last_{c}": v for c, v in zip(columns, cells[latest[at]])}
+        yield row
 
 
 def _solve_subset(within: np.ndarray, across: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +143,9 @@ def solve_statistics(row: dict, universe: Universe) -> dict[str, object]:
 def estimate_history(features: DataFrame, universe: Universe) -> DataFrame:
     """Estimates of every pair at every day of its grid; no unit-root tests.
 
-    Same columns and numbers as the row-level path.
+    Same columns and numbers as the row-level path. A pair has one row per business day, so a
+    group is bounded by the calendar; the fixed partition count keeps pairs apart, since the
+    work per row is far larger than its bytes suggest.
     """
     schema = estimate_schema(universe.drivers)
     wide = T.StructType([*schema, T.StructField(NEEDS_ROWS, T.BooleanType())])
@@ -151,16 +153,22 @@ def estimate_history(features: DataFrame, universe: Universe) -> DataFrame:
     numeric |= {f.name: "Int64" for f in wide if isinstance(f.dataType, T.LongType)}
     numeric |= {f.name: "boolean" for f in wide if isinstance(f.dataType, T.BooleanType)}
 
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carried = [*KEYS, "is_logged", "current_rate"]
-        for batch in batches:
-            rows = [
-                {key: row[key] for key in carried} | solve_statistics(row, universe)
-                for row in batch.to_dict("records")
-            ]
-            yield pd.DataFrame(rows, columns=wide.names).astype(numeric)
-
-    solved = null_nan(window_statistics(features, universe).mapInPandas(solve, wide))
+    def solve(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("_key", ignore_index=True)
+        solved = pd.DataFrame(
+            [solve_statistics(row, universe) for row in window_statistics(rows, universe)]
+        )
+        kept = rows[[SERIES_CODE, "universe", "is_logged"]].assign(
+            as_of=rows["day"], current_rate=rows[RATE]
+        )
+        return pd.concat([kept, solved], axis=1).reindex(columns=wide.names).astype(numeric)
+
+    pair = [SERIES_CODE, "universe"]
+    rows = features.filter(F.col("universe") == universe.name).select(
+        *pair, "day", RATE, "is_logged", *universe.drivers, month_key(F.col("day")).alias("_key")
+    )
+    spread = rows.repartition(parallelism(features.sparkSession), *pair)
+    solved = null_nan(spread.groupBy(*pair).applyInPandas(solve, wide))
     settled = solved.filter(~F.col(NEEDS_ROWS)).select(*schema.names)
     open_fits = solved.filter(NEEDS_ROWS).select(*KEYS)
     return settled.unionByName(_row_level(features, open_fits, universe))
