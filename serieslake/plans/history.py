@@ -155,13 +155,21 @@ def estimate_history(features: DataFrame, universe: Universe) -> DataFrame:
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("_key", ignore_index=True)
-        solved = pd.DataFrame(
-            [solve_statistics(row, universe) for row in window_statistics(rows, universe)]
+        solved = [solve_statistics(row, universe) for row in window_statistics(rows, universe)]
+        out = pd.DataFrame(
+            [{name: row.get(name) for name in wide.names} for row in solved], columns=wide.names
         )
-        kept = rows[[SERIES_CODE, "universe", "is_logged"]].assign(
-            as_of=rows["day"], current_rate=rows[RATE]
-        )
-        return pd.concat([kept, solved], axis=1).reindex(columns=wide.names).astype(numeric)
+        # Text that is missing in every row must stay an object column for Arrow.
+        out["dropped_variables"] = out["dropped_variables"].astype(object)
+        for name, source in (
+            (SERIES_CODE, SERIES_CODE),
+            ("universe", "universe"),
+            ("as_of", "day"),
+            ("is_logged", "is_logged"),
+            ("current_rate", RATE),
+        ):
+            out[name] = rows[source]
+        return out.astype(numeric)
 
     pair = [SERIES_CODE, "universe"]
     rows = features.filter(F.col("universe") == universe.name).select(

@@ -550,10 +550,10 @@ def fair_value_signals(spark, folder):
 
 @query("fair_value_history")
 def fair_value_history(spark, folder):
-    """Sign-checked fits of every G10 pair at every day. Checked against the row-level path in
+    """Sign-checked fits of the China pair at every day. Checked against the row-level path in
     the tests."""
     features = cut_lineage(_features(spark, folder), "features")
-    return estimate_history(features, FX_G10)
+    return estimate_history(features, FX_CHN)
 
 
 @query("design_matrix")
