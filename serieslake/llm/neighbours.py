@@ -179,11 +179,12 @@ def nearest_neighbours(
         F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block"),
         F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"),
     )
+    # Both sides come from one table: new names keep their columns apart in the cogroup.
     asked = rows.where(is_query).select(
         "row",
-        "vec_id",
-        "vector",
-        "width",
+        F.col("vec_id").alias("query_id"),
+        F.col("vector").alias("query"),
+        F.col("width").alias("width"),
         F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")).alias("block"),
         F.pmod(F.xxhash64("row"), F.lit(chunks)).cast("int").alias("chunk"),
     )
@@ -200,12 +201,12 @@ def nearest_neighbours(
         if not len(left) or not len(right):
             return pa.Table.from_arrays([pa.array([], kind) for kind in kinds], names)
         width = key[2].as_py()
-        asked_ids = right["vec_id"].to_numpy()
+        asked_ids = right["query_id"].to_numpy()
         found = search_block(
             left["vec_id"].to_numpy(),
             stacked(left["vector"], width),
             asked_ids,
-            stacked(right["vector"], width),
+            stacked(right["query"], width),
             nearest,
             share,
             seed=key[0].as_py(),
