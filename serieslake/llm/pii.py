@@ -5,7 +5,8 @@ through two transducers that keep, for every character they put out, the span it
 look-alike characters become ASCII and invisible ones vanish; then at/dot disguises become @ and .,
 and runs of spelled digits become digits. The same detectors run over the normalised text, and
 what they find there is mapped back. A finding is added when a disguise was undone inside it and
-no plain finding of its kind overlaps it; plain findings always stay.
+it reaches beyond every plain finding of its kind; plain findings always stay, also where they
+are a part of an added one.
 """
 
 from __future__ import annotations
@@ -212,7 +213,7 @@ def find_spans(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]
             source = begin[start], finish[end - 1]
             if text[source[0] : source[1]] == cleared[start:end]:
                 continue
-            if all(source[1] <= s or e <= source[0] for s, e in plain[kind]):
+            if not any(s <= source[0] and source[1] <= e for s, e in plain[kind]):
                 everything[kind].append(source)
         everything[kind].sort()
     return plain, everything
