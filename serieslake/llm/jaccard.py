@@ -7,9 +7,9 @@ list entries to scan, but a partner must then share l of them before it is verif
 becomes a candidate when it shares at least the smaller of its two l, so no true pair is lost.
 
 Equal sets are one class from the start. Large families of near copies are not expanded into all
-pairs: candidates with the first document of each list are verified first, and afterwards only
-pairs that lie in different components are looked at. Every link that could still join two
-components is verified, so the components are those of all links.
+pairs: the entries of long lists are first compared with a few heads, round by round, and
+afterwards only pairs that lie in different components are looked at. Every candidate that could
+still join two components is verified, so the components are those of all links.
 
 Runs are 64-bit hashes of words, and a class is known by a 128-bit digest of its sorted hashes.
 """
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from serieslake.llm.common import column, digest_of, select_rows, text_of
@@ -36,6 +37,10 @@ MOST_MATCHES = 4
 #: in it changes the cost of the join, never its result.
 FREQUENT_RUNS = 100_000
 LOCAL_REPEATS = 4
+#: Lists longer than this go through rounds of HEADS comparisons an entry before all pairs across
+#: components are looked at; rounds go on while more than ROUND_WORTH pairs an entry are left and
+#: one comparison in LEAST_HITS joins something.
+LONG_LIST, HEADS, ROUND_WORTH, LEAST_HITS = 32, 8, 8, 25
 #: Bits of the filter that names documents whose sets are needed; false hits cost time only.
 FILTER_BITS = 1 << 22
 
@@ -205,17 +210,16 @@ def _pair(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     )
 
 
-def _verified(
-    docs: DataFrame, text_column: str, width: int, percent: int, pairs: DataFrame, classes: DataFrame
+def _whole_sets(
+    docs: DataFrame, text_column: str, width: int, nodes: DataFrame, classes: DataFrame
 ) -> DataFrame:
-    """The pairs whose whole sets are similar enough."""
+    """node, runs: the whole sets of some classes. ``nodes`` has distinct nodes.
+
+    A filter of fixed size lets the scanning tasks pass over most other documents.
+    """
     spark = docs.sparkSession
     wanted = cut_lineage(
-        pairs.select(F.explode(F.array("a", "b")).alias("class"))
-        .distinct()
-        .join(classes, "class")
-        .select(F.col("class").alias("node"), "signature"),
-        "wanted",
+        nodes.join(classes, nodes["node"] == classes["class"]).select("node", "signature"), "wanted"
     )
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     # The signature's first three bytes, little-endian.
@@ -246,14 +250,18 @@ def _verified(
                 ["signature", "runs"],
             )
 
-    known = cut_lineage(
+    return cut_lineage(
         _texts(docs, text_column)
         .mapInArrow(sets, "signature binary, runs array<long>")
         .join(wanted, "signature")
-        .groupBy("node")
-        .agg(F.first("runs").alias("runs")),
+        .dropDuplicates(["node"])
+        .select("node", "runs"),
         "sets",
     )
+
+
+def _verified(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose whole sets are similar enough."""
     left = pairs.join(known.select(F.col("node").alias("a"), F.col("runs").alias("mine")), "a")
     both = left.join(known.select(F.col("node").alias("b"), F.col("runs").alias("theirs")), "b")
     common = F.size(F.array_intersect("mine", "theirs"))
@@ -261,6 +269,76 @@ def _verified(
     return cut_lineage(both.where(common * 100 >= union * percent).select("a", "b"), "links")
 
 
+def _in_parts(lists: DataFrame, links: DataFrame | None) -> DataFrame:
+    """The lists' entries with the component that each node is in so far."""
+    if links is None:
+        return lists.withColumn("part", F.col("node"))
+    return lists.join(components(links), "node", "left").select(
+        *lists.columns, F.coalesce("component", "node").alias("part")
+    )
+
+
+def _mixed(listed: DataFrame) -> DataFrame:
+    """run, main (its largest part), inside and outside (entries in it and not), for the lists
+    with more than one part: the others hold nothing to join."""
+    weights = listed.groupBy("run", "part").agg(F.count(F.lit(1)).alias("members"))
+    return cut_lineage(
+        weights.groupBy("run")
+        .agg(F.max(F.struct("members", "part")).alias("top"), F.sum("members").alias("entries"))
+        .where("entries > top.members")
+        .select(
+            "run",
+            F.col("top")["part"].alias("main"),
+            F.col("top")["members"].alias("inside"),
+            (F.col("entries") - F.col("top")["members"]).alias("outside"),
+        ),
+        "mixed",
+    )
+
+
+def _family_links(
+    docs: DataFrame, text_column: str, width: int, percent: int, lists: DataFrame, classes: DataFrame
+) -> DataFrame | None:
+    """Links that grow large families together, without all their pairs.
+
+    In each round the long lists compare their entries with a few heads, the same nodes in all
+    lists that hold them, and only across components. Rounds end when what is left to compare is
+    no more than a few pairs an entry, or few comparisons still hit.
+    """
+    long_runs = lists.groupBy("run").agg(F.count(F.lit(1)).alias("listed")).where(f"listed > {LONG_LIST}")
+    long_lists = cut_lineage(
+        lists.join(cut_lineage(long_runs.select("run"), "long"), "run"), "families"
+    )
+    if long_lists.isEmpty():
+        return None
+    known = _whole_sets(docs, text_column, width, long_lists.select("node").distinct(), classes)
+    links, number = None, 0
+    while True:
+        listed = cut_lineage(_in_parts(long_lists, links), "listed")
+        mixed = _mixed(listed)
+        left = mixed.agg(
+            F.expr("sum(outside * inside + outside * outside / 2)"), F.expr("sum(inside + outside)")
+        ).first()
+        if not left[0] or left[0] <= ROUND_WORTH * left[1]:
+            return links
+        open_lists = cut_lineage(listed.join(mixed.select("run"), "run"), "open")
+        place = W.partitionBy("run").orderBy("drawn", "node")
+        heads = (
+            open_lists.withColumn("drawn", F.xxhash64("node", F.lit(number)))
+            .withColumn("place", F.row_number().over(place))
+            .where(F.col("place") <= HEADS)
+            .drop("drawn", "place")
+        )
+        across = f"x.run = y.run AND x.part != y.part AND {_sized(percent)}"
+        pairs = cut_lineage(_enough(_pair(open_lists, cut_lineage(heads, "heads"), across)), "candidates")
+        found = _verified(pairs, known, percent)
+        hits = found.count()
+        links = found if links is None else links.unionByName(found)
+        if hits * LEAST_HITS < pairs.count() or not hits:
+            return links if hits or number else None
+        number += 1
+
+
 def jaccard_components(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -288,39 +366,19 @@ def jaccard_components(
         "classes",
     )
     lists = _postings(prefixes, classes, percent)
-    heads = cut_lineage(
-        lists.groupBy("run").agg(F.min(F.struct("node", "n", "matches")).alias("head")).select(
-            "run", "head.*"
-        ),
-        "heads",
-    )
-    near = f"x.run = y.run AND x.node != y.node AND {_sized(percent)}"
-    tried = cut_lineage(_enough(_pair(lists, heads, near)), "candidates")
-    links = _verified(docs, text_column, width, percent, tried, classes)
-    parts = components(links)
-    listed = cut_lineage(
-        lists.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")), "listed"
-    )
-    # The largest part of each list; lists within one part hold nothing to join.
-    weights = listed.groupBy("run", "part").agg(F.count(F.lit(1)).alias("members"))
-    mixed = cut_lineage(
-        weights.groupBy("run")
-        .agg(F.max(F.struct("members", "part")).alias("top"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1")
-        .select("run", F.col("top")["part"].alias("main")),
-        "mixed",
-    )
-    open_lists = cut_lineage(listed.join(mixed, "run").drop("component"), "open")
+    links = _family_links(docs, text_column, width, percent, lists, classes)
+    listed = cut_lineage(_in_parts(lists, links), "listed")
+    open_lists = cut_lineage(listed.join(_mixed(listed).select("run", "main"), "run"), "open")
     others = open_lists.where("part != main")
     main = open_lists.where("part = main")
     apart = f"x.run = y.run AND {_sized(percent)}"
-    rest = _pair(others, main, apart).unionByName(
+    pairs = _pair(others, main, apart).unionByName(
         _pair(others, others, f"{apart} AND x.node < y.node AND x.part != y.part")
     )
-    rest = cut_lineage(_enough(rest).join(tried, ["a", "b"], "left_anti"), "candidates")
-    if not rest.isEmpty():
-        links = links.unionByName(_verified(docs, text_column, width, percent, rest, classes))
-        parts = components(links)
+    pairs = cut_lineage(_enough(pairs), "candidates")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    found = _verified(pairs, _whole_sets(docs, text_column, width, nodes, classes), percent)
+    parts = components(found if links is None else links.unionByName(found))
     named = classes.join(parts, classes["class"] == parts["node"], "left").select(
         "signature", "least", F.coalesce("component", "class").alias("part")
     )

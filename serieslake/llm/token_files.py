@@ -33,7 +33,7 @@ FRAME_BYTES = 1 << 20
 LARGEST_FRAME = 1 << 28
 LEVEL = 3
 #: Words a worker process remembers the ids of; the memory is emptied when it is full.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 900_000
 #: Fixed values of the public frame and seek-table formats.
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
@@ -161,8 +161,8 @@ class WordEncoder:
 
     def _learn(self, words: list[bytes]) -> None:
         """Encodes words in one text and tells them apart by the tokens' offsets."""
-        for first in range(0, len(words), 2000):
-            part = words[first : first + 2000]
+        for first in range(0, len(words), 8000):
+            part = words[first : first + 8000]
             texts = [word.decode("utf-8", "replace") for word in part]
             found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
             begins = np.cumsum([0] + [len(text) + 1 for text in texts])

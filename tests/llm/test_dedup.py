@@ -152,9 +152,20 @@ def test_jaccard(spark):
     assert got == brute(rows)
 
 
-def test_jaccard_without_frequent_runs(spark, monkeypatch):
+def test_jaccard_under_another_order(spark, monkeypatch):
     """The table of frequent runs changes the cost, never the result."""
     monkeypatch.setattr(jaccard, "FREQUENT_RUNS", 3)
+    monkeypatch.setattr(jaccard, "LOCAL_REPEATS", 2)
+    rows = near_rows()[:70]
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute(rows)
+
+
+def test_jaccard_family_rounds(spark, monkeypatch):
+    """Long lists go through rounds; borderline families keep every link."""
+    monkeypatch.setattr(jaccard, "LONG_LIST", 3)
+    monkeypatch.setattr(jaccard, "ROUND_WORTH", 0)
+    monkeypatch.setattr(jaccard, "HEADS", 1)
     rows = near_rows()[:70]
     got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute(rows)
