@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding on a relational lattice.
 
-Texts are cut into units at spaces and line breaks, where no piece of the vocabulary crosses. The
+Texts are cut into units at spaces, at line breaks and between letters and other marks, where no
+piece of the vocabulary crosses (checked against the pieces). The
 distinct units of the corpus are encoded once: every substring of a unit up to the longest piece is
 a row, an equi-join with the piece table leaves the edges of the unit's lattice, edges are grouped
 by unit, and a higher-order aggregate folds them from left to right, keeping the best path to every
@@ -32,7 +33,11 @@ UNKNOWN_PENALTY = 10.0
 FREQUENT_UNITS = 300_000
 #: Units this long are cut further, between characters that no piece holds side by side.
 LONG_UNIT = 64
-_UNITS = re.compile(r" +[^ \n]*|\n|[^ \n]+")
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+#: Spaces and the letters or other marks that follow. Where a vocabulary has pieces that hold both
+#: letters and marks, words are not cut between them.
+_FINE = re.compile(rf" *[{_LATIN}]+| *[^{_LATIN} \n]+| +|\n")
+_COARSE = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 
 
 class Vocabulary:
@@ -60,6 +65,8 @@ class Vocabulary:
         }
         if any(MARK in self.pieces[k].lstrip(MARK) or "\n" in self.pieces[k] for k in self.normal):
             raise ValueError("a piece crosses a space or a line break")
+        whole = (self.pieces[k].replace(MARK, " ") for k in self.normal)
+        self.pattern = _FINE if all(_FINE.fullmatch(piece) for piece in whole) else _COARSE
         if len(self.bytes) != 256:
             raise ValueError("the model has no byte pieces to fall back on")
 
@@ -67,7 +74,7 @@ class Vocabulary:
         """The text, with the leading mark's space, in parts that no piece crosses."""
         if not text:
             return []
-        found = _UNITS.findall(" " + text.replace(MARK, " "))
+        found = self.pattern.findall(" " + text.replace(MARK, " "))
         if max(map(len, found)) <= LONG_UNIT:
             return found
         return [part for unit in found for part in self._cut(unit)]
@@ -98,8 +105,10 @@ def encode_units(units: DataFrame, path: str) -> DataFrame:
     starts = f"""flatten(transform(sequence(1, length(marked)), s -> transform(
         sequence(1, least({known.longest}, length(marked) - s + 1)),
         l -> named_struct('start', s, 'end', s + l - 1, 'piece', substring(marked, s, l)))))"""
+    # Dealt by unit before they multiply: edges are then grouped where they are made.
     substrings = (
-        units.select("unit", F.translate("unit", " ", MARK).alias("marked"))
+        units.repartition("unit")
+        .select("unit", F.translate("unit", " ", MARK).alias("marked"))
         .select("unit", F.explode(F.expr(starts)).alias("edge"))
         .select("unit", "edge.*")
     )
@@ -123,19 +132,17 @@ def encode_units(units: DataFrame, path: str) -> DataFrame:
             ).alias("edge"),
         )
     )
-    step = """named_struct('score', best[e.start - 1].score + e.score,
-                           'ids', concat(best[e.start - 1].ids, e.ids))"""
-    fold = f"""aggregate(
-        edges,
-        array(named_struct('score', 0D, 'ids', cast(array() as array<int>))),
-        (best, e) -> CASE
-            WHEN size(best) = e.end THEN concat(best, array({step}))
-            WHEN best[e.start - 1].score + e.score > best[e.end].score
-                THEN concat(slice(best, 1, e.end), array({step}))
-            ELSE best END,
+    # For every place the best of the edges that end there; of equal scores the longest piece.
+    fold = """aggregate(
+        sequence(1, size),
+        array(named_struct('score', 0D, 'first', 0, 'ids', cast(array() as array<int>))),
+        (best, j) -> concat(best, array(array_max(transform(
+            filter(edges, e -> e.end = j),
+            e -> named_struct('score', best[e.start - 1].score + e.score, 'first', -e.start,
+                              'ids', concat(best[e.start - 1].ids, e.ids)))))),
         best -> element_at(best, -1).ids)"""
-    grouped = edges.groupBy("unit").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
-    return grouped.select("unit", F.expr(fold).alias("ids"))
+    grouped = edges.groupBy("unit").agg(F.collect_list("edge").alias("edges"))
+    return grouped.withColumn("size", F.length("unit")).select("unit", F.expr(fold).alias("ids"))
 
 
 def _count_units(slim: DataFrame, path: str) -> DataFrame:
