@@ -30,7 +30,10 @@ from serieslake.session import cut_lineage
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: The most units that every task gets; all others are joined.
-FREQUENT_UNITS = 300_000
+FREQUENT_UNITS = 100_000
+#: Units a task counts before it gives the counts on, and units that a lattice task encodes.
+COUNTED_UNITS = 100_000
+LATTICE_UNITS = 20_000
 #: Units this long are cut further, between characters that no piece holds side by side.
 LONG_UNIT = 64
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
@@ -106,8 +109,9 @@ def encode_units(units: DataFrame, path: str) -> DataFrame:
         sequence(1, least({known.longest}, length(marked) - s + 1)),
         l -> named_struct('start', s, 'end', s + l - 1, 'piece', substring(marked, s, l)))))"""
     # Dealt by unit before they multiply: edges are then grouped where they are made.
+    tasks = max(1, units.count() // LATTICE_UNITS)
     substrings = (
-        units.repartition("unit")
+        units.repartition(tasks, "unit")
         .select("unit", F.translate("unit", " ", MARK).alias("marked"))
         .select("unit", F.explode(F.expr(starts)).alias("edge"))
         .select("unit", "edge.*")
@@ -158,7 +162,7 @@ def _count_units(slim: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for text in batch.column(0):
                 counts.update(known.units(text.as_py()))
-                if len(counts) > 500_000:
+                if len(counts) > COUNTED_UNITS:
                     yield given()
                     counts.clear()
         if counts:
