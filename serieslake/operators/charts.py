@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from serieslake.functions.dates import period_label
 from serieslake.functions.text import day_label, range_label, tenor_months
-from serieslake.operators.periods import daily_last
 from serieslake.operators.reshape import pivot_values
 from serieslake.schema import SERIES_CODE, TIMESTAMP, VALUE
 from serieslake.session import cut_lineage
@@ -198,15 +197,13 @@ def correlation_matrix(
 ) -> DataFrame:
     """Pairwise-complete correlation of every pair of the listed series.
 
-    Pearson is one aggregate over the wide frame. The rank methods need each pair's complete
-    rows together, so they work on daily values (a day's last): at most one row per calendar
-    day, whatever the input.
+    Every method uses all timestamps on which both series are known. Pearson is one aggregate
+    over the wide frame; the rank methods bring a pair's complete rows together.
     """
     codes = list(codes)
     if len(codes) < 2:
         raise ValueError("a correlation needs at least 2 series")
-    rows = frame if method == "pearson" else daily_last(frame)
-    wide = pivot_values(rows, codes, sort=False)
+    wide = pivot_values(frame, codes, sort=False)
     pairs = [(a, b) for i, a in enumerate(codes) for b in codes[i:]]
     if method == "pearson":
         cells = F.array(
@@ -301,7 +298,7 @@ def seasonality(frame: DataFrame, period: str = "month") -> DataFrame:
     elif period == "dayofweek":
         slot = F.weekday(TIMESTAMP)
     else:
-        raise ValueError(f"period must be 'month' or 'dayofweek', got {period!r}")
+        raise ValueError(f"no seasonality by {period!r}; choose month or dayofweek")
     return (
         _known(frame)
         .groupBy(SERIES_CODE, F.year(TIMESTAMP).alias("year"), slot.cast("int").alias("slot"))

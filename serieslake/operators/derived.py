@@ -81,7 +81,7 @@ def used_types(dependencies: DataFrame) -> list[str]:
     A small job over the dependency table; only (type, parent count) pairs come back.
     """
     edges = dependency_edges(dependencies)
-    used = edges.select(CALC_TYPE, "parent_count").distinct().limit(1000).collect()
+    used = edges.select(CALC_TYPE, "parent_count").distinct().collect()
     for name, count in used:
         if name not in CALCULATORS:
             raise UnknownCalcTypeError(f"unknown calc_type {name!r}")

@@ -81,13 +81,13 @@ def between(frame: DataFrame, start: Moment = None, end: Moment = None) -> DataF
 def top_rows(
     frame: DataFrame, order_by: str | None, ascending: bool = True, limit: int | None = None
 ) -> DataFrame:
-    """Sort and cap long rows. Ties follow the series code and save order, so the rows a cap
-    keeps are the same on every run."""
+    """Sort and cap long rows. A cap without an order is by time. Ties follow the series code and
+    save order, so the rows a cap keeps are the same on every run."""
+    if order_by is None and limit is not None and TIMESTAMP in frame.columns:
+        order_by = TIMESTAMP
     if order_by is not None:
         if order_by not in frame.columns:
-            raise InvalidOrderByError(
-                f"Invalid order_by column {order_by!r}; expected one of {frame.columns}"
-            )
+            raise InvalidOrderByError(f"cannot sort by {order_by!r}; columns: {frame.columns}")
         ties = [c for c in (TIMESTAMP, SERIES_CODE, *save_order(frame)) if c != order_by]
         lead = F.col(order_by).asc() if ascending else F.col(order_by).desc()
         frame = frame.orderBy(lead, *[c for c in ties if c in frame.columns])

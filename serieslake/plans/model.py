@@ -82,7 +82,8 @@ class FitResults:
         )
 
     def panel(self, field: str) -> DataFrame:
-        codes = [r[0] for r in self.summary.select(SERIES_CODE).distinct().limit(10_000).collect()]
+        """One column per fitted pair: as many as the universe has pairs."""
+        codes = [r[0] for r in self.summary.select(SERIES_CODE).distinct().collect()]
         return results.panel(self.summary, field, sorted(codes))
 
     def z_scores(self, as_of: int | str | date | None = None) -> DataFrame:
@@ -226,7 +227,11 @@ def run_daily(
     catalog, values = api.catalog(), api.values_frame()
     found = discovery.discover_pairs(catalog, universe.name)
     report = discovery.availability_report(found, catalog)
-    cutover = resolve_cutover(universe, catalog, values)
+    cutover, cutover_error = None, None
+    try:
+        cutover = resolve_cutover(universe, catalog, values)
+    except ValueError as error:  # reported; the run goes on without a regime change
+        cutover_error = str(error)
     silver = drivers.silver_frame(values, report, as_of=as_of, cutover=cutover)
     built = drivers.build_features(silver, {universe.name: universe})
     built = cut_lineage(built, "features")
@@ -236,6 +241,10 @@ def run_daily(
         "pairs": report.count(),
         "blocked": report.filter("blocked").count(),
         "failed_checks": failing_keys(built, [SERIES_CODE], rules).count(),
+        "blocked_pairs": {
+            row[SERIES_CODE]: row["block_reasons"] for row in report.filter("blocked").collect()
+        },
+        "cutover_error": cutover_error,
         "written": 0,
     }
     fit_dates = None if as_of is None else [date.fromisoformat(str(as_of)[:10])]

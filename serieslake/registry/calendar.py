@@ -43,11 +43,17 @@ conformed AS (
 
 
 def _rare(spark, folder):
-    """Values of large orders only: days without data, repeats within a day."""
-    return t.sparse(spark, folder).filter(F.col(VALUE) > 450_000)
+    """All orders by group of customers: days without data, repeats within a day."""
+    group = F.concat(F.lit("G"), (F.col("o_custkey") % 50).cast("string"))
+    return t.load(spark, folder, "orders").select(
+        group.alias(SERIES_CODE),
+        F.col("o_orderdate").cast("timestamp_ntz").alias(TIMESTAMP),
+        F.col("o_totalprice").alias(VALUE),
+        F.col("o_orderkey").alias("_seq"),
+    )
 
 
-RARE = SPARSE.replace("FROM orders)", "FROM orders WHERE o_totalprice > 450000)")
+RARE = SPARSE.replace("o_orderpriority AS series_code", "'G' || (o_custkey % 50) AS series_code")
 
 
 @query(

@@ -28,7 +28,7 @@ def read_tabular(
     """All-text frame from CSV files or workbooks; a folder or pattern reads many files."""
     suffix = path.rsplit(".", 1)[-1].lower() if "." in path.rsplit("/", 1)[-1] else ""
     if suffix == "csv":
-        return spark.read.csv(path, header=True, inferSchema=False, multiLine=False)
+        return spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"')
     if suffix in ("xlsx", "xls"):
         return read_workbooks(spark, path, sheet=sheet, columns=columns)
     raise UnsupportedFileTypeError(f"no reader for {path!r}; use .csv, .xlsx or .xls")

@@ -28,6 +28,8 @@ from serieslake.operators.joins import small_side
 from serieslake.schema import (
     SEQ,
     VERSION,
+    InvalidFilterFieldError,
+    InvalidQueryError,
     SnapshotConflictError,
     SnapshotNotFoundError,
 )
@@ -216,10 +218,21 @@ class VersionedTable:
         return self._record(kind, schema, commit_id=commit_id, detail=key, commit_ts=commit_ts)
 
     def delete(self, filters: Mapping[str, object] | None = None) -> int | None:
-        """Hide every current row that equals all given values (all rows when none are given)."""
+        """Hide every current row that equals all given values (all rows when none are given).
+
+        Values are compared in the type of their column, so 3 finds 3.0 and a date its midnight.
+        """
         schema = self.schema()
         if schema is None:
             return None
+        known = {field.name.lower(): field for field in schema}
+        for name, value in (filters or {}).items():
+            if name.lower() not in known:
+                raise InvalidFilterFieldError(f"cannot delete by {name!r}: no such column")
+            kind = known[name.lower()].dataType
+            typed = F.lit(json.loads(json.dumps(value, default=str))).try_cast(kind)
+            if value is not None and self.spark.range(1).select(typed).first()[0] is None:
+                raise InvalidQueryError(f"{value!r} is no {kind.simpleString()} for column {name!r}")
         return self._record(DELETE, schema, detail=json.dumps(filters or {}, default=str))
 
     # -- reads -----------------------------------------------------------------------------
@@ -254,17 +267,17 @@ class VersionedTable:
             frame = self.spark.createDataFrame([], stored)
         for commit in commits:
             if commit.kind == DELETE:
-                frame = frame.filter(self._survives(commit))
+                frame = frame.filter(self._survives(commit, schema))
         frame = self._drop_replaced(frame, [c for c in commits if c.kind == REPLACE])
         return frame if bookkeeping else frame.drop(VERSION, SEQ)
 
     @staticmethod
-    def _survives(commit: Commit):
+    def _survives(commit: Commit, schema: T.StructType):
+        kinds = {field.name.lower(): field.dataType for field in schema}
         matches = F.lit(True)
         for column, value in json.loads(commit.detail or "{}").items():
-            matches = matches & F.coalesce(
-                F.col(f"`{column}`").cast("string") == F.lit(value).cast("string"), F.lit(False)
-            )
+            typed = F.lit(value).try_cast(kinds[column.lower()])
+            matches = matches & F.coalesce(F.col(f"`{column}`") == typed, F.lit(False))
         return ~matches | (F.col(VERSION) >= commit.version)
 
     def _drop_replaced(self, frame: DataFrame, commits: list[Commit]) -> DataFrame:

@@ -102,17 +102,23 @@ def live_values(
     start: Moment = None,
     end: Moment = None,
 ) -> DataFrame:
-    """Daily values of the given series straight from a vendor."""
+    """Daily values of the given series straight from a vendor: each day's last known quote."""
     spark = catalog.sparkSession
     source = normalize_source(source)
     mapping = ticker_map(catalog.join(codes, SERIES_CODE, "left_semi"), source)
     requests = mapping.select(TICKER, FIELD).distinct()
     quotes = registry.fetch(spark, source, requests, start, end)
     by_field = source == BLOOMBERG and FIELD in quotes.columns
-    daily = quotes.withColumn(TIMESTAMP, floor_day(F.col(TIMESTAMP))).withColumn(
-        VALUE, clean_double(F.col(VALUE))
+    keys = [name for name in (TICKER, FIELD) if name in quotes.columns]
+    # Reduced by the time of the quote, before the day hides it.
+    daily = (
+        quotes.withColumn(VALUE, clean_double(F.col(VALUE)))
+        .filter(F.col(VALUE).isNotNull())
+        .groupBy(*keys, floor_day(F.col(TIMESTAMP)).alias("_day"))
+        .agg(F.max_by(VALUE, F.struct(TIMESTAMP, VALUE)).alias(VALUE))
+        .withColumnRenamed("_day", TIMESTAMP)
     )
-    return fan_out(daily, mapping, by_field=by_field).filter(F.col(VALUE).isNotNull())
+    return fan_out(daily, mapping, by_field=by_field)
 
 
 def tag_source(frame: DataFrame, source: str) -> DataFrame:
