@@ -271,3 +271,36 @@ def test_scheduled_loads(spark, tmp_path, quotes):
     assert loaded.rows == 6 and not loaded.passed
     assert dict(records(loaded.failures))["pairing"] == 2
     assert loaded.preview.count() == 6
+
+
+def test_ranges_are_compared_as_moments():
+    from datetime import date, datetime
+
+    from serieslake.api import check_request
+    from serieslake.schema import InvalidQueryError
+
+    check_request(start=datetime(2024, 1, 1), end="2024-01-01")
+    check_request(start=date(2024, 1, 1), end=datetime(2024, 1, 1, 5))
+    with pytest.raises(InvalidQueryError):
+        check_request(start="2024-01-02", end=date(2024, 1, 1))
+    with pytest.raises(InvalidQueryError):
+        check_request(start="soon", end="2024-01-01")
+
+
+def test_live_quotes_of_a_day_keep_the_last(spark):
+    from serieslake.sources.vendors import VendorRegistry, live_values, table_reader
+
+    quotes = spark.createDataFrame(
+        [("T", "F", "2024-01-01 09:00:00", 9.0), ("T", "F", "2024-01-01 17:00:00", 5.0)],
+        "ticker string, field string, timestamp string, value double",
+    )
+    quotes = quotes.withColumn("timestamp", quotes["timestamp"].cast("timestamp_ntz"))
+    catalog = spark.createDataFrame([("S", "T", "F")], "series_code string, hawk_ticker string, field string")
+    from serieslake.schema import vendor_columns
+
+    ticker, field = vendor_columns("hawk")
+    catalog = catalog.toDF("series_code", ticker, field)
+    rows = live_values(
+        VendorRegistry({"hawkeye": table_reader(quotes)}), catalog, catalog.select("series_code"), "hawkeye"
+    ).collect()
+    assert [(r.series_code, r.value) for r in rows] == [("S", 5.0)]

@@ -122,3 +122,23 @@ def test_query_cache(spark, tmp_path):
 def test_encryption_options():
     options = encryption_options("factory", "footer", {"k": ["a", "b"]})
     assert options["parquet.encryption.column.keys"] == "k:a,b"
+
+
+def test_delete_compares_in_the_type_of_the_column(spark, tmp_path):
+    from serieslake.schema import InvalidFilterFieldError, InvalidQueryError
+    from serieslake.sources.store import Lake
+
+    rows = [("A", "2024-01-01", 3.0), ("A", "2024-01-02", 4.0), ("B", "2024-01-01", 5.0)]
+    frame = spark.createDataFrame(rows, "series_code string, timestamp string, value double")
+    frame = frame.withColumn("timestamp", frame["timestamp"].cast("timestamp_ntz"))
+    table = Lake(spark, str(tmp_path)).table("main", "typed")
+    table.append(frame)
+    table.delete({"value": 3})
+    assert sorted(r.value for r in table.read().collect()) == [4.0, 5.0]
+    table.delete({"timestamp": "2024-01-01"})
+    assert [r.value for r in table.read().collect()] == [4.0]
+    with pytest.raises(InvalidFilterFieldError):
+        table.delete({"nothing": 1})
+    with pytest.raises(InvalidQueryError):
+        table.delete({"value": "many"})
+    assert table.read().count() == 1
