@@ -1,39 +1,37 @@
 """SentencePiece encoding and decoding on a relational lattice.
 
 Texts are cut into units at spaces, at line breaks and between letters and other marks, where no
-piece of the vocabulary crosses (checked against the pieces). The
-distinct units of the corpus are encoded once: every substring of a unit up to the longest piece is
-a row, an equi-join with the piece table leaves the edges of the unit's lattice, edges are grouped
-by unit, and a higher-order aggregate folds them from left to right, keeping the best path to every
-place (Viterbi). A character without a piece costs the unknown score and becomes its bytes.
-
-Documents are then put together in the scanning tasks. The most frequent units are given to every
-task as a table of bounded length; the other units of a text are joined to it by a key of the text.
-Decoding joins pieces, turns byte pieces back into text and takes off the leading mark.
+piece of the vocabulary crosses (checked against the pieces). Every substring of a unit up to the
+longest piece is a row, an equi-join with the piece table leaves the edges of the unit's lattice,
+edges are grouped by unit, and a higher-order aggregate folds them from left to right, keeping the
+best path to every place (Viterbi). A character without a piece costs the unknown score and becomes
+its bytes.
+
+All this runs in the scanning tasks, without a shuffle: a task sends each unit that it does not
+remember through the lattice once, ahead of the texts that hold it, and the texts follow as numbers
+of units. What a task remembers is bounded; when full, it begins anew. Decoding joins pieces, turns
+byte pieces back into text and takes off the leading mark.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from serieslake.llm.common import column, text_of
-from serieslake.session import cut_lineage
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: The most units that every task gets; all others are joined.
-FREQUENT_UNITS = 100_000
-#: Units a task counts before it gives the counts on, and units that a lattice task encodes.
-COUNTED_UNITS = 100_000
-LATTICE_UNITS = 20_000
+#: Units that a task remembers, and units of texts that it gives on together.
+REMEMBERED_UNITS = 400_000
+DEALT_UNITS = 500_000
 #: Units this long are cut further, between characters that no piece holds side by side.
 LONG_UNIT = 64
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
@@ -100,21 +98,60 @@ def piece_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, "piece string, id int, score double")
 
 
-def encode_units(units: DataFrame, path: str) -> DataFrame:
-    """unit, ids: the best path through each unit's lattice. ``units`` has distinct units."""
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges that follow one another in a task, as one row per ``seq``: a list of edges for every
+    place of the unit. Rows of no unit pass as they are."""
+
+    def packed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        seq, end = (rows[k].combine_chunks() for k in ("seq", "end"))
+        seq, end = seq.to_numpy(zero_copy_only=False), end.fill_null(0).to_numpy(zero_copy_only=False)
+        if (np.diff(seq) < 0).any():
+            raise ValueError("edges of a unit are apart")
+        new_unit = np.r_[True, np.diff(seq) != 0]
+        firsts = np.flatnonzero(new_unit)
+        places = np.flatnonzero(new_unit | np.r_[True, np.diff(end) != 0])
+        edges = pa.StructArray.from_arrays(
+            [rows[k].combine_chunks() for k in ("back", "score", "ids")], ["back", "score", "ids"]
+        )
+        ends = pa.array(np.r_[places, len(seq)].astype(np.int32))
+        by_place = pa.ListArray.from_arrays(ends, edges)
+        units = pa.array(np.r_[np.searchsorted(places, firsts), len(places)].astype(np.int32))
+        kept = rows.drop_columns(["seq", "end", "back", "score", "ids"]).take(pa.array(firsts))
+        names = [*kept.column_names, "places"]
+        columns = [c.combine_chunks() for c in kept.columns]
+        return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(units, by_place)], names)
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        seq = batch.column("seq").to_numpy()
+        last = int(np.searchsorted(seq, seq[-1]))
+        if last or (held and held[-1].column("seq")[-1].as_py() != seq[0]):
+            if held or last:
+                yield packed([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield packed(held)
+
+
+def _best_paths(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` with ids, the best path through the lattice of ``unit`` (empty where that is null).
+
+    ``seq`` numbers the rows of a task upwards. Edges are exploded and joined to the broadcast
+    pieces where the row is, so a unit's edges follow one another and are grouped without a
+    shuffle. ``unit`` and ``seq`` are not returned.
+    """
     known = vocabulary_of(path)
-    spark = units.sparkSession
+    others = [name for name in rows.columns if name not in ("unit", "seq")]
     bytes_ = F.array(*[F.lit(known.bytes[k]) for k in range(256)])
-    starts = f"""flatten(transform(sequence(1, length(marked)), s -> transform(
-        sequence(1, least({known.longest}, length(marked) - s + 1)),
-        l -> named_struct('start', s, 'end', s + l - 1, 'piece', substring(marked, s, l)))))"""
-    # Dealt by unit before they multiply: edges are then grouped where they are made.
-    tasks = max(1, units.count() // LATTICE_UNITS)
-    substrings = (
-        units.repartition(tasks, "unit")
-        .select("unit", F.translate("unit", " ", MARK).alias("marked"))
-        .select("unit", F.explode(F.expr(starts)).alias("edge"))
-        .select("unit", "edge.*")
+    substrings = f"""flatten(transform(sequence(1, length(marked)), e -> transform(
+        sequence(1, least({known.longest}, e)),
+        l -> named_struct('end', e, 'back', l, 'piece', substring(marked, e - l + 1, l)))))"""
+    exploded = rows.withColumn("marked", F.translate("unit", " ", MARK)).select(
+        "seq", *others, F.explode_outer(F.expr(substrings)).alias("edge")
     )
     fallback = F.expr(
         """transform(sequence(1, octet_length(piece)),
@@ -122,54 +159,132 @@ def encode_units(units: DataFrame, path: str) -> DataFrame:
     )
     # The piece table has as many rows as the vocabulary file, whatever the corpus.
     edges = (
-        substrings.join(F.broadcast(piece_table(spark, path)), "piece", "left")
-        .where("id IS NOT NULL OR start = end")
+        exploded.select("seq", *others, "edge.*")
+        .join(F.broadcast(piece_table(rows.sparkSession, path)), "piece", "left")
+        .where("id IS NOT NULL OR back = 1 OR back IS NULL")
         .select(
-            "unit",
-            F.struct(
-                "end",
-                "start",
-                F.coalesce("score", F.lit(known.unknown)).alias("score"),
-                F.when(F.col("id").isNotNull(), F.array("id"))
-                .otherwise(F.transform(fallback, lambda b: F.element_at(bytes_, b + 1)))
-                .alias("ids"),
-            ).alias("edge"),
+            *others,
+            "seq",
+            "end",
+            "back",
+            F.coalesce("score", F.lit(known.unknown)).alias("score"),
+            # No list is null: a run of null lists takes quadratic time on its way to Python.
+            F.when(F.col("id").isNotNull(), F.array("id"))
+            .when(F.col("back").isNull(), F.array().cast("array<int>"))
+            .otherwise(F.transform(fallback, lambda b: F.element_at(bytes_, b + 1)))
+            .alias("ids"),
         )
     )
-    # For every place the best of the edges that end there; of equal scores the longest piece.
-    fold = """aggregate(
-        sequence(1, size),
-        array(named_struct('score', 0D, 'first', 0, 'ids', cast(array() as array<int>))),
-        (best, j) -> concat(best, array(array_max(transform(
-            filter(edges, e -> e.end = j),
-            e -> named_struct('score', best[e.start - 1].score + e.score, 'first', -e.start,
-                              'ids', concat(best[e.start - 1].ids, e.ids)))))),
-        best -> element_at(best, -1).ids)"""
-    grouped = edges.groupBy("unit").agg(F.collect_list("edge").alias("edges"))
-    return grouped.withColumn("size", F.length("unit")).select("unit", F.expr(fold).alias("ids"))
-
-
-def _count_units(slim: DataFrame, path: str) -> DataFrame:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = vocabulary_of(path), Counter()
-
-        def given():
+    kept = ", ".join(f"{name} {kind}" for name, kind in edges.select(*others).dtypes)
+    grouped = edges.mapInArrow(
+        _grouped, f"{kept}, places array<array<struct<back: int, score: double, ids: array<int>>>>"
+    )
+    # For every place the best of the edges that end there; of equal scores the longest piece. No
+    # edge reaches further back than the longest piece, so that many places are kept.
+    fold = f"""CASE WHEN places[0][0].back IS NOT NULL THEN aggregate(
+        places,
+        array(named_struct('score', 0D, 'back', 0, 'ids', cast(array() as array<int>))),
+        (best, edges) -> concat(
+            slice(best, greatest(1, size(best) - {known.longest - 2}), {known.longest - 1}),
+            transform(
+                array(array_max(transform(edges, e -> named_struct(
+                    'score', element_at(best, -e.back).score + e.score, 'back', e.back, 'ids', e.ids)))),
+                b -> named_struct('score', b.score, 'back', b.back,
+                                  'ids', concat(element_at(best, -b.back).ids, b.ids)))),
+        best -> element_at(best, -1).ids) ELSE cast(array() as array<int>) END"""
+    return grouped.select(*others, F.expr(fold).alias("ids"))
+
+
+def encode_units(units: DataFrame, path: str) -> DataFrame:
+    """unit, ids: the best path through each unit's lattice, for the rows of ``units``."""
+    rows = units.select("unit", F.col("unit").alias("own"), F.monotonically_increasing_id().alias("seq"))
+    return _best_paths(rows, path).select(F.col("own").alias("unit"), "ids")
+
+
+class _Numbers(dict):
+    """Numbers units in the order they come, and lists the new ones."""
+
+    def __init__(self):
+        self.fresh: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self.fresh.append(unit)
+        self[unit] = number = len(self)
+        return number
+
+
+def _deal(path: str, remembered: int):
+    """Texts as numbers of units. A unit that the task does not remember comes first, as a row of
+    its own; ``epoch`` counts how often the task began to number anew."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, numbers, epoch, seq = vocabulary_of(path), _Numbers(), 0, 0
+
+        def given(ids: pa.Array, digests: pa.Array, codes: list[np.ndarray]) -> pa.RecordBatch:
+            nonlocal seq
+            units, n = numbers.fresh, len(numbers.fresh) + len(codes)
+            numbers.fresh = []
+            seq += n
+            before = len(units)
             return pa.RecordBatch.from_arrays(
-                [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
-                ["unit", "times"],
+                [
+                    pa.array(np.arange(seq - n, seq)),
+                    pa.array(np.full(n, epoch, np.int32)),
+                    pa.array(units + [None] * len(codes), pa.string()),
+                    pa.concat_arrays([pa.nulls(before, ids.type), ids]),
+                    pa.concat_arrays([pa.nulls(before, digests.type), digests]),
+                    pa.array([None] * before + [own.tobytes() for own in codes], pa.binary()),
+                ],
+                ["seq", "epoch", "unit", "doc_id", "text_sha256", "codes"],
             )
 
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(known.units(text.as_py()))
-                if len(counts) > COUNTED_UNITS:
-                    yield given()
-                    counts.clear()
-        if counts:
-            yield given()
-
-    counted = slim.select("text").mapInArrow(count, "unit string, times long")
-    return counted.groupBy("unit").agg(F.sum("times").alias("times"))
+            codes, first, held = [], 0, 0
+            for k, text in enumerate(batch.column("text")):
+                own = known.units(text.as_py())
+                codes.append(np.fromiter(map(numbers.__getitem__, own), np.int32, len(own)))
+                held += len(own)
+                if held > DEALT_UNITS or len(numbers) > remembered or k == batch.num_rows - 1:
+                    ids, digests = (batch.column(c).slice(first, k + 1 - first) for c in ("doc_id", "text_sha256"))
+                    yield given(ids, digests, codes)
+                    codes, first, held = [], k + 1, 0
+                    if len(numbers) > remembered:
+                        numbers, epoch = _Numbers(), epoch + 1
+
+    return deal
+
+
+def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers of units replaced by the units' ids, which came before in the same task."""
+    now, flat, sizes = -1, np.zeros(0, np.int32), np.zeros(0, np.int64)
+    for batch in batches:
+        epochs = batch.column("epoch").to_numpy()
+        bounds = np.r_[np.flatnonzero(np.r_[True, np.diff(epochs) != 0]), len(epochs)] if len(epochs) else []
+        for low, high in zip(bounds[:-1], bounds[1:]):
+            if epochs[low] != now:
+                now, flat, sizes = epochs[low], flat[:0], sizes[:0]
+            part = batch.slice(low, high - low)
+            is_unit = part.column("codes").is_null()
+            lists = part.column("ids").filter(is_unit)
+            flat = np.concatenate([flat, lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)])
+            sizes = np.concatenate([sizes, lists.value_lengths().to_numpy(zero_copy_only=False)])
+            docs = part.filter(pa.compute.invert(is_unit))
+            starts = np.cumsum(sizes) - sizes
+            codes = docs.column("codes").to_pylist()
+            numbers = np.frombuffer(b"".join(codes), np.int32)
+            counts = np.array([len(own) // 4 for own in codes], np.int64)
+            length = sizes[numbers]
+            ends = np.r_[0, np.cumsum(length)]
+            take = np.repeat(starts[numbers] - ends[:-1], length) + np.arange(ends[-1])
+            offsets = ends[np.r_[0, np.cumsum(counts)].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    docs.column("doc_id"),
+                    docs.column("text_sha256"),
+                    pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), flat[take]),
+                ],
+                ["doc_id", "text_sha256", "ids"],
+            )
 
 
 def encode_documents(
@@ -177,107 +292,25 @@ def encode_documents(
     path: str,
     id_column: str = "doc_id",
     text_column: str = "text",
-    frequent_units: int = FREQUENT_UNITS,
+    remembered: int = REMEMBERED_UNITS,
 ) -> DataFrame:
     """One row per row of docs: doc_id, text_sha256, ids. Null and empty texts have no ids.
 
     Repeated rows and null ids stay as they are. The mark itself in a text counts as a space.
+    ``remembered`` bounds the units that a task holds; it changes the cost, never the ids.
     """
-    spark = docs.sparkSession
-    slim = docs.select(column(id_column).alias("doc_id"), text_of(text_column).alias("text"))
-    counts = cut_lineage(_count_units(slim, path), "units")
-    table_ = cut_lineage(encode_units(counts.select("unit"), path), "encoded")
-    top = counts.orderBy(F.desc("times"), "unit").limit(frequent_units).select("unit")
-    common = table_.join(top, "unit").toArrow()
-    units, lists = common["unit"].combine_chunks(), common["ids"].combine_chunks()
-    given = spark.sparkContext.broadcast(
-        (
-            units.to_pylist(),
-            lists.values.to_numpy(zero_copy_only=False).astype(np.int32),
-            lists.offsets.to_numpy(),
-        )
-    )
-
-    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, common_, seen = vocabulary_of(path), set(given.value[0]), set()
-        for batch in batches:
-            heads, sizes, others = [], [], []
-            for head, size, text in zip(*[batch.column(k).to_pylist() for k in range(3)]):
-                if (head, size) not in seen:
-                    seen.add((head, size))
-                    own = set(known.units(text)) - common_
-                    heads += [head] * len(own)
-                    sizes += [size] * len(own)
-                    others += own
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(heads, pa.int64()), pa.array(sizes, pa.int32()), pa.array(others, pa.string())],
-                ["head", "size", "unit"],
-            )
-
-    # Texts that share a key only share a larger list of units, so the key need not be exact.
-    keyed = slim.withColumns({"head": F.xxhash64("text"), "size": F.octet_length("text")})
-    wanted = keyed.select("head", "size", "text").mapInArrow(rest, "head long, size int, unit string")
-    answers = (
-        wanted.join(table_, "unit")
-        .groupBy("head", "size")
-        .agg(F.collect_list(F.struct("unit", "ids")).alias("others"))
+    slim = docs.select(
+        column(id_column).alias("doc_id"),
+        F.sha2(text_of(text_column).cast("binary"), 256).alias("text_sha256"),
+        text_of(text_column).alias("text"),
     )
-    answers = cut_lineage(answers, "others")
-
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary_of(path)
-        names, flat, offsets = given.value
-        places = dict(zip(names, range(len(names))))
-        starts, sizes = offsets[:-1].astype(np.int64), np.diff(offsets).astype(np.int64)
-        for batch in batches:
-            pieces = []
-            for text, others in zip(batch.column(1), batch.column(2)):
-                own = known.units(text.as_py())
-                found = list(map(places.get, own))
-                more = {} if not others.is_valid else {o["unit"]: o["ids"] for o in others.as_py()}
-                if None in found:
-                    extra, extra_starts, extra_sizes, at = [], [], [], len(flat)
-                    numbers: dict[str, int] = {}
-                    for k, place in enumerate(found):
-                        if place is None:
-                            unit = own[k]
-                            if unit not in numbers:
-                                numbers[unit] = len(starts) + len(numbers)
-                                extra_starts.append(at + len(extra))
-                                extra_sizes.append(len(more[unit]))
-                                extra += more[unit]
-                            found[k] = numbers[unit]
-                    low = np.concatenate([starts[[]], np.array(extra_starts, np.int64)])
-                    size = np.array(extra_sizes, np.int64)
-                    where = np.array(found)
-                    old = where < len(starts)
-                    begin, length = np.empty(len(where), np.int64), np.empty(len(where), np.int64)
-                    begin[old], length[old] = starts[where[old]], sizes[where[old]]
-                    begin[~old] = low[where[~old] - len(starts)]
-                    length[~old] = size[where[~old] - len(starts)]
-                    ends = np.cumsum(length)
-                    take = np.repeat(begin - ends + length, length) + np.arange(ends[-1])
-                    late = take >= len(flat)
-                    ids = np.empty(len(take), np.int32)
-                    ids[~late] = flat[take[~late]]
-                    ids[late] = np.array(extra, np.int32)[take[late] - len(flat)]
-                else:
-                    where = np.array(found, np.int64)
-                    length = sizes[where]
-                    ends = np.cumsum(length)
-                    total = int(ends[-1]) if len(ends) else 0
-                    ids = flat[np.repeat(starts[where] - ends + length, length) + np.arange(total)]
-                pieces.append(ids)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(3), pa.array(pieces, pa.list_(pa.int32()))],
-                ["doc_id", "text_sha256", "ids"],
-            )
-
     kind = dict(slim.dtypes)["doc_id"]
-    joined = keyed.join(answers, ["head", "size"], "left").select(
-        "doc_id", "text", "others", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
+    dealt = slim.mapInArrow(
+        _deal(path, remembered),
+        f"seq long, epoch int, unit string, doc_id {kind}, text_sha256 string, codes binary",
     )
-    return joined.mapInArrow(assemble, f"doc_id {kind}, text_sha256 string, ids array<int>")
+    paths = _best_paths(dealt, path)
+    return paths.mapInArrow(_assembled, f"doc_id {kind}, text_sha256 string, ids array<int>")
 
 
 def decoded(ids: Column, path: str) -> Column:

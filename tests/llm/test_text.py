@@ -168,8 +168,8 @@ def test_pieces_match_lattice_and_round_trip(spark):
         [(k, t, "u") for k, t in enumerate(samples)] + [(0, samples[0], "u"), (None, "null id", "u")],
         "doc_id long, text string, unit string",
     )
-    for frequent in (2, 1000):
-        encoded = pieces.encode_documents(docs, path, frequent_units=frequent)
+    for remembered in (2, 1000):
+        encoded = pieces.encode_documents(docs, path, remembered=remembered)
         rows = encoded.withColumn("back", pieces.decoded(F.col("ids"), path)).collect()
         assert len(rows) == len(samples) + 2
         for r in rows:
