@@ -163,7 +163,7 @@ def test_pieces_match_lattice_and_round_trip(spark):
     model.trainer_spec.model_type = 1
     library = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
     known = pieces.vocabulary_of(path)
-    samples = ["the with", "naïve café", "", None, " lead", "a  b   c\n\nd ", "漢字𝄞 ok", "x" * 300, "1234567", "über-groß", "def f(x):\n    return x"]
+    samples = ["the with", "naïve café", "", None, " lead", "a  b   c\n\nd ", "漢字𝄞 ok", "x" * 300, "e" * 6000, "1234567", "über-groß", "def f(x):\n    return x"]
     docs = spark.createDataFrame(
         [(k, t, "u") for k, t in enumerate(samples)] + [(0, samples[0], "u"), (None, "null id", "u")],
         "doc_id long, text string, unit string",
