@@ -7,10 +7,13 @@ edges are grouped by unit, and a higher-order aggregate folds them from left to
 best path to every place (Viterbi). A character without a piece costs the unknown score and becomes
 its bytes.
 
+The fold keeps the best score to every place; the path is read back from the end of the unit.
+Substrings are bounded by the longest piece that ends in the same characters.
+
 All this runs in the scanning tasks, without a shuffle: a task sends each unit that it does not
 remember through the lattice once, ahead of the texts that hold it, and the texts follow as numbers
-of units. What a task remembers is bounded; when full, it begins anew. Decoding joins pieces, turns
-byte pieces back into text and takes off the leading mark.
+of units. What a task remembers is bounded; when full, it forgets the less used half. Decoding joins
+pieces, turns byte pieces back into text and takes off the leading mark.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -66,10 +70,19 @@ class Vocabulary:
         }
         if any(MARK in self.pieces[k].lstrip(MARK) or "\n" in self.pieces[k] for k in self.normal):
             raise ValueError("a piece crosses a space or a line break")
-        whole = (self.pieces[k].replace(MARK, " ") for k in self.normal)
+        whole = [self.pieces[k].replace(MARK, " ") for k in self.normal]
         self.pattern = _FINE if all(_FINE.fullmatch(piece) for piece in whole) else _COARSE
         if len(self.bytes) != 256:
             raise ValueError("the model has no byte pieces to fall back on")
+        #: Scores by id; the last one is that of a character without a piece.
+        self.score_of = np.full(len(self.pieces) + 1, self.unknown)
+        self.score_of[self.normal] = [self.scores[k] for k in self.normal]
+        self._reach: dict[str, int] = {}
+        for piece in whole:
+            for size in (3, 4):
+                if len(piece) >= size:
+                    end = piece[-size:]
+                    self._reach[end] = max(len(piece), self._reach.get(end, 0))
 
     def units(self, text: str) -> list[str]:
         """The text, with the leading mark's space, in parts that no piece crosses."""
@@ -80,52 +93,93 @@ class Vocabulary:
             return found
         return [part for unit in found for part in self._cut(unit)]
 
+    def reach(self, unit: str) -> list[int]:
+        """For every place the length of the longest piece that could end there: longer pieces
+        differ from the unit in their last three or four characters."""
+        longest = self._reach.get
+        return [1, 2, min(longest(unit[:3], 2), 3)][: len(unit)] + [
+            min(longest(unit[k - 4 : k]) or min(longest(unit[k - 3 : k], 2), 3), k)
+            for k in range(4, len(unit) + 1)
+        ]
+
     def _cut(self, unit: str) -> list[str]:
         if len(unit) <= LONG_UNIT:
             return [unit]
         cuts = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in self.pairs]
         return [unit[a:b] for a, b in zip([0, *cuts], [*cuts, len(unit)])]
 
+    def with_bytes(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their counts by unit, with characters that have no piece as their bytes."""
+        unknown = np.flatnonzero(ids < 0)
+        if not len(unknown):
+            return ids, sizes
+        spelled = [[self.bytes[b] for b in chr(-1 - ids[k]).encode()] for k in unknown]
+        widths = np.ones(len(ids), np.int64)
+        widths[unknown] = [len(own) for own in spelled]
+        ends = np.cumsum(widths)
+        out = np.repeat(ids, widths)
+        for k, own in zip(unknown, spelled):
+            out[ends[k] - len(own) : ends[k]] = own
+        upto = np.r_[0, ends]
+        bounds = np.r_[0, np.cumsum(sizes)]
+        return out, upto[bounds[1:]] - upto[bounds[:-1]]
+
 
 @lru_cache(maxsize=4)
 def vocabulary_of(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _packed(*ids: int) -> bytes:
-    """Ids as four bytes each, which join faster than arrays."""
-    return np.array(ids, "<i4").tobytes()
-
-
 def piece_table(spark: SparkSession, path: str) -> DataFrame:
     known = vocabulary_of(path)
-    rows = [(known.pieces[k], _packed(k), known.scores[k]) for k in known.normal]
-    return spark.createDataFrame(rows, "piece string, id binary, score double")
+    rows = [(known.pieces[k], k, known.scores[k]) for k in known.normal]
+    return spark.createDataFrame(rows, "piece string, id int, score double")
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges that follow one another in a task, as one row per ``seq``: a list of edges for every
-    place of the unit. Rows of no unit pass as they are."""
+    """Edges that follow one another in a task, as one row per ``seq``.
+
+    ``places`` lists, for every place of the unit, the scores of the pieces that end there by their
+    lengths (null where there is no piece); ``edges`` holds end, length and id of each, four bytes
+    a number. Rows of no unit pass as they are.
+    """
 
     def packed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(parts).combine_chunks()
-        seq, end = (rows[k].combine_chunks() for k in ("seq", "end"))
-        seq, end = seq.to_numpy(zero_copy_only=False), end.fill_null(0).to_numpy(zero_copy_only=False)
+        seq = rows["seq"].to_numpy()
         if (np.diff(seq) < 0).any():
             raise ValueError("edges of a unit are apart")
         new_unit = np.r_[True, np.diff(seq) != 0]
         firsts = np.flatnonzero(new_unit)
-        places = np.flatnonzero(new_unit | np.r_[True, np.diff(end) != 0])
-        edges = pa.StructArray.from_arrays(
-            [rows[k].combine_chunks() for k in ("back", "score", "ids")], ["back", "score", "ids"]
+        end, back, ids = (rows[k].fill_null(0).to_numpy() for k in ("end", "back", "id"))
+        score = rows["score"].fill_null(0.0).to_numpy()
+        # Edges of a place come by length, so its last edge is its longest.
+        new_place = new_unit | np.r_[True, np.diff(end) != 0]
+        places = np.flatnonzero(new_place)
+        widths = back[np.r_[places[1:], len(seq)] - 1].astype(np.int64)
+        starts = np.cumsum(widths) - widths
+        missing = np.ones(int(widths.sum()), bool)
+        scores = np.zeros(len(missing))
+        is_edge = back > 0
+        at = (starts[np.cumsum(new_place) - 1] + back - 1)[is_edge]
+        missing[at], scores[at] = False, score[is_edge]
+        by_place = pa.ListArray.from_arrays(
+            pa.array(np.r_[starts, len(scores)].astype(np.int32)), pa.array(scores, mask=missing)
+        )
+        by_unit = pa.ListArray.from_arrays(
+            pa.array(np.r_[np.searchsorted(places, firsts), len(places)].astype(np.int32)), by_place
         )
-        ends = pa.array(np.r_[places, len(seq)].astype(np.int32))
-        by_place = pa.ListArray.from_arrays(ends, edges)
-        units = pa.array(np.r_[np.searchsorted(places, firsts), len(places)].astype(np.int32))
-        kept = rows.drop_columns(["seq", "end", "back", "score", "ids"]).take(pa.array(firsts))
-        names = [*kept.column_names, "places"]
+        body = np.column_stack([end, back, ids]).astype("<i4").tobytes()
+        edges = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(),
+            len(firsts),
+            [None, pa.py_buffer((np.r_[firsts, len(seq)] * 12).astype(np.int64)), pa.py_buffer(body)],
+        ).cast(pa.binary())
+        kept = rows.drop_columns(["seq", "end", "back", "score", "id"]).take(pa.array(firsts))
         columns = [c.combine_chunks() for c in kept.columns]
-        return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(units, by_place)], names)
+        return pa.RecordBatch.from_arrays(
+            [*columns, by_unit, edges], [*kept.column_names, "places", "edges"]
+        )
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -142,31 +196,29 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield packed(held)
 
 
-def _best_paths(rows: DataFrame, path: str) -> DataFrame:
-    """``rows`` with ids, the best path through the lattice of ``unit`` (null where that is null),
-    four bytes an id.
+def _best_scores(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` with edges and best: the lattice of ``unit`` and the best score to each of its
+    places, the last place first (an empty list where the unit is null).
 
-    ``seq`` numbers the rows of a task upwards. Edges are exploded and joined to the broadcast
-    pieces where the row is, so a unit's edges follow one another and are grouped without a
-    shuffle. ``unit`` and ``seq`` are not returned.
+    ``seq`` numbers the rows of a task upwards and ``reach`` bounds the substrings that end at each
+    place. Edges are exploded and joined to the broadcast pieces where the row is, so a unit's
+    edges follow one another and are grouped without a shuffle. ``unit``, ``reach`` and ``seq`` are
+    not returned.
     """
     known = vocabulary_of(path)
-    others = [name for name in rows.columns if name not in ("unit", "seq")]
-    bytes_ = F.array(*[F.lit(_packed(known.bytes[k])) for k in range(256)])
+    others = [name for name in rows.columns if name not in ("unit", "reach", "seq")]
     # Two plain explodes stay in compiled code, which a function over nested arrays does not.
     exploded = (
         rows.withColumn("marked", F.translate("unit", " ", MARK))
-        .select("seq", *others, "marked", F.explode_outer(F.expr("sequence(1, length(marked))")).alias("end"))
-        .withColumn("lengths", F.expr(f"if(end IS NULL, NULL, sequence(1, least({known.longest}, end)))"))
-        .select("seq", *others, "marked", "end", F.explode_outer("lengths").alias("back"))
+        .select("seq", *others, "marked", F.posexplode_outer("reach").alias("place", "most"))
+        .withColumn("lengths", F.expr("if(most IS NULL, NULL, sequence(1, most))"))
+        .select("seq", *others, "marked", "place", F.explode_outer("lengths").alias("back"))
+        .withColumn("end", F.col("place") + 1)
         .withColumn("piece", F.expr("substring(marked, end - back + 1, back)"))
-        .drop("marked")
+        .drop("marked", "place")
     )
-    fallback = F.expr(
-        """transform(sequence(1, octet_length(piece)),
-           k -> cast(conv(substring(hex(encode(piece, 'UTF-8')), 2 * k - 1, 2), 16, 10) as int))"""
-    )
-    # The piece table has as many rows as the vocabulary file, whatever the corpus.
+    # The piece table has as many rows as the vocabulary file, whatever the corpus. A character
+    # without a piece is known by its code point, as a negative id.
     edges = (
         exploded.join(F.broadcast(piece_table(rows.sparkSession, path)), "piece", "left")
         .where("id IS NOT NULL OR back = 1 OR back IS NULL")
@@ -176,81 +228,132 @@ def _best_paths(rows: DataFrame, path: str) -> DataFrame:
             "end",
             "back",
             F.coalesce("score", F.lit(known.unknown)).alias("score"),
-            F.coalesce(
-                "id",
-                F.aggregate(fallback, F.lit(b""), lambda ids, b: F.concat(ids, F.element_at(bytes_, b + 1))),
-            ).alias("ids"),
+            F.coalesce("id", -1 - F.ascii("piece")).alias("id"),
         )
     )
     kept = ", ".join(f"{name} {kind}" for name, kind in edges.select(*others).dtypes)
-    grouped = edges.mapInArrow(
-        _grouped, f"{kept}, places array<array<struct<back: int, score: double, ids: binary>>>"
+    grouped = edges.mapInArrow(_grouped, f"{kept}, places array<array<double>>, edges binary")
+    fold = """aggregate(places, array(0D), (best, scores) -> concat(
+        array(array_max(zip_with(slice(best, 1, size(scores)), scores, (b, s) -> b + s))), best))"""
+    return grouped.select(
+        *others, "edges", F.expr(f"if(size(places[0]) > 0, {fold}, array())").alias("best")
     )
-    # For every place the best of the edges that end there; of equal scores the longest piece. No
-    # edge reaches further back than the longest piece, so older places are let go of in turn.
-    fold = f"""CASE WHEN places[0][0].back IS NOT NULL THEN aggregate(
-        places,
-        array(named_struct('score', 0D, 'back', 0, 'ids', X'')),
-        (best, edges) -> concat(
-            if(size(best) < {4 * known.longest}, best,
-               slice(best, size(best) - {known.longest - 2}, {known.longest - 1})),
-            transform(
-                array(array_max(transform(edges, e -> named_struct(
-                    'score', element_at(best, -e.back).score + e.score, 'back', e.back, 'ids', e.ids)))),
-                b -> named_struct('score', b.score, 'back', b.back,
-                                  'ids', concat(element_at(best, -b.back).ids, b.ids)))),
-        best -> element_at(best, -1).ids) END"""
-    return grouped.select(*others, F.expr(fold).alias("ids"))
+
+
+def _paths(known: Vocabulary, edges: pa.Array, best: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the best paths of units, one after another, and how many each has. Of equal scores
+    the longest last piece is taken."""
+    body = np.frombuffer(b"".join(edges.to_pylist()), "<i4").reshape(-1, 3)
+    end, back, ids = (body[:, k].astype(np.int64) for k in range(3))
+    of_unit = np.repeat(np.arange(len(edges)), pa.compute.binary_length(edges).to_numpy() // 12)
+    scores = best.flatten().to_numpy()
+    sizes = best.value_lengths().to_numpy().astype(np.int64)
+    # Where a unit's score to its very beginning is: from there the places lie backwards.
+    origin = np.cumsum(sizes) - 1
+    there = origin[of_unit] - end
+    fits = scores[there + back] + known.score_of[np.maximum(ids, -1)] == scores[there]
+    choice = np.zeros(len(scores), np.int64)
+    choice[there[fits]] = np.flatnonzero(fits)  # the last one, as edges come by length
+    place, unit = origin - sizes + 1, np.arange(len(sizes))
+    counts, steps = np.zeros(len(sizes), np.int64), []
+    while len(unit):
+        taken = choice[place]
+        steps.append((unit, ids[taken]))
+        counts[unit] += 1
+        place = place + back[taken]
+        going = place < origin[unit]
+        place, unit = place[going], unit[going]
+    out, ends = np.zeros(counts.sum(), np.int32), np.cumsum(counts)
+    for k, (units, found) in enumerate(steps):
+        out[ends[units] - 1 - k] = found
+    return known.with_bytes(out, counts)
 
 
 def encode_units(units: DataFrame, path: str) -> DataFrame:
     """unit, ids: the best path through each unit's lattice, for the rows of ``units``."""
-    rows = units.select("unit", F.col("unit").alias("own"), F.monotonically_increasing_id().alias("seq"))
+    longest = vocabulary_of(path).longest
+    rows = units.select(
+        "unit",
+        F.expr(f"transform(sequence(1, length(unit)), k -> least(k, {longest}))").alias("reach"),
+        F.col("unit").alias("own"),
+        F.monotonically_increasing_id().alias("seq"),
+    )
 
     def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [np.frombuffer(own, "<i4") for own in batch.column("ids").to_pylist()]
-            lists = pa.array(ids, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("own"), lists], ["unit", "ids"])
+            if batch.num_rows:
+                ids, counts = _paths(vocabulary_of(path), batch.column("edges"), batch.column("best"))
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), ids)
+                yield pa.RecordBatch.from_arrays([batch.column("own"), lists], ["unit", "ids"])
 
-    return _best_paths(rows, path).mapInArrow(unpacked, "unit string, ids array<int>")
+    return _best_scores(rows, path).mapInArrow(unpacked, "unit string, ids array<int>")
 
 
 class _Numbers(dict):
-    """Numbers units in the order they come, and lists the new ones."""
+    """Numbers units and lists the new ones. Numbers of forgotten units are given again."""
 
     def __init__(self):
         self.fresh: list[str] = []
+        self.free: list[int] = []
+        self.uses = np.zeros(0, np.int64)
 
     def __missing__(self, unit: str) -> int:
         self.fresh.append(unit)
-        self[unit] = number = len(self)
+        self[unit] = number = self.free.pop() if self.free else len(self)
         return number
 
+    def count(self, numbers: np.ndarray) -> None:
+        now = np.bincount(numbers, minlength=len(self.uses))
+        now[: len(self.uses)] += self.uses
+        self.uses = now
+
+    def forget(self, kept: int) -> None:
+        """Keeps the units used most, as many as ``kept``; later uses weigh more than earlier ones."""
+        order = np.argsort(-self.uses, kind="stable")
+        gone = np.zeros(len(self.uses), bool)
+        gone[order[kept:]] = True
+        for unit in [unit for unit, number in self.items() if gone[number]]:
+            del self[unit]
+        self.free = np.flatnonzero(gone).tolist()
+        self.uses = np.where(gone, 0, self.uses // 2)
+
+
+def _listed(lists: list[list[int]], nulls: int) -> pa.Array:
+    """Lists, and as many nulls after them."""
+    n = len(lists)
+    ends = np.cumsum(np.fromiter(map(len, lists), np.int32, n), dtype=np.int32)
+    flat = np.fromiter(chain.from_iterable(lists), np.int32, ends[-1] if n else 0)
+    offsets = np.r_[np.int32(0), ends, np.full(nulls, ends[-1] if n else 0, np.int32)]
+    absent = pa.array(np.arange(n + nulls) >= n)
+    return pa.ListArray.from_arrays(pa.array(offsets), flat, mask=absent)
+
 
 def _deal(path: str, remembered: int):
     """Texts as numbers of units. A unit that the task does not remember comes first, as a row of
-    its own; ``epoch`` counts how often the task began to number anew."""
+    its own; ``epoch`` counts how often the task has forgotten units, whose numbers come again."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, numbers, epoch, seq = vocabulary_of(path), _Numbers(), 0, 0
 
         def given(ids: pa.Array, digests: pa.Array, codes: list[np.ndarray]) -> pa.RecordBatch:
             nonlocal seq
-            units, n = numbers.fresh, len(numbers.fresh) + len(codes)
-            numbers.fresh = []
+            units, numbers.fresh = numbers.fresh, []
+            before, after = len(units), len(codes)
+            n = before + after
             seq += n
-            before = len(units)
+            numbers.count(np.concatenate(codes))
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(seq - n, seq)),
                     pa.array(np.full(n, epoch, np.int32)),
-                    pa.array(units + [None] * len(codes), pa.string()),
+                    pa.array([numbers[unit] for unit in units] + [None] * after, pa.int32()),
+                    pa.array(units + [None] * after, pa.string()),
+                    _listed([known.reach(unit) for unit in units], after),
                     pa.concat_arrays([pa.nulls(before, ids.type), ids]),
                     pa.concat_arrays([pa.nulls(before, digests.type), digests]),
                     pa.array([None] * before + [own.tobytes() for own in codes], pa.binary()),
                 ],
-                ["seq", "epoch", "unit", "doc_id", "text_sha256", "codes"],
+                ["seq", "epoch", "number", "unit", "reach", "doc_id", "text_sha256", "codes"],
             )
 
         for batch in batches:
@@ -264,42 +367,62 @@ def _deal(path: str, remembered: int):
                     yield given(ids, digests, codes)
                     codes, first, held = [], k + 1, 0
                     if len(numbers) > remembered:
-                        numbers, epoch = _Numbers(), epoch + 1
+                        numbers.forget(remembered // 2)
+                        epoch += 1
 
     return deal
 
 
-def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers of units replaced by the units' ids, which came before in the same task."""
-    now, flat, sizes = -1, np.zeros(0, np.int32), np.zeros(0, np.int64)
-    for batch in batches:
-        epochs = batch.column("epoch").to_numpy()
-        bounds = np.r_[np.flatnonzero(np.r_[True, np.diff(epochs) != 0]), len(epochs)] if len(epochs) else []
-        for low, high in zip(bounds[:-1], bounds[1:]):
-            if epochs[low] != now:
-                now, flat, sizes = epochs[low], flat[:0], sizes[:0]
-            part = batch.slice(low, high - low)
-            is_unit = part.column("codes").is_null()
-            paths = part.column("ids").filter(is_unit).to_pylist()
-            flat = np.concatenate([flat, np.frombuffer(b"".join(paths), "<i4")])
-            sizes = np.concatenate([sizes, np.array([len(own) // 4 for own in paths], np.int64)])
-            docs = part.filter(pa.compute.invert(is_unit))
-            starts = np.cumsum(sizes) - sizes
-            codes = docs.column("codes").to_pylist()
-            numbers = np.frombuffer(b"".join(codes), np.int32)
-            counts = np.array([len(own) // 4 for own in codes], np.int64)
-            length = sizes[numbers]
-            ends = np.r_[0, np.cumsum(length)]
-            take = np.repeat(starts[numbers] - ends[:-1], length) + np.arange(ends[-1])
-            offsets = ends[np.r_[0, np.cumsum(counts)].astype(np.int64)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    docs.column("doc_id"),
-                    docs.column("text_sha256"),
-                    pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), flat[take]),
-                ],
-                ["doc_id", "text_sha256", "ids"],
-            )
+def _assembled(path: str):
+    """Numbers of units replaced by the units' ids, whose lattices came before in the same task."""
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat, starts, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+        def learn(units: pa.RecordBatch) -> None:
+            nonlocal flat, starts, sizes
+            ids, counts = _paths(vocabulary_of(path), units.column("edges"), units.column("best"))
+            numbers = units.column("number").to_numpy()
+            more = max(int(numbers.max()) + 1 - len(sizes), 0)
+            starts, sizes = (np.r_[old, np.zeros(more, np.int64)] for old in (starts, sizes))
+            starts[numbers] = len(flat) + np.cumsum(counts) - counts
+            sizes[numbers] = counts
+            flat = np.concatenate([flat, ids])
+            if len(flat) > 2 * sizes.sum() + 1_000_000:  # mostly paths of forgotten units
+                offsets = np.cumsum(sizes) - sizes
+                flat = flat[np.repeat(starts - offsets, sizes) + np.arange(sizes.sum())]
+                starts = offsets
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            epochs = batch.column("epoch").to_numpy()
+            bounds = np.r_[np.flatnonzero(np.r_[True, np.diff(epochs) != 0]), len(epochs)]
+            for low, high in zip(bounds[:-1], bounds[1:]):
+                part = batch.slice(low, high - low)
+                is_unit = part.column("codes").is_null()
+                units, docs = part.filter(is_unit), part.filter(pa.compute.invert(is_unit))
+                if units.num_rows:
+                    learn(units)
+                if not docs.num_rows:
+                    continue
+                codes = docs.column("codes").to_pylist()
+                numbers = np.frombuffer(b"".join(codes), np.int32)
+                counts = np.array([len(own) // 4 for own in codes], np.int64)
+                length = sizes[numbers]
+                ends = np.r_[0, np.cumsum(length)]
+                take = np.repeat(starts[numbers] - ends[:-1], length) + np.arange(ends[-1])
+                offsets = ends[np.r_[0, np.cumsum(counts)].astype(np.int64)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        docs.column("doc_id"),
+                        docs.column("text_sha256"),
+                        pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), flat[take]),
+                    ],
+                    ["doc_id", "text_sha256", "ids"],
+                )
+
+    return assemble
 
 
 def encode_documents(
@@ -322,10 +445,11 @@ def encode_documents(
     kind = dict(slim.dtypes)["doc_id"]
     dealt = slim.mapInArrow(
         _deal(path, remembered),
-        f"seq long, epoch int, unit string, doc_id {kind}, text_sha256 string, codes binary",
+        "seq long, epoch int, number int, unit string, reach array<int>, "
+        f"doc_id {kind}, text_sha256 string, codes binary",
     )
-    paths = _best_paths(dealt, path)
-    return paths.mapInArrow(_assembled, f"doc_id {kind}, text_sha256 string, ids array<int>")
+    scored = _best_scores(dealt, path)
+    return scored.mapInArrow(_assembled(path), f"doc_id {kind}, text_sha256 string, ids array<int>")
 
 
 def decoded(ids: Column, path: str) -> Column:
