@@ -21,7 +21,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +38,24 @@ DEALT_UNITS = 500_000
 #: Units this long are cut further, between characters that no piece holds side by side.
 LONG_UNIT = 64
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+#: Size of the tables that bound substrings; a small one costs time only.
+REACH_BITS = 19
+_ODD = np.random.default_rng(5).integers(0, 2**63, 5, np.uint64) * np.uint64(2) + np.uint64(1)
 #: Spaces and the letters or other marks that follow. Where a vocabulary has pieces that hold both
 #: letters and marks, words are not cut between them.
 _FINE = re.compile(rf" *[{_LATIN}]+| *[^{_LATIN} \n]+| +|\n")
 _COARSE = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 
 
+def _windows(text: str, size: int) -> np.ndarray:
+    """For every character a hash of the last ``size`` characters, its own included."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    total = np.zeros(len(codes), np.uint64)
+    for k in range(min(size, len(codes))):
+        total[k:] += codes[: len(codes) - k] * _ODD[k]
+    return (total * _ODD[4]) >> np.uint64(64 - REACH_BITS)
+
+
 class Vocabulary:
     """Pieces of a SentencePiece model file, which the public library reads."""
 
@@ -77,12 +88,12 @@ class Vocabulary:
         #: Scores by id; the last one is that of a character without a piece.
         self.score_of = np.full(len(self.pieces) + 1, self.unknown)
         self.score_of[self.normal] = [self.scores[k] for k in self.normal]
-        self._reach: dict[str, int] = {}
-        for piece in whole:
-            for size in (3, 4):
-                if len(piece) >= size:
-                    end = piece[-size:]
-                    self._reach[end] = max(len(piece), self._reach.get(end, 0))
+        #: Longest piece with the same last three or four characters, by their hash.
+        self._reach = {size: np.zeros(1 << REACH_BITS, np.int32) for size in (3, 4)}
+        for size, longest in self._reach.items():
+            ends = [piece[-size:] for piece in whole if len(piece) >= size]
+            lengths = [len(piece) for piece in whole if len(piece) >= size]
+            np.maximum.at(longest, _windows("".join(ends), size)[size - 1 :: size], lengths)
 
     def units(self, text: str) -> list[str]:
         """The text, with the leading mark's space, in parts that no piece crosses."""
@@ -93,14 +104,16 @@ class Vocabulary:
             return found
         return [part for unit in found for part in self._cut(unit)]
 
-    def reach(self, unit: str) -> list[int]:
-        """For every place the length of the longest piece that could end there: longer pieces
-        differ from the unit in their last three or four characters."""
-        longest = self._reach.get
-        return [1, 2, min(longest(unit[:3], 2), 3)][: len(unit)] + [
-            min(longest(unit[k - 4 : k]) or min(longest(unit[k - 3 : k], 2), 3), k)
-            for k in range(4, len(unit) + 1)
-        ]
+    def reach(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """For every place of every unit the length of the longest piece that could end there, and
+        the units' lengths: longer pieces differ in their last three or four characters. Ends that
+        share a hash share the larger length."""
+        lengths = np.fromiter(map(len, units), np.int32, len(units))
+        body = "".join(units)
+        place = np.arange(1, len(body) + 1, dtype=np.int32)
+        place -= np.repeat(np.cumsum(lengths, dtype=np.int32) - lengths, lengths)
+        few = np.clip(self._reach[3][_windows(body, 3)], 2, 3)
+        return np.minimum(np.maximum(self._reach[4][_windows(body, 4)], few), place), lengths
 
     def _cut(self, unit: str) -> list[str]:
         if len(unit) <= LONG_UNIT:
@@ -233,8 +246,11 @@ def _best_scores(rows: DataFrame, path: str) -> DataFrame:
     )
     kept = ", ".join(f"{name} {kind}" for name, kind in edges.select(*others).dtypes)
     grouped = edges.mapInArrow(_grouped, f"{kept}, places array<array<double>>, edges binary")
-    fold = """aggregate(places, array(0D), (best, scores) -> concat(
-        array(array_max(zip_with(slice(best, 1, size(scores)), scores, (b, s) -> b + s))), best))"""
+    # Most places end few and short pieces; their scores are compared without inner functions.
+    near = ", ".join(f"get(best, {k}) + get(scores, {k})" for k in range(4))
+    fold = f"""aggregate(places, array(0D), (best, scores) -> concat(array(if(size(scores) <= 4,
+        greatest({near}),
+        array_max(zip_with(slice(best, 1, size(scores)), scores, (b, s) -> b + s)))), best))"""
     return grouped.select(
         *others, "edges", F.expr(f"if(size(places[0]) > 0, {fold}, array())").alias("best")
     )
@@ -318,13 +334,12 @@ class _Numbers(dict):
         self.uses = np.where(gone, 0, self.uses // 2)
 
 
-def _listed(lists: list[list[int]], nulls: int) -> pa.Array:
-    """Lists, and as many nulls after them."""
-    n = len(lists)
-    ends = np.cumsum(np.fromiter(map(len, lists), np.int32, n), dtype=np.int32)
-    flat = np.fromiter(chain.from_iterable(lists), np.int32, ends[-1] if n else 0)
-    offsets = np.r_[np.int32(0), ends, np.full(nulls, ends[-1] if n else 0, np.int32)]
-    absent = pa.array(np.arange(n + nulls) >= n)
+def _listed(flat: np.ndarray, lengths: np.ndarray, nulls: int) -> pa.Array:
+    """Lists of these lengths, and as many nulls after them."""
+    offsets = np.zeros(len(lengths) + nulls + 1, np.int32)
+    np.cumsum(lengths, out=offsets[1 : len(lengths) + 1])
+    offsets[len(lengths) :] = len(flat)
+    absent = pa.array(np.arange(len(lengths) + nulls) >= len(lengths))
     return pa.ListArray.from_arrays(pa.array(offsets), flat, mask=absent)
 
 
@@ -348,7 +363,7 @@ def _deal(path: str, remembered: int):
                     pa.array(np.full(n, epoch, np.int32)),
                     pa.array([numbers[unit] for unit in units] + [None] * after, pa.int32()),
                     pa.array(units + [None] * after, pa.string()),
-                    _listed([known.reach(unit) for unit in units], after),
+                    _listed(*known.reach(units), after),
                     pa.concat_arrays([pa.nulls(before, ids.type), ids]),
                     pa.concat_arrays([pa.nulls(before, digests.type), digests]),
                     pa.array([None] * before + [own.tobytes() for own in codes], pa.binary()),
@@ -461,9 +476,16 @@ def decoded(ids: Column, path: str) -> Column:
         parts = [piece.replace(MARK, " ").encode() for piece in known.pieces]
         for value, place in known.bytes.items():
             parts[place] = bytes([value])
+        every = np.frombuffer(b"".join(parts), np.uint8)
+        sizes = np.array([len(part) for part in parts], np.int64)
+        starts = np.cumsum(sizes) - sizes
         texts = []
         for own in lists:
-            body = b"".join([parts[k] for k in own.as_py() or []])
+            taken = own.values.to_numpy() if own.is_valid else np.zeros(0, np.int32)
+            size = sizes[taken]
+            ends = np.cumsum(size)
+            total = int(ends[-1]) if len(ends) else 0
+            body = every[np.repeat(starts[taken] - ends + size, size) + np.arange(total)].tobytes()
             texts.append(body[1:].decode("utf-8", "replace"))
         return pa.array(texts, pa.string())
 
