@@ -10,30 +10,37 @@ its bytes.
 The fold keeps the best score to every place; the path is read back from the end of the unit.
 Substrings are bounded by the longest piece that ends in the same characters.
 
-All this runs in the scanning tasks, without a shuffle: a task sends each unit that it does not
-remember through the lattice once, ahead of the texts that hold it, and the texts follow as numbers
-of units. What a task remembers is bounded; when full, it forgets the less used half. Decoding joins
+Units are counted first, and the paths of the most frequent ones, a bounded number, are found once
+and given to every task. For the others all this runs in the scanning tasks, without a shuffle: a
+task sends each unit that it does not remember through the lattice once, ahead of the texts that
+hold it, and the texts follow as numbers of units. What a task remembers is bounded; when full, it forgets the less used half. Decoding joins
 pieces, turns byte pieces back into text and takes off the leading mark.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from serieslake.llm.common import column, text_of
+from serieslake.session import cut_lineage
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Units that a task remembers, and units of texts that it gives on together.
-REMEMBERED_UNITS = 400_000
+#: Frequent units whose paths every task is given: a bounded table. Which units are in it changes
+#: the cost, never the ids.
+FREQUENT_UNITS = 250_000
+#: Further units that a task remembers, and units of texts that it gives on together.
+REMEMBERED_UNITS = 300_000
 DEALT_UNITS = 500_000
 #: Units this long are cut further, between characters that no piece holds side by side.
 LONG_UNIT = 64
@@ -308,10 +315,12 @@ def encode_units(units: DataFrame, path: str) -> DataFrame:
 class _Numbers(dict):
     """Numbers units and lists the new ones. Numbers of forgotten units are given again."""
 
-    def __init__(self):
+    def __init__(self, given: list[str]):
+        super().__init__(zip(given, range(len(given))))
+        self.given = len(given)
         self.fresh: list[str] = []
         self.free: list[int] = []
-        self.uses = np.zeros(0, np.int64)
+        self.uses = np.zeros(self.given, np.int64)
 
     def __missing__(self, unit: str) -> int:
         self.fresh.append(unit)
@@ -324,8 +333,9 @@ class _Numbers(dict):
         self.uses = now
 
     def forget(self, kept: int) -> None:
-        """Keeps the units used most, as many as ``kept``; later uses weigh more than earlier ones."""
-        order = np.argsort(-self.uses, kind="stable")
+        """Keeps the given units and, of the others, as many as ``kept``: those used most, where
+        later uses weigh more than earlier ones."""
+        order = np.argsort(-self.uses[self.given :], kind="stable") + self.given
         gone = np.zeros(len(self.uses), bool)
         gone[order[kept:]] = True
         for unit in [unit for unit, number in self.items() if gone[number]]:
@@ -343,12 +353,59 @@ def _listed(flat: np.ndarray, lengths: np.ndarray, nulls: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), flat, mask=absent)
 
 
-def _deal(path: str, remembered: int):
+def _frequent(slim: DataFrame, path: str, most: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The most frequent units, at most so many, with their ids one after another and the counts
+    of those. Units that come once in a stretch of a task's texts are not counted there."""
+
+    def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts = vocabulary_of(path), Counter()
+
+        def counted() -> pa.RecordBatch:
+            often = [(unit, times) for unit, times in counts.items() if times > 1]
+            counts.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([unit for unit, _ in often], pa.string()), pa.array([n for _, n in often], pa.int64())],
+                ["unit", "times"],
+            )
+
+        for batch in batches:
+            for text in batch.column(0):
+                counts.update(known.units(text.as_py()))
+                if len(counts) > REMEMBERED_UNITS:
+                    yield counted()
+        yield counted()
+
+    totals = cut_lineage(
+        slim.select("text")
+        .mapInArrow(repeats, "unit string, times long")
+        .groupBy("unit")
+        .agg(F.sum("times").alias("times")),
+        "units",
+    )
+    # The least count that leaves no more units than asked for; very large counts need no order.
+    spread = totals.groupBy(F.least("times", F.lit(1_000)).alias("times")).agg(F.count(F.lit(1)).alias("n"))
+    least, held = 1_001, 0
+    for times, n in sorted(map(tuple, spread.collect()), reverse=True):
+        if held + n > most:
+            break
+        least, held = times, held + n
+    chosen = totals.where(F.col("times") >= least).repartition(48, "unit")
+    rows = encode_units(chosen, path).toArrow().combine_chunks()
+    lists = rows["ids"].combine_chunks()
+    return (
+        rows["unit"].to_pylist(),
+        lists.flatten().to_numpy().astype(np.int32),
+        lists.value_lengths().to_numpy().astype(np.int64),
+    )
+
+
+def _deal(path: str, remembered: int, frequent: Broadcast):
     """Texts as numbers of units. A unit that the task does not remember comes first, as a row of
     its own; ``epoch`` counts how often the task has forgotten units, whose numbers come again."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, numbers, epoch, seq = vocabulary_of(path), _Numbers(), 0, 0
+        known, numbers, epoch, seq = vocabulary_of(path), _Numbers(frequent.value[0]), 0, 0
+        most = remembered + len(numbers)
 
         def given(ids: pa.Array, digests: pa.Array, codes: list[np.ndarray]) -> pa.RecordBatch:
             nonlocal seq
@@ -377,28 +434,30 @@ def _deal(path: str, remembered: int):
                 own = known.units(text.as_py())
                 codes.append(np.fromiter(map(numbers.__getitem__, own), np.int32, len(own)))
                 held += len(own)
-                if held > DEALT_UNITS or len(numbers) > remembered or k == batch.num_rows - 1:
+                if held > DEALT_UNITS or len(numbers) > most or k == batch.num_rows - 1:
                     ids, digests = (batch.column(c).slice(first, k + 1 - first) for c in ("doc_id", "text_sha256"))
                     yield given(ids, digests, codes)
                     codes, first, held = [], k + 1, 0
-                    if len(numbers) > remembered:
+                    if len(numbers) > most:
                         numbers.forget(remembered // 2)
                         epoch += 1
 
     return deal
 
 
-def _assembled(path: str):
+def _assembled(path: str, frequent: Broadcast):
     """Numbers of units replaced by the units' ids, whose lattices came before in the same task."""
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, starts, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        _, flat, sizes = frequent.value
+        starts = np.cumsum(sizes) - sizes
 
         def learn(units: pa.RecordBatch) -> None:
             nonlocal flat, starts, sizes
             ids, counts = _paths(vocabulary_of(path), units.column("edges"), units.column("best"))
             numbers = units.column("number").to_numpy()
             more = max(int(numbers.max()) + 1 - len(sizes), 0)
+            # Copies, as what was given belongs to all tasks of the worker.
             starts, sizes = (np.r_[old, np.zeros(more, np.int64)] for old in (starts, sizes))
             starts[numbers] = len(flat) + np.cumsum(counts) - counts
             sizes[numbers] = counts
@@ -446,11 +505,13 @@ def encode_documents(
     id_column: str = "doc_id",
     text_column: str = "text",
     remembered: int = REMEMBERED_UNITS,
+    frequent: int = FREQUENT_UNITS,
 ) -> DataFrame:
     """One row per row of docs: doc_id, text_sha256, ids. Null and empty texts have no ids.
 
     Repeated rows and null ids stay as they are. The mark itself in a text counts as a space.
-    ``remembered`` bounds the units that a task holds; it changes the cost, never the ids.
+    ``frequent`` bounds the units that every task is given and ``remembered`` those that it holds
+    besides; they change the cost, never the ids.
     """
     slim = docs.select(
         column(id_column).alias("doc_id"),
@@ -458,13 +519,14 @@ def encode_documents(
         text_of(text_column).alias("text"),
     )
     kind = dict(slim.dtypes)["doc_id"]
+    given = docs.sparkSession.sparkContext.broadcast(_frequent(slim, path, frequent))
     dealt = slim.mapInArrow(
-        _deal(path, remembered),
+        _deal(path, remembered, given),
         "seq long, epoch int, number int, unit string, reach array<int>, "
         f"doc_id {kind}, text_sha256 string, codes binary",
     )
     scored = _best_scores(dealt, path)
-    return scored.mapInArrow(_assembled(path), f"doc_id {kind}, text_sha256 string, ids array<int>")
+    return scored.mapInArrow(_assembled(path, given), f"doc_id {kind}, text_sha256 string, ids array<int>")
 
 
 def decoded(ids: Column, path: str) -> Column:
