@@ -35,6 +35,8 @@ UNKNOWN_PENALTY = 10.0
 #: Units that a task remembers, and units of texts that it gives on together.
 REMEMBERED_UNITS = 400_000
 DEALT_UNITS = 500_000
+#: Units of texts whose ids are put together at once.
+JOINED_UNITS = 200_000
 #: Units this long are cut further, between characters that no piece holds side by side.
 LONG_UNIT = 64
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
@@ -421,21 +423,25 @@ def _assembled(path: str):
                     learn(units)
                 if not docs.num_rows:
                     continue
-                codes = docs.column("codes").to_pylist()
-                numbers = np.frombuffer(b"".join(codes), np.int32)
-                counts = np.array([len(own) // 4 for own in codes], np.int64)
-                length = sizes[numbers]
-                ends = np.r_[0, np.cumsum(length)]
-                take = np.repeat(starts[numbers] - ends[:-1], length) + np.arange(ends[-1])
-                offsets = ends[np.r_[0, np.cumsum(counts)].astype(np.int64)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        docs.column("doc_id"),
-                        docs.column("text_sha256"),
-                        pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), flat[take]),
-                    ],
-                    ["doc_id", "text_sha256", "ids"],
-                )
+                counts = pa.compute.binary_length(docs.column("codes")).to_numpy() // 4
+                # A few texts at a time, as their ids take many times the room of the numbers.
+                group = (np.cumsum(counts, dtype=np.int64) - counts) // JOINED_UNITS
+                cuts = np.r_[np.flatnonzero(np.r_[True, np.diff(group) != 0]), len(counts)]
+                for first, last in zip(cuts[:-1], cuts[1:]):
+                    some = docs.slice(first, last - first)
+                    numbers = np.frombuffer(b"".join(some.column("codes").to_pylist()), np.int32)
+                    length = sizes[numbers]
+                    ends = np.r_[0, np.cumsum(length)]
+                    take = np.repeat(starts[numbers] - ends[:-1], length) + np.arange(ends[-1])
+                    offsets = ends[np.r_[0, np.cumsum(counts[first:last], dtype=np.int64)]]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            some.column("doc_id"),
+                            some.column("text_sha256"),
+                            pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), flat[take]),
+                        ],
+                        ["doc_id", "text_sha256", "ids"],
+                    )
 
     return assemble
 
