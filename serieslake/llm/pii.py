@@ -84,32 +84,43 @@ def plain_spans(text: str) -> dict[str, list[Span]]:
     return found
 
 
-# Letters of other scripts that look like Latin ones.
-_CYRILLIC = dict(zip("абвгеіјкмнорсѕтухһԁАВЕІЈКМНОРСЅТУХ", "a6brеijкmнopcstуxhdABEIJKMHOPCSTYX"))
-_LOOKS = {
-    **{k: v for k, v in _CYRILLIC.items() if v.isascii() and k not in "бвгкмнт"},
-    "у": "y",
-    "α": "a",
-    "ο": "o",
-    "ν": "v",
-    "ρ": "p",
-    "ι": "i",
-    "Α": "A",
-    "Β": "B",
-    "Ε": "E",
-    "Ο": "O",
-    "Ρ": "P",
-    "Τ": "T",
-    "ı": "i",
-    "。": ".",
-    "․": ".",
-    "‐": "-",
-    "‑": "-",
-    "‒": "-",
-    "–": "-",
-    "—": "-",
-    "−": "-",
-}
+# Letters of other scripts that look like Latin ones, by code point, as twins cannot
+# be told apart by eye.
+_CYRILLIC_SMALL = (
+    "\u0430\u0432\u0433\u0435\u0456\u0458\u043a\u043c\u043d\u043e\u0440\u0441\u0455"
+    "\u0442\u0443\u0445\u044c\u0475\u04af\u04bb\u04bd\u04cf\u0501\u051b\u051d",
+    "abreijkmhopcstyxbvyheldqw",
+)
+_CYRILLIC_CAPITAL = (
+    "\u0410\u0412\u0415\u0406\u0408\u041a\u041c\u041d\u041e\u0420\u0421\u0405\u0422"
+    "\u0423\u0425\u0474\u04ae\u04c0\u050c\u051a\u051c",
+    "ABEIJKMHOPCSTYXVYIGQW",
+)
+_GREEK_SMALL = (
+    "\u03b1\u03b3\u03b5\u03b7\u03b9\u03ba\u03bd\u03bf\u03c1\u03c3\u03c4\u03c5\u03c7"
+    "\u03c9\u03f2\u03f3",
+    "ayenikvopotuxwcj",
+)
+_GREEK_CAPITAL = (
+    "\u0391\u0392\u0395\u0396\u0397\u0399\u039a\u039c\u039d\u039f\u03a1\u03a4\u03a5"
+    "\u03a7\u03f9\u037f",
+    "ABEZHIKMNOPTYXCJ",
+)
+_OTHERS = (
+    "\u0131\u3002\u2024\u2010\u2011\u2012\u2013\u2014\u2212",
+    "i..------",
+)
+
+
+def _fixed_pairs() -> dict[str, str]:
+    table = {}
+    for letters, plain in (_CYRILLIC_SMALL, _CYRILLIC_CAPITAL, _GREEK_SMALL, _GREEK_CAPITAL, _OTHERS):
+        assert plain.isascii() and not any(letter.isascii() for letter in letters)
+        table.update(zip(letters, plain, strict=True))
+    return table
+
+
+_LOOKS = _fixed_pairs()
 _GONE = "­​‌‍⁠﻿"
 _SPACES = "             　"
 
@@ -130,7 +141,7 @@ def _look_alikes() -> dict[str, str]:
 _ALIKE = _look_alikes()
 # Blocks that hold look-alikes; wider than the table, but quick to search.
 _RARE = re.compile(
-    "[\u00a0\u00ad\u0131\u0391-\u03c9\u0400-\u052f\u0660-\u06f9\u0966-\u096f\u2000-\u24ea"
+    "[\u00a0\u00ad\u0131\u0370-\u03ff\u0400-\u052f\u0660-\u06f9\u0966-\u096f\u2000-\u24ea"
     "\u3000-\u3002\ufe50-\uff5e\U0001d400-\U0001d7ff]"
 )
 _NUMBERS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")

@@ -272,6 +272,39 @@ def test_clean_text_stays_clean(text):
     assert pii.joined(pii.find_spans(text)[1]) == ""
 
 
+TWINS = {
+    **dict.fromkeys("\u0435\u0415\u03b5\u0395", "e"),
+    **dict.fromkeys("\u043a\u041a\u03ba\u039a", "k"),
+    **dict.fromkeys("\u0442\u0422\u03c4\u03a4", "t"),
+    **dict.fromkeys("\u043d\u041d\u0397", "h"),
+    **dict.fromkeys("\u043c\u041c\u039c", "m"),
+    **dict.fromkeys("\u0443\u0423\u03a5", "y"),
+    **dict.fromkeys("\u0445\u0425\u03c7\u03a7", "x"),
+    **dict.fromkeys("\u0430\u0410\u03b1\u0391", "a"),
+    **dict.fromkeys("\u043e\u041e\u03bf\u039f", "o"),
+    **dict.fromkeys("\u0440\u0420\u03c1\u03a1", "p"),
+    **dict.fromkeys("\u0441\u0421\u03f2", "c"),
+    **dict.fromkeys("\u0456\u0406\u03b9\u0399", "i"),
+    **{"\u0432": "b", "\u0412": "b", "\u0392": "b", "\u0455": "s", "\u0405": "s", "\u0458": "j"},
+    **{"\u0408": "j", "\u0501": "d", "\u04bb": "h", "\u0433": "r", "\u04cf": "l", "\u0475": "v"},
+    **{"\u051b": "q", "\u051d": "w", "\u03c5": "u", "\u03bd": "v", "\u03b7": "n", "\u039d": "n"},
+    **{"\u0396": "z"},
+}
+
+
+@pytest.mark.parametrize("letter", sorted(TWINS), ids=lambda letter: f"{ord(letter):04X}")
+def test_every_twin_inside_an_address(letter):
+    text = f"write to jo{letter}n@si{letter}te.com today"
+    _, everything = pii.find_spans(text)
+    assert everything["email"] == [(9, len(text) - 6)]
+    assert pii.normalise(letter)[0].lower() == TWINS[letter]
+
+
+def test_small_ie_is_undone():
+    text = "jo\u0435@sit\u0435.com"
+    assert pii.find_spans(text)[1]["email"] == [(0, len(text))]
+
+
 def test_plain_spans_always_stay():
     text = "a@b.co (at) c@d.eu dot x 4111 1111 1111 1111 ＋1 555 1234567"
     plain, everything = pii.find_spans(text)
