@@ -11,6 +11,7 @@ Documents are dealt to files by ranges of their ids, so files in order hold asce
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -137,11 +138,16 @@ class WordEncoder:
     """Encodes white-space separated words of a tokenizer that never joins across white space.
 
     A word is encoded once and remembered. A-Z are lowered first, as the tokenizer does, and marks
-    that end a word after a letter are encoded apart, as the tokenizer splits there anyway.
+    that end a word after a letter are encoded apart, as the tokenizer splits there anyway. Words
+    where lowering first would matter stay as they stand: added tokens match the raw text alone,
+    and the tokenizer composes a letter with the marks on it before it lowers.
     """
 
     MARKS = b".,!|*&$%#;:?)"
     LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
+    AS_IT_STANDS = re.compile(rb"<\||[A-Z][\x80-\xff]")
+    #: Without one of these, no word of a text matches or needs it: the lead bytes of composing marks.
+    SIGNS = (b"<|", b"\xcc", b"\xcd")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -178,9 +184,14 @@ class WordEncoder:
             return word, b""
         return core, word[len(core) :]
 
+    def _words(self, text: bytes) -> list[bytes]:
+        if not any(sign in text for sign in self.SIGNS):
+            return text.lower().split()
+        return [word if self.AS_IT_STANDS.search(word) else word.lower() for word in text.split()]
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and the number of ids of each text."""
-        split = [text.lower().split() for text in texts]
+        split = [self._words(text) for text in texts]
         words = [word for own in split for word in own]
         places = list(map(self.known.get, words))
         if None in places:

@@ -106,6 +106,26 @@ def test_token_files(spark, tmp_path):
     assert ids == sorted(ids)
 
 
+MARKS = ("\u030c", "\u0331", "\u0308", "\u030a", "\u0344", "\u0331\u0307")
+
+
+def test_words_keep_their_case_where_it_matters():
+    from tokenizers import Tokenizer
+
+    path = vocabulary("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["<|ENDOFTEXT|>", "a<|EndOfText|>b", "<|endoftext|> <|ENDOFTEXT|>. <|StartOfText|>x", "The <| END |> <|", "THE the The."]
+    texts += [f"{letter}{mark} x{letter}{mark}y. {letter.lower()}{mark}" for letter in "HJTWYIAK" for mark in MARKS]
+    rng = random.Random(5)
+    parts = ["<|", "|>", "EndOfText", "endoftext", "STARTOFTEXT", "<|endoftext|>", " ", "J", "t", *MARKS]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(500)]
+    encoder = token_files.WordEncoder(path)
+    ids, counts = encoder.encode([text.encode() for text in texts])
+    ends = np.cumsum(counts)
+    for text, low, high in zip(texts, ends - counts, ends):
+        assert ids[low:high].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_token_files_empty(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     files = token_files.write_token_files(docs, str(tmp_path / "t"), vocabulary("word_bpe_49k.json"), END_ID)
