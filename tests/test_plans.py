@@ -10,7 +10,7 @@ from serieslake.api import DataAPI
 from serieslake.operators import joins
 from serieslake.registry import QUERIES
 from serieslake.session import shared_dir
-from serieslake.streaming.ingest import accept_batch, prepare_batch, start_ingest
+from serieslake.streaming.ingest import accept_batch, prepare_batch, rejected_counts, rejected_rows, start_ingest
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -82,3 +82,21 @@ def test_batch_checks(spark):
     rows = spark.createDataFrame([("A", "2024-01-01", "x"), ("B", "2099-01-01", "1"), ("C", "2024-01-01", "3")], "series_code string, timestamp string, value string")
     kept = accept_batch(prepare_batch(rows, "hawkeye"))
     assert records(kept, "series_code", "ticker_source") == [("C", "hawk")]
+
+
+@pytest.mark.parametrize("hold", ["series", "row"])
+def test_streaming_ingest_keeps_what_it_holds_back(spark, tmp_path, hold):
+    folder = tmp_path / "drops"
+    folder.mkdir()
+    api = DataAPI(spark, str(tmp_path / "lake"))
+    lines = ["A,2024-01-01,1", ",2024-01-01,5", "A,soon,6", "B,2024-01-01,inf", "B,2024-01-02,2", "C,2099-01-01,3", "C,2024-01-01,N/A", "C,2024-01-02,4"]
+    drops(folder, "a.csv", lines)
+    start_ingest(spark, api, str(folder), "BBG", checkpoint=str(tmp_path / "cp"), once=True, hold=hold).awaitTermination()
+    accepted = {"series": [("A", 1.0)], "row": [("A", 1.0), ("B", 2.0), ("C", 4.0), ("C", None)]}[hold]
+    assert records(api.values_frame(), "series_code", "value") == sorted(accepted, key=lambda r: (r[0], r[1] is None))
+    counts = {r.reason: r.n for r in rejected_counts(api).collect()}
+    wrong = {"series_code is missing": 1, "timestamp is not readable": 1, "value is not finite": 1, "timestamp is in the future": 1}
+    held = {"series held back: value is not finite": 1, "series held back: timestamp is in the future": 2}
+    assert counts == (wrong | held if hold == "series" else wrong)
+    assert ("A", "soon", "6") in records(rejected_rows(api), "series_code", "timestamp_text", "value_text")
+    assert len(accepted) + sum(counts.values()) == len(lines)
