@@ -106,21 +106,35 @@ def workbook_rows(content: bytes, sheet: str | int = 0) -> list[list[str | None]
         return rows
 
 
+def _header_names(books: DataFrame, sheet: str | int) -> list[str]:
+    """The distinct column names of all workbooks, found where the files are read."""
+
+    def headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                header = next(iter(workbook_rows(content, sheet)), [])
+                names = [str(c).strip() for c in header if c]
+                if names:
+                    yield pd.DataFrame({"path": path, "place": range(len(names)), "name": names})
+
+    found = books.mapInPandas(headers, "path string, place int, name string")
+    first = found.groupBy("name").agg(F.min(F.struct("path", "place")).alias("at"))
+    return [row["name"] for row in first.orderBy("at").collect()]
+
+
 def read_workbooks(
     spark: SparkSession, path: str, *, sheet: str | int = 0, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """Rows of many workbooks, all text. Each workbook is opened by one task; the format caps
-    a sheet at about a million rows. Columns default to the header of the first workbook."""
+    a sheet at about a million rows. Columns default to those of all headers, in order of path and
+    place; only names reach the driver."""
     books = spark.read.format("binaryFile").load(path).select("path", "content")
-    if columns is None:
-        first = books.orderBy("path").limit(1).collect()
-        columns = [str(c).strip() for c in workbook_rows(bytes(first[0]["content"]), sheet)[0] if c]
-    names = list(columns)
+    names = _header_names(books, sheet) if columns is None else list(columns)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
-                header, *rows = workbook_rows(content, sheet)
+                header, *rows = workbook_rows(content, sheet) or [[]]
                 places = {str(c).strip(): i for i, c in enumerate(header) if c is not None}
                 yield pd.DataFrame(
                     {

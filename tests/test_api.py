@@ -235,6 +235,15 @@ def workbook(path, rows, name="Data"):
     path.write_bytes(content.getvalue())
 
 
+def test_workbooks_with_columns_of_their_own(spark, tmp_path):
+    workbook(tmp_path / "a.xlsx", [["series_code", "series_name"], ["A", "Alpha"]])
+    workbook(tmp_path / "b.xlsx", [["region", "series_code"], ["ASIA", "B"]])
+    workbook(tmp_path / "c.xlsx", [])
+    frame = read_tabular(spark, str(tmp_path / "*.xlsx"), sheet="Data")
+    assert frame.columns == ["series_code", "series_name", "region"]
+    assert records(frame) == [("A", "Alpha", None), ("B", None, "ASIA")]
+
+
 def test_many_workbooks(spark, tmp_path):
     workbook(tmp_path / "a.xlsx", [["series_code", "series_name"], ["A", "Alpha"], ["B", None]])
     workbook(tmp_path / "b.xlsx", [["series_name", "series_code"], ["Gamma", "C"]])
