@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -17,8 +18,6 @@ from serieslake.plans import discovery, drivers, estimation, model, results, sig
 from serieslake.plans.history import estimate_history
 from serieslake.plans.universes import (
     BUY_SELL_SERIES,
-    CHN,
-
     FX_CHN,
     FX_EM,
     FX_G10,
@@ -524,28 +523,39 @@ def ols_multi(spark, folder):
     return parts[0].unionByName(parts[1], True).unionByName(parts[2], True)
 
 
+def _every_universe(run):
+    """Rows of all universes; a driver that a universe does not have is NULL."""
+    return reduce(lambda left, right: left.unionByName(right, True), map(run, UNIVERSES.values()))
+
+
 @query("fair_value_fit")
 def fair_value_fit(spark, folder):
-    """Five fit dates, tested at each: the cross-section of all G10 pairs."""
+    """Five fit dates, tested at each: the cross-section of all pairs."""
     catalog, values = _world(spark, folder)
-    fitted = model.fit(
-        catalog, values, FX_G10, as_of="2001-06-29", lookback_days=5, cointegration=model.EACH
+    return _every_universe(
+        lambda universe: model.fit(
+            catalog, values, universe, as_of="2001-06-29", lookback_days=5, cointegration=model.EACH
+        ).summary
     )
-    return fitted.summary
 
 
 @query("fair_value_rows")
 def fair_value_rows(spark, folder):
-    """Windowed fitted values and bands of the China pair."""
+    """Windowed fitted values and bands of all pairs."""
     catalog, values = _world(spark, folder)
-    return model.fit(catalog, values, UNIVERSES[CHN], as_of="2001-06-29").rows()
+    return _every_universe(
+        lambda universe: model.fit(catalog, values, universe, as_of="2001-06-29").rows()
+    )
 
 
 @query("fair_value_signals")
 def fair_value_signals(spark, folder):
     catalog, values = _world(spark, folder)
-    fitted = model.fit(catalog, values, FX_EM, as_of="2001-06-29", lookback_days=3)
-    return results.signal_rows(fitted.signals)
+    return _every_universe(
+        lambda universe: results.signal_rows(
+            model.fit(catalog, values, universe, as_of="2001-06-29", lookback_days=3).signals
+        )
+    )
 
 
 @query("fair_value_history")
@@ -560,8 +570,12 @@ def fair_value_history(spark, folder):
 @query("design_matrix")
 def design_matrix(spark, folder):
     features = cut_lineage(_features(spark, folder), "features")
-    solved = cut_lineage(estimation.estimate(features, FX_G10), "estimates")
-    return estimation.design_rows(features, solved, FX_G10)
+
+    def design(universe):
+        solved = cut_lineage(estimation.estimate(features, universe), "estimates")
+        return estimation.design_rows(features, solved, universe)
+
+    return _every_universe(design)
 
 
 @query("cointegration_pairs")

@@ -34,3 +34,10 @@ def test_oracle(spark, name):
 def test_runs(spark, name):
     frame = QUERIES[name](spark, FOLDER)
     assert frame.schema and frame.collect() is not None
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="shared tables not present")
+@pytest.mark.parametrize("name", ["fair_value_fit", "fair_value_rows", "fair_value_signals", "design_matrix"])
+def test_fair_value_queries_hold_every_universe(spark, name):
+    frame = QUERIES[name](spark, "/root/testdata/sf0.01")
+    assert {row[0] for row in frame.select("universe").distinct().collect()} == {"G10", "EM", "CHN"}
