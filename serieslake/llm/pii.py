@@ -7,6 +7,9 @@ and runs of spelled digits become digits. The same detectors run over the normal
 what they find there is mapped back. A finding is added when a disguise was undone inside it and
 it reaches beyond every plain finding of its kind; plain findings always stay, also where they
 are a part of an added one.
+
+A bare " at " is undone only before a domain with a spelled or bracketed dot: before a plain domain,
+as in "john at example.com", prose such as "look at example.com" reads the same.
 """
 
 from __future__ import annotations
@@ -151,16 +154,21 @@ _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _AT = rf"\s*{_OPEN}\s*(?:at|@)\s*{_CLOSE}\s*"
 _DOT = rf"\s*{_OPEN}\s*(?:dot|\.)\s*{_CLOSE}\s*"
 _LABEL = r"[A-Za-z0-9-]+"
+_GAP = r"[\s,-]+"
 _REWRITE = re.compile(
     rf"(?P<at>(?<=[A-Za-z0-9_%+-]){_AT}(?=[A-Za-z0-9]))"
     rf"|(?P<dot>(?<=[A-Za-z0-9-]){_DOT}(?=[A-Za-z0-9]))"
-    rf"|(?P<bare_at>(?<=[A-Za-z0-9_%+-])\x20at\x20(?={_LABEL}(?:\x20dot\x20|{_DOT})[A-Za-z0-9]))"
-    rf"|(?P<bare_dot>(?<=[A-Za-z0-9-])\x20dot\x20(?=[A-Za-z0-9]))"
-    rf"|(?P<run>(?<![A-Za-z0-9])(?:plus[\x20-]+)?{_NUMBER}(?:[\x20-]+{_NUMBER}){{2,}}(?![A-Za-z0-9]))",
+    rf"|(?P<bare_at>(?<=[A-Za-z0-9_%+-])\s+at\s+(?={_LABEL}(?:\.{_LABEL})*(?:\s+dot\s+|{_DOT})[A-Za-z0-9]))"
+    rf"|(?P<bare_dot>(?<=[A-Za-z0-9-])\s+dot\s+(?=[A-Za-z0-9]))"
+    rf"|(?P<run>(?<![A-Za-z0-9])(?:plus{_GAP})?{_NUMBER}(?:{_GAP}{_NUMBER}){{2,}}(?![A-Za-z0-9]))"
+    # Shorter runs count beside a dot only.
+    rf"|(?P<few>(?<![A-Za-z0-9]){_NUMBER}(?:{_GAP}{_NUMBER})?(?![A-Za-z0-9])(?P<before_dot>(?=\s+dot\s|{_DOT}))?)",
     re.IGNORECASE,
 )
+_REWRITES = ("at", "dot", "bare_at", "bare_dot", "run", "few")
 _WORDS = re.compile(rf"plus|{_NUMBER}", re.IGNORECASE)
-_SPELLED = re.compile(rf"\b{_NUMBER}[\x20-]+{_NUMBER}[\x20-]+{_NUMBER}\b", re.IGNORECASE)
+_SPELLED = re.compile(rf"\b{_NUMBER}{_GAP}{_NUMBER}{_GAP}{_NUMBER}\b", re.IGNORECASE)
+_BARE_DOT = re.compile(r"\sdot\s")
 _INSIDE = tuple(f" {word} " for word in _NUMBERS)
 _BRACKETED = re.compile(rf"{_OPEN}\s*(?:at|dot|@|\.)\s*{_CLOSE}", re.IGNORECASE)
 
@@ -169,10 +177,10 @@ def _disguised(text: str) -> bool:
     """Whether a disguise may be there: cheap tests first, as almost no text has one."""
     if not text.isascii() and _RARE.search(text):
         return True
-    lower = text.lower().replace("-", " ")
-    if " dot " in lower or any(mark in lower for mark in "[({<") and _BRACKETED.search(text):
+    lower = text.lower().replace("-", " ").replace(",", " ").replace("\n", " ").replace("\t", " ").replace("\r", " ")
+    if "dot" in lower and _BARE_DOT.search(lower) or any(mark in lower for mark in "[({<") and _BRACKETED.search(text):
         return True
-    # The middle word of a run of spelled digits stands between spaces or hyphens.
+    # The middle word of a run of spelled digits stands between white space, commas or hyphens.
     return any(word in lower for word in _INSIDE) and _SPELLED.search(text) is not None
 
 
@@ -193,16 +201,21 @@ def normalise(text: str) -> tuple[str, list[int], list[int]]:
         begin.extend(starts[at:until])
         finish.extend(ends[at:until])
 
+    after_dot = -1
     for m in _REWRITE.finditer(first):
+        kind = next(name for name in _REWRITES if m[name] is not None)
+        if kind == "few" and m["before_dot"] is None and after_dot != m.start():
+            continue
         keep(m.start())
-        if m.lastgroup == "run":
+        if kind in ("run", "few"):
             for word in _WORDS.finditer(m.group()):
                 spelled = word.group().lower()
                 out.append("+" if spelled == "plus" else _VALUE[spelled])
                 begin.append(starts[m.start() + word.start()])
                 finish.append(ends[m.start() + word.end() - 1])
         else:
-            out.append("@" if m.lastgroup.endswith("at") else ".")
+            out.append("@" if kind.endswith("at") else ".")
+            after_dot = m.end() if kind.endswith("dot") else -1
             begin.append(starts[m.start()])
             finish.append(ends[m.end() - 1])
         at = m.end()

@@ -325,6 +325,28 @@ def test_small_ie_is_undone():
     assert pii.find_spans(text)[1]["email"] == [(0, len(text))]
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "hidden"),
+    [
+        ("mail john  at   example\tdot com now", "email", "john  at   example\tdot com"),
+        ("mail john at mail.example dot com now", "email", "john at mail.example dot com"),
+        ("host one zero dot zero dot zero dot one up", "ip", "one zero dot zero dot zero dot one"),
+        ("host one [dot] two (dot) 3 dot  four.", "ip", "one [dot] two (dot) 3 dot  four"),
+        ("call plus one, five, five, five, one, two, three, four now", "phone", "plus one, five, five, five, one, two, three, four"),
+        ("jane at one dot org", "email", "jane at one dot org"),
+    ],
+)
+def test_wider_disguises(text, kind, hidden):
+    plain, everything = pii.find_spans(text)
+    added = set(everything[kind]) - set(plain[kind])
+    assert [text[s:e] for s, e in added] == [hidden]
+
+
+@pytest.mark.parametrize("text", ["look at example.com", "one, two and three dots", "one dot two dot three", "a  dot\nplot at noon"])
+def test_prose_stays_clean(text):
+    assert pii.joined(pii.find_spans(text)[1]) == ""
+
+
 def test_plain_spans_always_stay():
     text = "a@b.co (at) c@d.eu dot x 4111 1111 1111 1111 ＋1 555 1234567"
     plain, everything = pii.find_spans(text)
