@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from serieslake.functions.dates import period_label
 from serieslake.functions.text import day_label, range_label, tenor_months
 from serieslake.operators.reshape import pivot_values
+from serieslake.operators.totals import running_totals
 from serieslake.schema import SERIES_CODE, TIMESTAMP, VALUE
 from serieslake.session import cut_lineage
 
@@ -192,13 +193,38 @@ def _kendall(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch[["series_x", "series_y"]].assign(correlation=pd.Series(taus, dtype="float64"))
 
 
+def _spearman(samples: DataFrame) -> DataFrame:
+    """Correlation of the average ranks of every (series_x, series_y), no task holding a pair.
+
+    A rank comes from the number of smaller values: a running total over counts of distinct values.
+    """
+    pair = F.struct("series_x", "series_y").alias("pair")
+    points = cut_lineage(samples.groupBy(pair, "x", "y").agg(F.count("*").alias("n")), "points")
+    ranked = points
+    for name in ("x", "y"):
+        counts = points.groupBy("pair", name).agg(F.sum("n").alias("same"))
+        ranks = running_totals(counts, "pair", [F.col(name)], "same", "below").select(
+            "pair", name, (F.col("below") + (F.col("same") + 1) / 2.0).alias(f"r{name}")
+        )
+        ranked = ranked.join(ranks, ["pair", name])
+    # The mean of average ranks is known, so sums of deviations do.
+    sizes = points.groupBy("pair").agg(((F.sum("n") + 1) / 2.0).alias("mean"))
+    n, x, y = F.col("n"), F.col("rx") - F.col("mean"), F.col("ry") - F.col("mean")
+    sums = ranked.join(sizes, "pair").groupBy("pair").agg(
+        F.sum(n * x * y).alias("xy"), F.sum(n * x * x).alias("xx"), F.sum(n * y * y).alias("yy")
+    )
+    scale = F.sqrt("xx") * F.sqrt("yy")
+    return sums.select("pair.*", F.when(scale > 0, F.col("xy") / scale).alias("correlation"))
+
+
 def correlation_matrix(
     frame: DataFrame, codes: Sequence[str], method: str = "pearson"
 ) -> DataFrame:
     """Pairwise-complete correlation of every pair of the listed series.
 
     Every method uses all timestamps on which both series are known. Pearson is one aggregate
-    over the wide frame; the rank methods bring a pair's complete rows together.
+    over the wide frame, Spearman takes ranks from running totals over ranges of values; Kendall
+    brings a pair's complete rows together in one task.
     """
     codes = list(codes)
     if len(codes) < 2:
@@ -238,14 +264,7 @@ def correlation_matrix(
             .dropna()
         )
         if method == "spearman":
-            for name in ("x", "y"):
-                by_value = W.partitionBy("series_x", "series_y").orderBy(name)
-                same = W.partitionBy("series_x", "series_y", name)
-                average = F.rank().over(by_value) + (F.count("*").over(same) - 1) / 2.0
-                samples = samples.withColumn(f"r{name}", average)
-            half = samples.groupBy("series_x", "series_y").agg(
-                F.corr("rx", "ry").alias("correlation")
-            )
+            half = _spearman(samples)
         else:
             half = (
                 samples.groupBy("series_x", "series_y")

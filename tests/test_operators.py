@@ -282,3 +282,17 @@ def test_curves(spark, long):
     assert [r["series_code"] for r in charts.yield_curve(last, tenors).collect()] == ["S2", "S10"]
     with pytest.raises(ValueError):
         charts.yield_curve(last, tenors, "maturity")
+
+
+def test_spearman_ranks_without_a_window_over_a_pair(spark, long):
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(-20, 20, 600), rng.integers(0, 300, 600)
+    days = pd.date_range("2020-01-01", periods=600).strftime("%Y-%m-%d")
+    rows = [(code, day, float(v)) for code, column in (("A", x), ("B", y), ("C", x * 0)) for day, v in zip(days, column)]
+    frame = charts.correlation_matrix(long(rows), ["A", "B", "C"], "spearman")
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    # Windows over rows are per range; the others see one row per range.
+    assert "rank(" not in plan
+    got = {(r.series_x, r.series_y): r.correlation for r in frame.collect()}
+    want = round(float(np.corrcoef(pd.Series(x).rank(), pd.Series(y).rank())[0, 1]), 4)
+    assert got == {("A", "A"): 1.0, ("B", "B"): 1.0, ("A", "B"): want, ("B", "A"): want}
