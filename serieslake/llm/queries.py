@@ -1,4 +1,4 @@
-"""The ten operators as queries over the shared tables, with SQL oracles where SQL has them."""
+"""The operators as queries over the shared tables, with SQL oracles where SQL has them."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from serieslake.llm import chat_format, exact_dedup, jaccard, mixing, neighbours, pieces, pii
-from serieslake.llm import quality, sharding, token_files
+from serieslake.llm import quality, resampling, sharding, token_files
 from serieslake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -235,3 +235,62 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest_neighbours(
         table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0
     )
+
+
+#: CRC-32 of a string's bytes as a DuckDB macro: the table by its rule, then one step a byte.
+CRC32_SQL = """
+    t AS MATERIALIZED (
+      SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, k:
+               CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS steps
+      FROM range(256) r(n))"""
+
+
+def crc32_sql(name: str) -> str:
+    """SQL for the unsigned CRC-32 of a string column, next to the table t of CRC32_SQL."""
+    byte = f"('0x' || substr(hex(encode({name})), 2 * k + 1, 2))::BIGINT"
+    return f"""xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(strlen({name})), lambda k: {byte})),
+        lambda c, b: xor(c >> 8, t.steps[(xor(c, b) & 255) + 1])))"""
+
+
+@query(
+    "op11_resampling",
+    rf"""
+    WITH {CRC32_SQL},
+    x AS (
+      SELECT 0 AS kind, doc_id AS id, "text" AS body, row_number() OVER () AS r FROM documents
+      UNION ALL SELECT 1, item_id, "text", -row_number() OVER () FROM benchmark),
+    w AS (
+      SELECT kind, id, r, regexp_extract_all(
+               translate(coalesce(body, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM x),
+    f AS (
+      SELECT kind, r, unnest(words || list_transform(range(1, len(words)), lambda i:
+               words[i] || ' ' || words[i + 1])) AS feature FROM w),
+    c AS (SELECT kind, r, feature, count(*) AS times FROM f GROUP BY ALL),
+    d AS (SELECT feature, {crc32_sql("feature")} % 10000 AS bucket
+          FROM (SELECT DISTINCT feature FROM c), t),
+    o AS (SELECT kind, r, bucket, sum(times)::BIGINT AS times FROM c JOIN d USING (feature) GROUP BY ALL),
+    b AS (SELECT bucket, coalesce(sum(times) FILTER (kind = 0), 0)::DOUBLE AS s,
+                 coalesce(sum(times) FILTER (kind = 1), 0)::DOUBLE AS t FROM o GROUP BY bucket),
+    n AS (SELECT sum(s) + 10000 AS s_all, sum(t) + 10000 AS t_all FROM b),
+    g AS (SELECT bucket, floor(1000 * ln((t + 1) * s_all / ((s + 1) * t_all)))::BIGINT AS gain FROM b, n),
+    m AS (SELECT r, sum(times)::BIGINT AS n_features, sum(times * gain)::BIGINT AS gained
+          FROM o JOIN g USING (bucket) WHERE kind = 0 GROUP BY r),
+    s AS (SELECT id AS doc_id, coalesce(n_features, 0) AS n_features, len(words) >= 20 AS eligible,
+                 coalesce(floor(gained::DOUBLE / n_features), 0)::BIGINT AS weight,
+                 ('0x' || substr(sha256('7:' || coalesce(CAST(id AS VARCHAR), '')), 1, 8))::BIGINT AS h
+          FROM w LEFT JOIN m USING (r) WHERE kind = 0),
+    p AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+          FROM s),
+    q AS (SELECT *, row_number() OVER (PARTITION BY eligible ORDER BY score DESC, doc_id NULLS LAST, n_features)
+                 AS place, count(*) OVER (PARTITION BY eligible) AS members FROM p)
+    SELECT doc_id, n_features, weight, score,
+           CASE WHEN eligible AND place <= 25 * members // 100 THEN place END AS rank
+    FROM q""",
+)
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = resampling.resample_to_target(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+    return drawn.select("doc_id", "n_features", "weight", "score", F.col("rank").cast("long").alias("rank"))
