@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serieslake.llm import chat_format, exact_dedup, jaccard, mixing, neighbours, pieces, pii
-from serieslake.llm import quality, resampling, sharding, token_files
+from serieslake.llm import chat_format, exact_dedup, jaccard, lsh_forest, manifest, mixing
+from serieslake.llm import neighbours, pieces, pii, quality, resampling, sharding, token_files
 from serieslake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -294,3 +294,67 @@ def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
     )
     return drawn.select("doc_id", "n_features", "weight", "score", F.col("rank").cast("long").alias("rank"))
+
+
+@query("op12_near_duplicates")
+def op12_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = lsh_forest.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return f"sha256({' || '.join(map(_field_sql, values))})"
+
+
+@query(
+    "op13_manifest",
+    f"""
+    WITH RECURSIVE {CRC32_SQL},
+    d AS (
+      SELECT row_number() OVER () AS r, doc_id, coalesce('1' || lang, '0') AS tree,
+             {_leaf_sql('"text"')} AS leaf,
+             CASE WHEN coalesce({crc32_sql("CAST(doc_id AS VARCHAR)")} % 3 = 0, false)
+                  THEN {_leaf_sql("translate(\"text\", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+                  ELSE {_leaf_sql('"text"')} END AS probe
+      FROM documents, t),
+    o AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, probe) - 1 AS pos,
+                 count(*) OVER (PARTITION BY tree) AS size FROM d),
+    -- Every node of every tree; size counts the nodes of its level.
+    n AS (SELECT tree, 0 AS level, pos, leaf AS node, size FROM o
+          UNION ALL
+          SELECT tree, level + 1, pos // 8, sha256(string_agg(node, '' ORDER BY pos)), (max(size) + 7) // 8
+          FROM n WHERE size > 1 GROUP BY tree, level, pos // 8),
+    b AS (SELECT tree, node AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos,
+                 count(*) OVER () AS size FROM n WHERE size = 1),
+    u AS (SELECT 0 AS level, pos, subroot AS node, size FROM b
+          UNION ALL
+          SELECT level + 1, pos // 8, sha256(string_agg(node, '' ORDER BY pos)), (max(size) + 7) // 8
+          FROM u WHERE size > 1 GROUP BY level, pos // 8),
+    a AS (SELECT tree, level, pos, node, size FROM n WHERE size > 1
+          UNION ALL SELECT NULL, level, pos, node, size FROM u WHERE size > 1),
+    s AS (SELECT x.tree, x.level, x.pos,
+                 coalesce(string_agg(y.node, '' ORDER BY y.pos) FILTER (y.pos < x.pos), '') AS lft,
+                 coalesce(string_agg(y.node, '' ORDER BY y.pos) FILTER (y.pos > x.pos), '') AS rgt
+          FROM a x JOIN a y ON x.tree IS NOT DISTINCT FROM y.tree AND x.level = y.level AND x.pos // 8 = y.pos // 8
+          GROUP BY ALL),
+    f AS (SELECT r, tree, 0 AS level, pos, probe AS held, '' AS path FROM o
+          UNION ALL
+          SELECT r, f.tree, f.level + 1, f.pos // 8, sha256(lft || held || rgt), path || lft || rgt
+          FROM f JOIN s ON f.tree = s.tree AND f.level = s.level AND f.pos = s.pos),
+    g AS (SELECT r, tree, max_by(held, level) AS held, max_by(path, level) AS path FROM f GROUP BY r, tree),
+    h AS (SELECT r, 0 AS level, b.pos, held, path FROM g JOIN b USING (tree)
+          UNION ALL
+          SELECT r, h.level + 1, h.pos // 8, sha256(lft || held || rgt), path || lft || rgt
+          FROM h JOIN s ON s.tree IS NULL AND h.level = s.level AND h.pos = s.pos),
+    p AS (SELECT r, max_by(held, level) AS held, max_by(path, level) AS path FROM h GROUP BY r)
+    SELECT doc_id, leaf, subroot, u.node AS root, sha256(path) AS proof_sha256, held AS folded_root,
+           held = u.node AS verified
+    FROM o JOIN b USING (tree) JOIN p USING (r), u WHERE u.size = 1""",
+)
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.document_manifest(table(spark, folder, "documents"))
