@@ -44,11 +44,11 @@ def name_documents(
     block_bytes: int = BLOCK_BYTES,
     fingerprint=_fingerprint,
 ) -> DataFrame:
-    """One row per distinct (id, text): doc_id, digest, level, name.
+    """One row per row of docs: row (a number of its own), doc_id, digest, level, name.
 
     (level, name) is the document's identity: equal exactly for equal texts. A null text is the
-    empty text, one empty block. Null ids are kept; a row that repeats id and text is the same
-    document.
+    empty text, one empty block; a very long one has as many blocks as it needs. Null ids and rows
+    that repeat id and text keep rows of their own.
     """
     # Bytes, as a substring of a long string costs its whole length each time.
     base = docs.select(
@@ -103,32 +103,28 @@ def name_documents(
         places.where("at = 0")
         .select("row", "doc_id", "digest")
         .join(roots, "row")
-        .groupBy("level", "name", "doc_id")
-        .agg(F.first("digest").alias("digest"))
     )
 
 
 def exact_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, digest, keep_id, group_size, kept.
+    """One row per row of docs: doc_id, digest, keep_id, group_size, kept.
 
-    Of equal texts the largest id stays; a null id stays only where all are null. An empty table
-    gives no rows.
+    Of equal texts the row with the largest id stays, of rows that share it one; a null id stays only
+    where all are null. An empty table gives no rows.
     """
     named = cut_lineage(name_documents(docs, **options), "identities")
+    stays = F.max(F.struct("doc_id", (-F.col("row")).alias("turned")))
     groups = cut_lineage(
         named.groupBy("level", "name")
-        .agg(F.max("doc_id").alias("largest"), F.count(F.lit(1)).alias("members"))
-        .where("members > 1"),
+        .agg(stays.alias("stays"), F.count(F.lit(1)).alias("members"))
+        .where("members > 1")
+        .select("level", "name", "members", F.col("stays.doc_id").alias("largest"), F.col("stays.turned").alias("turned")),
         "groups",
     )
-    return (
-        named.join(groups, ["level", "name"], "left")
-        .withColumn("keep_id", F.coalesce("largest", "doc_id"))
-        .select(
-            "doc_id",
-            "digest",
-            "keep_id",
-            F.coalesce("members", F.lit(1)).alias("group_size"),
-            F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        )
+    return named.join(groups, ["level", "name"], "left").select(
+        "doc_id",
+        "digest",
+        F.coalesce("largest", "doc_id").alias("keep_id"),
+        F.coalesce("members", F.lit(1)).alias("group_size"),
+        F.coalesce(F.col("row") == -F.col("turned"), F.lit(True)).alias("kept"),
     )

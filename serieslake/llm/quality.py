@@ -40,44 +40,58 @@ def _shapes(part: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return mix(kinds * np.uint64(256) + _MARK[part[ends - 1]])
 
 
-def feature_families(column_: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each kind of run: (table places, document of each)."""
-    words, shapes, owners = [], [], []
-    for part, starts, ends, owner in word_slices(column_):
-        if len(starts):
-            words.append(hash_words(part, starts, ends))
-            shapes.append(_shapes(part, starts, ends))
-            owners.append(owner)
-    if not words:
-        return
-    words, shapes, owners = map(np.concatenate, (words, shapes, owners))
+#: The kinds of runs: of words or of shapes, and how many of them.
+FAMILIES = (("words", 1), ("words", 2), ("shapes", 1), ("shapes", 2), ("shapes", 3))
+_LONGEST = max(width for _, width in FAMILIES)
+
+
+def feature_families(column_: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For one slice of the texts after another and each kind of run: (its number, table places,
+    document of each). The last words of a slice are carried over, so that runs across its border
+    count once; memory is bounded by a slice, not by the batch."""
+    held: dict[str, np.ndarray] = {}
     shift = np.uint64(64 - BITS)
-    for number, (tokens, width) in enumerate(
-        [(words, 1), (words, 2), (shapes, 1), (shapes, 2), (shapes, 3)]
-    ):
-        last = len(tokens) - width + 1
-        if last <= 0:
+    for part, starts, ends, owner in word_slices(column_):
+        if not len(starts):
             continue
-        inside = owners[:last] == owners[width - 1 :]
-        runs = mix(combine(tokens, width) + np.uint64(number * 7919))
-        yield (runs[inside] >> shift).astype(np.int32), owners[:last][inside]
+        own = {"words": hash_words(part, starts, ends), "shapes": _shapes(part, starts, ends), "owner": owner}
+        carried = len(held["owner"]) if held else 0
+        own = {name: np.concatenate([held[name], own[name]]) if held else own[name] for name in own}
+        for number, (kind, width) in enumerate(FAMILIES):
+            first = max(carried - width + 1, 0)  # earlier runs belong to the slice before
+            tokens, owners = own[kind][first:], own["owner"][first:]
+            last = len(tokens) - width + 1
+            if last <= 0:
+                continue
+            inside = owners[:last] == owners[width - 1 :]
+            runs = mix(combine(tokens, width) + np.uint64(number * 7919))
+            yield number, (runs[inside] >> shift).astype(np.int32), owners[:last][inside]
+        held = {name: values[1 - _LONGEST :] for name, values in own.items()}
+
+
+def _vector(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct places of one text by kind of run, and their values."""
+    found: list[list[np.ndarray]] = [[] for _ in FAMILIES]
+    for number, places, _ in feature_families(text):
+        found[number].append(places)
+    places, values = [np.zeros(0, np.int32)], [np.zeros(0)]
+    for family in found:
+        runs = np.concatenate(family) if family else np.zeros(0, np.int32)
+        own, times = np.unique(runs, return_counts=True)
+        places.append(own)
+        values.append(times * (SCALE / max(len(runs), 1)))
+    return np.concatenate(places), np.concatenate(values)
 
 
 def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, label, text to label, places, values."""
     for batch in batches:
-        count = batch.num_rows
-        places, values = [[] for _ in range(count)], [[] for _ in range(count)]
-        for found, owner in feature_families(batch.column(2)):
-            sizes = np.bincount(owner, minlength=count)
-            ends = np.cumsum(sizes)
-            for k in np.flatnonzero(sizes):
-                own, times = np.unique(found[ends[k] - sizes[k] : ends[k]], return_counts=True)
-                places[k].append(own)
-                values[k].append(times * (SCALE / sizes[k]))
-        for k in range(count):
-            places[k] = np.concatenate(places[k]) if places[k] else np.zeros(0, np.int32)
-            values[k] = np.concatenate(values[k]) if values[k] else np.zeros(0)
+        texts = batch.column(2)
+        places, values = [], []
+        for k in range(batch.num_rows):
+            own = _vector(texts.slice(k, 1))
+            places.append(own[0])
+            values.append(own[1])
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0).cast(pa.string()),
@@ -186,11 +200,11 @@ def score_column(docs: DataFrame, model: tuple[np.ndarray, float], text_column:
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         weights, bias = shared.value
-        total = np.full(len(texts), bias)
-        for places, owner in feature_families(texts):
-            sizes = np.bincount(owner, minlength=len(texts))
-            sums = np.bincount(owner, weights[places], len(texts))
-            total += SCALE * sums / np.maximum(sizes, 1)
+        sums, sizes = np.zeros((2, len(FAMILIES), len(texts)))
+        for number, places, owner in feature_families(texts):
+            sums[number] += np.bincount(owner, weights[places], len(texts))
+            sizes[number] += np.bincount(owner, minlength=len(texts))
+        total = bias + SCALE * (sums / np.maximum(sizes, 1)).sum(axis=0)
         return pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))
 
     return score(text_of(text_column))

@@ -40,11 +40,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @query(
     "op1_exact_dedup",
     """
-    WITH d AS (SELECT DISTINCT doc_id, coalesce("text", '') AS body FROM documents),
-    g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY body)
-    SELECT d.doc_id, g.keep_id, g.group_size,
-           d.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, sha256(d.body) AS text_sha256
-    FROM d JOIN g ON d.body = g.body""",
+    SELECT doc_id, max(doc_id) OVER (PARTITION BY body) AS keep_id,
+           count(*) OVER (PARTITION BY body) AS group_size,
+           row_number() OVER (PARTITION BY body ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+           sha256(body) AS text_sha256
+    FROM (SELECT doc_id, coalesce("text", '') AS body FROM documents)""",
 )
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_dedup.exact_duplicates(table(spark, folder, "documents"))

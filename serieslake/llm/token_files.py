@@ -303,7 +303,7 @@ def write_token_files(
 
 
 def read_token_files(files: DataFrame, folder: str) -> DataFrame:
-    """Every document from its file: doc_id, start, n_tokens, ids_crc32, in one task per file.
+    """Every document from its file: doc_id, start, n_tokens, ids_crc32, in as many tasks as files.
 
     ``start`` counts the ids of all documents before it, those of earlier files first.
     """
@@ -330,7 +330,7 @@ def read_token_files(files: DataFrame, folder: str) -> DataFrame:
 
     return (
         placed.select("path", "base", "part")
-        .repartition("part")
+        .repartition(max(files.count(), 1), "part")  # small rows, each of which stands for a file
         .select("path", "base")
         .mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
     )

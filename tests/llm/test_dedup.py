@@ -44,23 +44,28 @@ EXACT = [
 
 
 def expected(rows):
-    distinct = {(i, t or "") for i, t in rows}
+    """One row per row; of equal texts one row with the largest id stays."""
     groups = defaultdict(list)
-    for i, t in distinct:
-        groups[t].append(i)
-    out = set()
-    for i, t in distinct:
-        ids = [x for x in groups[t] if x is not None]
-        keep = max(ids) if ids else None
-        out.add((i, keep, len(groups[t]), i == keep, hashlib.sha256(t.encode()).hexdigest()))
-    return out
+    for i, t in rows:
+        groups[t or ""].append(i)
+    out = []
+    for t, own in groups.items():
+        own.sort(key=lambda i: (i is None, -(i or 0)))
+        sha = hashlib.sha256(t.encode()).hexdigest()
+        out += [(i, own[0], len(own), place == 0, sha) for place, i in enumerate(own)]
+    return sorted(out, key=str)
 
 
 def found(frame_):
     rows = frame_.withColumn("sha", F.lower(F.hex("digest"))).collect()
-    got = [(r.doc_id, r.keep_id, r.group_size, r.kept, r.sha) for r in rows]
-    assert len(got) == len(set(got))
-    return set(got)
+    return sorted(((r.doc_id, r.keep_id, r.group_size, r.kept, r.sha) for r in rows), key=str)
+
+
+def test_exact_keeps_a_row_for_every_row(spark):
+    rows = [(1, "a"), (1, "a"), (None, "a"), (None, "a"), (2, "b"), (None, "c"), (None, "c")]
+    got = found(exact_dedup.exact_duplicates(frame(spark, rows)))
+    assert len(got) == 7 and got == expected(rows)
+    assert sorted(size for _, _, size, _, _ in got) == [1, 2, 2, 4, 4, 4, 4]
 
 
 @pytest.mark.parametrize("block", [7, 64, 4096])
