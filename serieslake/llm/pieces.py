@@ -33,10 +33,10 @@ from serieslake.llm.common import column, text_of
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Units that a task remembers, and units of texts that it gives on together.
-REMEMBERED_UNITS = 400_000
-DEALT_UNITS = 500_000
+REMEMBERED_UNITS = 300_000
+DEALT_UNITS = 120_000
 #: Units of texts whose ids are put together at once.
-JOINED_UNITS = 200_000
+JOINED_UNITS = 100_000
 #: Units this long are cut further, between characters that no piece holds side by side.
 LONG_UNIT = 64
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
