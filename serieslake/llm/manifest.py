@@ -113,10 +113,8 @@ def butterfly(units: DataFrame, fanout: int) -> DataFrame:
 
 
 def ranked(frame: DataFrame, group: str, order: list[Column]) -> DataFrame:
-    """Adds ``at`` (place in the group, from 0) and ``members`` (size of the group)."""
-    placed = cut_lineage(running_totals(frame.withColumn("_one", F.lit(1)), group, order, "_one", "at"), "ranked")
-    sizes = placed.groupBy(group).agg((F.max("at") + 1).alias("members"))
-    return placed.drop("_one").join(sizes, group)
+    """Adds ``at``, the place in the group from 0."""
+    return running_totals(frame.withColumn("_one", F.lit(1)), group, order, "_one", "at").drop("_one")
 
 
 def prove_leaves(leaves: DataFrame, fanout: int = FANOUT, inner: int = INNER) -> DataFrame:
@@ -129,13 +127,15 @@ def prove_leaves(leaves: DataFrame, fanout: int = FANOUT, inner: int = INNER) ->
     """
     size = fanout**inner
     places = ranked(leaves, "tree", [F.asc_nulls_first("id"), F.asc("node"), F.asc("probe")])
-    # At most fanout ** inner rows meet.
-    blocks = cut_lineage(
-        places.groupBy("tree", "members", F.expr(f"at div {size}").alias("block")).agg(
+    # At most fanout ** inner rows meet, whatever the size of their tree.
+    packed = cut_lineage(
+        places.groupBy("tree", F.expr(f"at div {size}").alias("block")).agg(
             F.array_sort(F.collect_list(F.struct("at", "node", "id", "probe"))).alias("rows")
         ),
-        "blocks",
+        "packed",
     )
+    sizes = packed.groupBy("tree").agg(F.sum(F.size("rows")).alias("members"))
+    blocks = packed.join(sizes, "tree")
     levels = {"level0": F.transform("rows", lambda row: row["node"])}
     for k in range(inner):
         below = F.col(f"level{k}")
@@ -154,10 +154,11 @@ def prove_leaves(leaves: DataFrame, fanout: int = FANOUT, inner: int = INNER) ->
     )
     paths = butterfly(units, fanout).withColumnRenamed("root", "subroot")
     paths = cut_lineage(paths.select("tree", F.col("at").alias("block"), "subroot", "steps"), "paths")
-    tops = ranked(paths.where("block = 0").select(F.lit(0).alias("all"), "tree", "subroot"), "all", [F.asc("tree")])
+    roots = paths.where("block = 0").select(F.lit(0).alias("all"), "tree", "subroot")
+    tops = cut_lineage(ranked(roots, "all", [F.asc("tree")]), "tops")
+    units = F.lit(tops.count()).cast("long").alias("units")
     top = butterfly(
-        tops.select(F.col("all").alias("tree"), F.col("members").alias("units"), "at", F.col("subroot").alias("node")),
-        fanout,
+        tops.select(F.col("all").alias("tree"), units, "at", F.col("subroot").alias("node")), fanout
     ).select("at", "root", F.col("steps").alias("top_steps"))
     upper = cut_lineage(tops.join(top, "at").select("tree", "root", "top_steps"), "upper")
     joined = (
