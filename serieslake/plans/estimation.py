@@ -1,39 +1,32 @@
 """Rolling regressions of a rate on its drivers, as one Spark job over pairs and dates.
 
-A fit is one row keyed (pair, as_of). Rows of a window are assigned to the dates whose window
-holds them, packed by an aggregate, and solved in Arrow batches. A window of N months of a
-business-day grid has at most 23 N rows, so a packed row is small and of bounded size; a run
-is as parallel as it has pairs and dates.
+A fit is one row keyed (pair, as_of), whatever the number of dates: sums over its window come from
+running totals (:mod:`serieslake.plans.windows`), coefficients, the sign check and the refit from
+sweeps over them (:mod:`serieslake.plans.sweep`), the unit-root test of its residuals from lagged
+products (:mod:`serieslake.plans.unitroot`). No window's rows are copied.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 from datetime import date
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from serieslake.functions.numeric import log_level, to_level
 from serieslake.plans.drivers import RATE
-from serieslake.plans.regression import (
-    Fit,
-    critical_value,
-    least_squares,
-    unit_root_test,
-)
+from serieslake.plans.regression import least_squares, unit_root_test
+from serieslake.plans.sweep import estimate_columns, solve_fits
+from serieslake.plans.unitroot import LEVELS, TEST_FIELDS, residual_tests
 from serieslake.plans.universes import Universe
+from serieslake.plans.windows import KEYS, MONTH_UNITS, cells, month_key, window_sums
 from serieslake.schema import SERIES_CODE
-
-LEVELS = ("1%", "5%", "10%")
-KEYS = [SERIES_CODE, "universe", "as_of"]
-#: Months are 32 units long, so that a window of N months is a plain integer range.
-MONTH_UNITS = 32
+from serieslake.session import cut_lineage
 
 
 def estimate_schema(drivers: Sequence[str]) -> T.StructType:
@@ -89,169 +82,42 @@ def assign_dates(
     ).drop("_dates")
 
 
-def parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def pack_windows(assigned: DataFrame, drivers: Sequence[str]) -> DataFrame:
-    """One row per (pair, as_of): day-ordered arrays of rate, drivers and regime flags."""
-    row = F.struct("day", RATE, "is_logged", *drivers)
-    # A fixed partition count: solving a window costs far more than its bytes suggest, so small
-    # shuffles must not be coalesced into a few tasks.
-    spread = assigned.repartition(parallelism(assigned.sparkSession), *KEYS)
-    packed = spread.groupBy(*KEYS).agg(F.sort_array(F.collect_list(row)).alias("w"))
-    return packed.select(
-        *KEYS,
-        *[F.col("w")[name].alias(name) for name in ("day", RATE, "is_logged", *drivers)],
-    )
-
-
-def _array(cells) -> np.ndarray:
-    return np.array([np.nan if cell is None else cell for cell in cells], dtype=float)
-
-
-def _regress(y: np.ndarray, table: np.ndarray, need: int) -> tuple[Fit, np.ndarray] | None:
-    """Fit over complete rows, or None when there are too few."""
-    complete = np.isfinite(y) & np.isfinite(table).all(axis=1)
-    if complete.sum() < max(need, 1):
-        return None
-    return least_squares(y[complete], table[complete]), y[complete]
-
-
-def solve_window(
-    rate: np.ndarray,
-    table: np.ndarray,
-    is_logged: bool,
-    drivers: Sequence[str],
-    universe: Universe,
-    *,
-    test: bool,
-) -> dict[str, object]:
-    """All numbers of one (pair, as_of): fit, sign check with one refit, unit-root test."""
-    need = universe.min_observations
-    with np.errstate(divide="ignore", invalid="ignore"):
-        y = np.where(rate > 0, np.log(np.where(rate > 0, rate, 1.0)), np.nan) if is_logged else rate
-    result: dict[str, object] = {"status": "insufficient_data", "is_logged": is_logged}
-    first = _regress(y, table, need)
-    if first is None:
-        result["cointegration_passed"] = False if test else None
-        return result
-    if test:
-        root = unit_root_test(first[0].residuals)
-        result.update(
-            cointegration_passed=bool(root.p_value <= universe.cointegration_significance),
-            cointegration_p_value=root.p_value,
-            cointegration_statistic=root.statistic,
-            cointegration_n_obs=first[0].n,
-        )
-        if not math.isnan(root.statistic):
-            result.update(
-                {f"critical_{lv.rstrip('%')}pct": critical_value(lv, root.n) for lv in LEVELS}
-            )
-    signs = np.array([universe.expected_signs[name] for name in drivers])
-    kept = np.flatnonzero(~(first[0].beta[1:] * signs < 0))
-    if len(kept) == 0:
-        return result
-    final = first if len(kept) == len(drivers) else _regress(y, table[:, kept], need)
-    if final is None:
-        return result
-    fit, seen = final
-    spread = float(np.sqrt(fit.sse / fit.n - fit.residuals.mean() ** 2)) if fit.n else 0.0
-    total = float(((seen - seen.mean()) ** 2).sum())
-    names = ["const", *[drivers[i] for i in kept]]
-    result.update(
-        status="ok",
-        fitted_value=float(fit.fitted[-1]),
-        actual_value=float(seen[-1]),
-        residual_std=spread,
-        z_score=float(fit.residuals[-1] / spread) if spread else 0.0,
-        r_squared=1.0 - fit.sse / total if total else math.nan,
-        n_obs=fit.n,
-        dropped_variables=",".join(d for i, d in enumerate(drivers) if i not in set(kept)),
-    )
-    for prefix, numbers in (
-        ("coefficient", fit.beta),
-        ("standard_error", fit.standard_errors()),
-        ("p_value", fit.p_values()),
-    ):
-        result.update({f"{prefix}_{name}": float(v) for name, v in zip(names, numbers)})
-    return result
-
-
-def solve_windows(
-    packed: DataFrame, universe: Universe, *, test_dates: Sequence[date] | None = None
-) -> DataFrame:
-    """Estimates of packed windows. ``test_dates`` limits the costly unit-root test to those
-    dates; None tests every date."""
-    drivers = list(universe.drivers)
-    schema = estimate_schema(drivers)
-    names = schema.names
-    tested = F.lit(True)
-    if test_dates is not None:
-        # A pair is tested on a date only when that day is on its own grid.
-        dates = [F.lit(day).cast("date") for day in test_dates]
-        tested = F.col("as_of").isin(*dates) & (F.element_at("day", -1) == F.col("as_of"))
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for window in batch.to_dict("records"):
-                rate = _array(window[RATE])
-                table = np.column_stack([_array(window[name]) for name in drivers])
-                row = solve_window(
-                    rate,
-                    table,
-                    bool(window["is_logged"][-1]),
-                    drivers,
-                    universe,
-                    test=bool(window["_tested"]),
-                )
-                row.update({key: window[key] for key in KEYS})
-                row["current_rate"] = None if np.isnan(rate[-1]) else float(rate[-1])
-                rows.append({name: _missing(row.get(name)) for name in names})
-            yield pd.DataFrame(rows, columns=names).astype(
-                {f.name: _PANDAS_TYPES[f.dataType] for f in schema if f.dataType in _PANDAS_TYPES}
-            )
-
-    columns = [*KEYS, RATE, "is_logged", *drivers]
-    return packed.select(*columns, tested.alias("_tested")).mapInPandas(solve, schema)
-
-
-_PANDAS_TYPES = {
-    T.DoubleType(): "float64",
-    T.LongType(): "Int64",
-    T.BooleanType(): "boolean",
-}
-
-
-def _missing(value: object) -> object:
-    return None if isinstance(value, float) and math.isnan(value) else value
-
-
-def null_nan(frame: DataFrame) -> DataFrame:
-    """NaN left by the Python side turned into NULL."""
-    return frame.select(
-        *[
-            F.when(~F.isnan(field.name), F.col(field.name)).alias(field.name)
-            if isinstance(field.dataType, T.DoubleType)
-            else F.col(field.name)
-            for field in frame.schema
-        ]
-    )
-
-
 def estimate(
     features: DataFrame,
     universe: Universe,
     *,
     fit_dates: Sequence[date] | None = None,
     test_dates: Sequence[date] | None = None,
+    every_day: bool = False,
 ) -> DataFrame:
-    """Estimates for every (pair, as_of); pairs without enough data have another status."""
-    rows = features.filter(F.col("universe") == universe.name)
-    assigned = assign_dates(rows, universe.window_months, fit_dates)
-    packed = pack_windows(assigned, universe.drivers)
-    return null_nan(solve_windows(packed, universe, test_dates=test_dates))
+    """Estimates for every (pair, as_of); pairs without enough data have another status.
+
+    Fits are at the given dates, at each pair's own last day, or at every day of each pair; all come
+    from the same sums over windows. ``test_dates`` limits the unit-root test to those dates, on
+    which a pair is tested only when that day is on its own grid; None tests every fit.
+    """
+    drivers = list(universe.drivers)
+    rows = cut_lineage(cells(features.filter(F.col("universe") == universe.name), drivers), "cells")
+    sums = window_sums(rows, drivers, universe.window_months, fit_dates=fit_dates, every_day=every_day)
+    solved = solve_fits(sums, universe)
+    numbers = estimate_columns(
+        solved.withColumn("on_grid", F.col("newest.day") == F.col("as_of")), universe, "on_grid"
+    )
+    tested = F.lit(True)
+    if test_dates is not None:
+        dates = [F.lit(day).cast("date") for day in test_dates]
+        tested = F.col("as_of").isin(*dates) & F.col("on_grid") if dates else F.lit(False)
+    numbers = numbers.withColumn("tested", tested)
+    schema = estimate_schema(drivers)
+    names = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
+    if test_dates is not None and not test_dates:
+        blank = {name: F.lit(None).cast(kind) for name, kind in TEST_FIELDS}
+        return numbers.withColumns(blank).select(*names)
+    numbers = cut_lineage(numbers, "fits")
+    enough = numbers.filter(F.col("tested") & (F.col("first_n") >= universe.min_observations))
+    tests = residual_tests(rows, enough, drivers, universe.window_months, universe.cointegration_significance)
+    passed = F.when(F.col("tested"), F.coalesce("cointegration_passed", F.lit(False)))
+    return numbers.join(tests, KEYS, "left").withColumn("cointegration_passed", passed).select(*names)
 
 
 def response(is_logged: Column) -> Column:
@@ -360,7 +226,7 @@ def pairwise_cointegration(
         for batch in batches:
             rows = []
             for window in batch.to_dict("records"):
-                left, right = _array(window["y"]), _array(window["x"])
+                left, right = (np.array(window[name], dtype=float) for name in ("y", "x"))
                 row = {key: window[key] for key in keys} | {"n_obs": len(left)}
                 if len(left) < min_observations:
                     row |= {"status": "insufficient_data", "passed": False}
@@ -378,32 +244,17 @@ def pairwise_cointegration(
     return packed.mapInPandas(test, schema)
 
 
-def month_key(day: Column) -> Column:
-    """A day as an integer in which N months are exactly ``MONTH_UNITS * N``.
-
-    Day numbers never reach 32, so "after the day N months earlier, clamped to the month's
-    end" is the same as "key greater than key - 32 N".
-    """
-    return (F.year(day) * 12 + F.month(day)) * MONTH_UNITS + F.dayofmonth(day)
-
-
-def moment_columns(y: str, xs: Sequence[str], over: Column | None = None) -> list[Column]:
+def moment_columns(y: str, xs: Sequence[str]) -> list[Column]:
     """Sufficient statistics of a regression: n, means and (population) covariances.
 
     Covariance aggregates are centred and merge exactly, so they combine on the map side and
     do not cancel the way raw sums of products do.
     """
     names = [y, *xs]
-
-    def shaped(column: Column, name: str) -> Column:
-        return (column if over is None else column.over(over)).alias(name)
-
-    columns = [shaped(F.count(y), "n")]
-    columns += [shaped(F.avg(name), f"mean_{name}") for name in names]
+    columns = [F.count(y).alias("n")]
+    columns += [F.avg(name).alias(f"mean_{name}") for name in names]
     columns += [
-        shaped(F.covar_pop(a, b), f"cov_{a}_{b}")
-        for i, a in enumerate(names)
-        for b in names[i:]
+        F.covar_pop(a, b).alias(f"cov_{a}_{b}") for i, a in enumerate(names) for b in names[i:]
     ]
     return columns
 
@@ -428,14 +279,45 @@ def rolling_moments(
 ) -> DataFrame:
     """Sufficient statistics of the trailing month window of every day.
 
-    One shuffle and no copies of rows, whatever the number of dates: the path for running a
-    regression at every date of a long history. The window of a key is bounded by the calendar.
+    One shuffle and no copies of rows, whatever the number of dates: a window's sums are the
+    difference of two running totals of cells centred by the key's first values. A key's rows are bounded
+    by the calendar.
     """
-    keyed = complete_rows(frame, y, xs).withColumn("_key", month_key(F.col(day)).cast("long"))
-    window = (
-        W.partitionBy(*keys).orderBy("_key").rangeBetween(1 - MONTH_UNITS * months, W.currentRow)
+    names = [y, *xs]
+    rows = complete_rows(frame, y, xs).withColumn("_key", month_key(F.col(day)).cast("long"))
+    line = W.partitionBy(*keys).orderBy("_key")
+    centred = rows.select(
+        *keys, day, *names, "_key", *[F.first(name).over(line).alias(f"_mid_{name}") for name in names]
+    ).withColumns({f"_at_{name}": F.col(name) - F.col(f"_mid_{name}") for name in names})
+    # Both frames only grow, so every total is added up once per row.
+    upto = line.rangeBetween(W.unboundedPreceding, W.currentRow)
+    before = line.rangeBetween(W.unboundedPreceding, -MONTH_UNITS * months)
+
+    def inside(value: Column) -> Column:
+        return F.sum(value).over(upto) - F.coalesce(F.sum(value).over(before), F.lit(0.0))
+
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    summed = centred.select(
+        *keys,
+        day,
+        *names,
+        *[f"_mid_{name}" for name in names],
+        inside(F.lit(1.0)).alias("_n"),
+        *[inside(F.col(f"_at_{name}")).alias(f"_s_{name}") for name in names],
+        *[inside(F.col(f"_at_{a}") * F.col(f"_at_{b}")).alias(f"_s_{a}_{b}") for a, b in pairs],
+    )
+    n = F.col("_n")
+    return summed.select(
+        *keys,
+        day,
+        *names,
+        n.cast("long").alias("n"),
+        *[(F.col(f"_mid_{name}") + F.col(f"_s_{name}") / n).alias(f"mean_{name}") for name in names],
+        *[
+            (F.col(f"_s_{a}_{b}") / n - F.col(f"_s_{a}") * F.col(f"_s_{b}") / n / n).alias(f"cov_{a}_{b}")
+            for a, b in pairs
+        ],
     )
-    return keyed.select(*keys, day, y, *xs, *moment_columns(y, xs, window))
 
 
 def solve_moments(

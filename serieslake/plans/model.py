@@ -12,14 +12,11 @@ from serieslake.api import DataAPI
 from serieslake.operators.quality import drop_failing, failing_keys, gate
 from serieslake.operators.periods import last_days
 from serieslake.plans import discovery, drivers, estimation, results, signals
-from serieslake.plans.history import estimate_history
 from serieslake.plans.universes import CHN, UNIVERSES, Universe
 from serieslake.schema import SERIES_CODE, InsufficientDataError
 from serieslake.session import cut_lineage
 
 LATEST, EACH = "latest", "each"
-#: Lookbacks longer than this take the window-statistics path for all but the newest date.
-HISTORY_DAYS = 60
 
 
 @dataclass(frozen=True)
@@ -143,13 +140,8 @@ def fit(
     fit_dates = sorted(row["day"] for row in days.collect())
     if not fit_dates and as_of is not None and not features.isEmpty():
         raise InsufficientDataError(f"no data on or before {as_of} for {universe.name}")
-    if cointegration == LATEST and len(fit_dates) > HISTORY_DAYS:
-        estimates = _long_history(features, universe, fit_dates)
-    else:
-        test_dates = fit_dates[-1:] if cointegration == LATEST else None
-        estimates = estimation.estimate(
-            features, universe, fit_dates=fit_dates, test_dates=test_dates
-        )
+    test_dates = fit_dates[-1:] if cointegration == LATEST else None
+    estimates = estimation.estimate(features, universe, fit_dates=fit_dates, test_dates=test_dates)
     estimates = cut_lineage(estimates, "estimates")
     if cointegration == LATEST:
         estimates = _spread_verdict(estimates, fit_dates)
@@ -161,30 +153,6 @@ def fit(
     return FitResults(universe, features, fired, report, fit_dates)
 
 
-def _long_history(
-    features: DataFrame, universe: Universe, fit_dates: list[date]
-) -> DataFrame:
-    """Estimates of many dates: the newest one row by row with its test, earlier ones from
-    window statistics, and dates after a pair's last day row by row again."""
-    newest = fit_dates[-1]
-    first = F.lit(fit_dates[0]).cast("date")
-    tested = estimation.estimate(
-        features, universe, fit_dates=[newest], test_dates=[newest]
-    )
-    past = estimate_history(features, universe).filter(
-        (F.col("as_of") >= first) & (F.col("as_of") < F.lit(newest))
-    )
-    ended = (
-        features.groupBy(SERIES_CODE)
-        .agg(F.max("day").alias("_last_day"))
-        .filter(F.col("_last_day") < F.lit(newest))
-    )
-    late_rows = features.join(ended, SERIES_CODE, "left_semi")
-    late = estimation.estimate(late_rows, universe, fit_dates=fit_dates[:-1], test_dates=[])
-    late = late.join(ended, SERIES_CODE).filter(F.col("as_of") > F.col("_last_day"))
-    return tested.unionByName(past).unionByName(late.drop("_last_day"))
-
-
 def _spread_verdict(estimates: DataFrame, fit_dates: list[date]) -> DataFrame:
     """Each pair's verdict of the newest date on all its rows; untested pairs have failed."""
     carried = [c for c in estimates.columns if c.startswith(("cointegration_", "critical_"))]

@@ -64,49 +64,20 @@ def least_squares(y: np.ndarray, columns: np.ndarray, *, constant: bool = True)
     )
 
 
-def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function (Lentz's method)."""
-    tiny = 1e-300
-    c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    result = d
-    for m in range(1, 500):
-        for step in (
-            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
-        ):
-            d = 1.0 + step * d
-            c = 1.0 + step / c
-            d = 1.0 / (d if abs(d) > tiny else tiny)
-            c = c if abs(c) > tiny else tiny
-            result *= d * c
-        if abs(d * c - 1.0) < 1e-15:
-            break
-    return result
-
-
-def incomplete_beta(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    log_front = (
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    )
-    front = math.exp(log_front)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _beta_fraction(a, b, x) / a
-    return 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
-
-
 def student_two_sided(t: float, df: int) -> float:
-    """Two-sided p-value of a t ratio."""
+    """Two-sided p-value of a t ratio with whole degrees of freedom, by its finite series."""
     if math.isnan(t) or df <= 0:
         return math.nan
-    if math.isinf(t):
-        return 0.0
-    return incomplete_beta(df / 2.0, 0.5, df / (df + t * t))
+    angle, square, odd = math.atan(abs(t) / math.sqrt(df)), df / (df + t * t), df % 2
+    term, total = 1.0, 0.0
+    for k in range(1, (df - odd) // 2 + 1):
+        total += term
+        term *= square * ((2 * k) / (2 * k + 1) if odd else (2 * k - 1) / (2 * k))
+    if odd:
+        inside = 2 / math.pi * (angle + math.sin(angle) * math.cos(angle) * total)
+    else:
+        inside = math.sin(angle) * total
+    return max(1.0 - inside, 0.0)
 
 
 def normal_cdf(x: float) -> float:

@@ -15,7 +15,6 @@ from serieslake.functions.text import (
 )
 from serieslake.operators.quality import drop_failing, failing_keys
 from serieslake.plans import discovery, drivers, estimation, model, results, signals
-from serieslake.plans.history import estimate_history
 from serieslake.plans.universes import (
     BUY_SELL_SERIES,
     FX_CHN,
@@ -563,7 +562,10 @@ def fair_value_history(spark, folder):
     """Sign-checked fits of every pair at every day. Checked against the row-level path in the
     tests."""
     features = cut_lineage(_features(spark, folder), "features")
-    parts = [estimate_history(features, universe) for universe in (FX_G10, FX_EM, FX_CHN)]
+    parts = [
+        estimation.estimate(features, universe, every_day=True, test_dates=[])
+        for universe in (FX_G10, FX_EM, FX_CHN)
+    ]
     return parts[0].unionByName(parts[1], True).unionByName(parts[2], True)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from serieslake.api import DataAPI
 from serieslake.operators.quality import drop_failing
 from serieslake.plans import discovery, drivers, estimation, model, regression, results, signals
-from serieslake.plans import history as history_plan
+from serieslake.plans import sweep, unitroot
 from serieslake.plans.universes import (
     BUY_SELL_SERIES,
     CHINA_DRIVERS,
@@ -490,45 +490,121 @@ def test_universe_is_plain_data():
     assert isinstance(FX_G10, Universe) and FX_CHN.drivers == CHINA_DRIVERS
 
 
-@pytest.mark.parametrize("gaps", [False, True])
-def test_history_equals_the_row_level_path(spark, gaps):
-    frame = panel(seed=11)
-    frame["rate"] = np.exp(frame["rate"]) - 0.3 * frame["commodity"]
+def row_level(frame, universe, as_of):
+    """A fit from its rows: sign check, refit on the rows its drivers allow."""
+    names = list(universe.drivers)
+    start = pd.Timestamp(as_of) - pd.DateOffset(months=universe.window_months)
+    rows = frame[(frame.index > start) & (frame.index <= pd.Timestamp(as_of))]
+    rate = rows["rate"].where(rows["rate"] > 0) if rows["flag"].iloc[-1] else rows["rate"]
+    y = np.log(rate) if rows["flag"].iloc[-1] else rate
+
+    def solve(kept):
+        used = y.notna() & rows[kept].notna().all(axis=1)
+        if used.sum() < universe.min_observations:
+            return None
+        return regression.least_squares(y[used].to_numpy(), rows.loc[used, kept].to_numpy()), y[used].to_numpy()
+
+    first = solve(names)
+    if first is None:
+        return {"status": "insufficient_data"}
+    slopes = first[0].beta[1:]
+    kept = [n for n, b in zip(names, slopes) if not b * universe.expected_signs[n] < 0]
+    final = solve(kept) if kept else None
+    if final is None:
+        return {"status": "insufficient_data", "residuals": first[0].residuals}
+    fit, seen = final
+    out = {
+        "status": "ok", "n_obs": fit.n, "dropped_variables": ",".join(n for n in names if n not in kept),
+        "fitted_value": fit.fitted[-1], "actual_value": seen[-1], "residual_std": np.sqrt(fit.sse / fit.n),
+        "z_score": fit.residuals[-1] / np.sqrt(fit.sse / fit.n),
+        "r_squared": 1 - fit.sse / ((seen - seen.mean()) ** 2).sum(), "residuals": first[0].residuals,
+    }
+    for prefix, numbers in (("coefficient", fit.beta), ("standard_error", fit.standard_errors()), ("p_value", fit.p_values())):
+        out |= {f"{prefix}_{n}": v for n, v in zip(["const", *kept], numbers)}
+    return out
+
+
+def same_fit(row, wanted):
+    for name, value in wanted.items():
+        if name == "residuals":
+            root = regression.unit_root_test(value)
+            assert row["cointegration_statistic"] == pytest.approx(root.statistic, rel=1e-6)
+            assert row["cointegration_p_value"] == pytest.approx(root.p_value, rel=1e-5, abs=1e-9)
+            assert row["cointegration_n_obs"] == len(value)
+            assert row["critical_5pct"] == pytest.approx(regression.critical_value("5%", root.n))
+        else:
+            close = pytest.approx(value, rel=1e-6, abs=1e-9) if isinstance(value, float) else value
+            assert row[name] == close, name
+
+
+@pytest.mark.parametrize("universe, gaps, logged", [(FX_EM, False, False), (FX_EM, True, False), (FX_EM, True, True), (FX_CHN, True, True)])
+def test_fits_equal_the_row_level(spark, universe, gaps, logged):
+    """Windows as differences, sweeps and lagged products against rows, on every day."""
+    frame = panel(seed=11, names=universe.drivers)
+    frame["rate"] = np.exp(frame["rate"]) - 0.3 * frame["commodity"] - (1.5 if logged else 0)
     rng = np.random.default_rng(5)
     if gaps:
-        frame.loc[rng.random(400) < 0.1, "commodity"] = np.nan
+        for name in ("commodity", "local_equity", "yield_curve_or_cds"):
+            frame.loc[rng.random(400) < 0.1, name] = np.nan
         frame.loc[rng.random(400) < 0.05, "rate"] = np.nan
-    features = as_features(spark, frame, universe="EM")
-    features = features.withColumn("is_logged", F.dayofmonth("day") % 2 == 0)
-    days = [frame.index[i].date() for i in (40, 90, 140, 233, 234, 399)]
-    history = history_plan.estimate_history(features, FX_EM)
-    assert history.count() == 400
-    ours = {r["as_of"]: r for r in history.filter(F.col("as_of").isin(days)).collect()}
-    for row in estimation.estimate(features, FX_EM, fit_dates=days, test_dates=[]).collect():
-        other = ours[row["as_of"]]
-        assert (row["status"], row["n_obs"], row["dropped_variables"]) == (
-            other["status"], other["n_obs"], other["dropped_variables"],
-        )
-        for name in row.asDict():
-            if isinstance(row[name], float):
-                assert other[name] == pytest.approx(row[name], rel=1e-6, abs=1e-9), name
-
-
-def test_long_lookback_takes_both_paths_to_the_same_result(spark, monkeypatch):
-    wide, values = market(spark)
-    ended = values.filter(
-        (F.col("series_code") != "USDZAR_PX_LAST") | (F.col("timestamp") <= str(wide.index[-4]))
-    )
-    catalog = world(spark).union(spark.createDataFrame([pair_row("USDEUR_PX_LAST", "EM")], CATALOG))
-    extra = values.filter("series_code = 'EURUSD_PX_LAST'").withColumn("series_code", F.lit("USDEUR_PX_LAST"))
-    both = ended.union(extra)
-    rows = model.fit(catalog, both, FX_EM, lookback_days=8).signals
-    monkeypatch.setattr(model, "HISTORY_DAYS", 2)
-    statistics = model.fit(catalog, both, FX_EM, lookback_days=8).signals
-    order = ["series_code", "as_of"]
-    left, right = (f.orderBy(*order).collect() for f in (rows, statistics))
-    assert len(left) == len(right) == 16
-    for a, b in zip(left, right):
-        for name in a.asDict():
-            close = pytest.approx(a[name], rel=1e-6, abs=1e-9) if isinstance(a[name], float) else a[name]
-            assert b[name] == close, name
+    frame["flag"] = [logged or day.day % 2 == 0 for day in frame.index]
+    features = as_features(spark, frame, universe=universe.name)
+    if not logged:
+        features = features.withColumn("is_logged", F.dayofmonth("day") % 2 == 0)
+    else:
+        features = features.withColumn("is_logged", F.lit(True))
+    days = [frame.index[i].date() for i in range(40, 400, 7)]
+    some = {r["as_of"]: r for r in estimation.estimate(features, universe, fit_dates=days).collect()}
+    every = estimation.estimate(features, universe, every_day=True, test_dates=[]).collect()
+    assert len(every) == 400
+    every = {r["as_of"]: r for r in every}
+    for day in days:
+        wanted = row_level(frame, universe, day)
+        same_fit(some[day], wanted)
+        assert every[day]["cointegration_passed"] is None
+        same_fit(every[day], {k: v for k, v in wanted.items() if k != "residuals"})
+
+
+def test_repeated_and_still_drivers(spark):
+    """A driver that repeats another shares its weight; one that does not move has none."""
+    frame = panel(seed=13)
+    frame["rate"] = frame["rate"] + 0.3 * frame["interest_rate_differential"]
+    frame["global_equity"], frame["commodity"] = frame["interest_rate_differential"], 7.0
+    features = as_features(spark, frame)
+    out = estimation.estimate(features, FX_G10, fit_dates=[frame.index[-1].date()]).first()
+    wanted = row_level(frame.assign(flag=False), replace(FX_G10, drivers=DRIVERS), frame.index[-1])
+    assert out["coefficient_interest_rate_differential"] == pytest.approx(out["coefficient_global_equity"], rel=1e-4)
+    assert out["fitted_value"] == pytest.approx(wanted["fitted_value"], rel=1e-6)
+    assert out["coefficient_commodity"] == 0.0 and out["residual_std"] == pytest.approx(wanted["residual_std"], rel=1e-6)
+
+
+def test_sweeps_invert_and_solve(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(50, 4))
+    gram = x.T @ x
+    rows = spark.createDataFrame([(gram.tolist(),)], "m array<array<double>>")
+    places = F.array(*[F.lit(k) for k in range(3)])
+    spread = F.array(*[F.lit(float(v)) for v in np.diag(gram)])
+    got = np.array(rows.select(sweep.swept_over(F.col("m"), places, spread)["m"].alias("m")).first()["m"])
+    inverse = np.linalg.inv(gram[:3, :3])
+    assert np.allclose(got[:3, :3], inverse) and np.allclose(got[:3, 3], inverse @ gram[:3, 3])
+    assert got[3, 3] == pytest.approx(gram[3, 3] - gram[3, :3] @ inverse @ gram[:3, 3])
+
+
+def test_student_tail_in_expressions(spark):
+    points = [(t, df) for df in (1, 2, 3, 8, 61, 240) for t in (-4.0, 0.0, 0.3, 2.0, 9.0)]
+    rows = spark.createDataFrame(points, "t double, df int")
+    for row in rows.select("t", "df", sweep.student_tail(F.col("t"), F.col("df")).alias("p")).collect():
+        assert row["p"] == pytest.approx(regression.student_two_sided(row["t"], row["df"]), abs=1e-12)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_lagged_moments_match_brute_force(seed):
+    rng = np.random.default_rng(seed)
+    cells = np.column_stack([np.ones(500), rng.normal(size=(500, 3)).cumsum(axis=0)])
+    weights = np.column_stack([rng.normal(size=6), np.ones(6), rng.normal(size=(6, 2))])
+    start, stop = np.array([0, 0, 30, 100, 150, 470]), np.array([60, 200, 290, 400, 500, 500])
+    found = unitroot.LaggedMoments(cells).tests(weights, start, stop)
+    for k, row in found.iterrows():
+        statistic, lags, n = brute_unit_root((cells @ weights[k])[start[k] : stop[k]])
+        assert (row["lags"], row["n"]) == (lags, n) and row["statistic"] == pytest.approx(statistic, rel=1e-6)
