@@ -36,6 +36,8 @@ MOST_MATCHES = 4
 #: in it changes the cost of the join, never its result.
 FREQUENT_RUNS = 100_000
 LOCAL_REPEATS = 4
+#: Runs that a task counts together.
+HELD_RUNS = 2_000_000
 #: Bits of the filter that names documents whose sets are needed; false hits cost time only.
 FILTER_BITS = 1 << 22
 
@@ -70,7 +72,7 @@ def frequent_runs(docs: DataFrame, text_column: str, width: int) -> np.ndarray:
             for runs in shingle_sets(batch.column(0), width):
                 pending.append(runs)
                 held += len(runs)
-                if held > 6_000_000:
+                if held > HELD_RUNS:
                     yield counted()
                     pending, held = [], 0
         if held:

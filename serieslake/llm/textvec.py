@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 
 SLICE = 1 << 20
+#: Bytes of texts whose words are held together.
+GROUP = 2 * SLICE
 LANES = 64
 
 _SPACE = np.zeros(256, bool)
@@ -108,19 +110,32 @@ def combine(words: np.ndarray, width: int) -> np.ndarray:
     return mix(total + np.uint64(width))
 
 
+def _row_groups(column: pa.Array) -> Iterator[pa.Array]:
+    """Neighbouring rows of a few slices' bytes together; a longer text is a group of its own."""
+    _, offsets = buffers(column)
+    first = 0
+    while first < len(column):
+        last = int(np.searchsorted(offsets, offsets[first] + GROUP, side="right")) - 1
+        last = min(max(last, first + 1), len(column))
+        yield column.slice(first, last - first)
+        first = last
+
+
 def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
     """For each document the sorted hashes of its distinct runs of ``width`` words.
 
-    With fewer words the whole sequence counts as one run; without words the set is empty.
+    With fewer words the whole sequence counts as one run; without words the set is empty. Memory
+    is bounded by a few slices and the longest text.
     """
-    words, begins = hashed_words(column)
-    runs = combine(words, width)
-    for k in range(len(column)):
-        first, last = begins[k], begins[k + 1]
-        if last - first >= width:
-            yield np.unique(runs[first : last - width + 1])
-        elif last > first:
-            few = words[first:last]
-            yield combine(few, len(few))
-        else:
-            yield np.zeros(0, np.uint64)
+    for rows in _row_groups(column):
+        words, begins = hashed_words(rows)
+        runs = combine(words, width)
+        for k in range(len(rows)):
+            first, last = begins[k], begins[k + 1]
+            if last - first >= width:
+                yield np.unique(runs[first : last - width + 1])
+            elif last > first:
+                few = words[first:last]
+                yield combine(few, len(few))
+            else:
+                yield np.zeros(0, np.uint64)
