@@ -8,7 +8,7 @@ products (:mod:`serieslake.plans.unitroot`). No window's rows are copied.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from datetime import date
 
 import numpy as np
@@ -19,12 +19,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from serieslake.functions.numeric import log_level, to_level
-from serieslake.plans.drivers import RATE
+from serieslake.plans.drivers import RATE, by_universe
 from serieslake.plans.regression import least_squares, unit_root_test
 from serieslake.plans.sweep import estimate_columns, solve_fits
 from serieslake.plans.unitroot import LEVELS, TEST_FIELDS, residual_tests
 from serieslake.plans.universes import Universe
-from serieslake.plans.windows import KEYS, MONTH_UNITS, cells, month_key, window_sums
+from serieslake.plans.windows import (
+    KEYS,
+    MONTH_UNITS,
+    cells,
+    listed_dates,
+    month_key,
+    window_sums,
+)
 from serieslake.schema import SERIES_CODE
 from serieslake.session import cut_lineage
 
@@ -82,31 +89,40 @@ def assign_dates(
     ).drop("_dates")
 
 
+def all_drivers(universes: Mapping[str, Universe]) -> list[str]:
+    """The drivers of all universes, each once."""
+    return list(dict.fromkeys(name for universe in universes.values() for name in universe.drivers))
+
+
 def estimate(
     features: DataFrame,
-    universe: Universe,
+    universe: Universe | Mapping[str, Universe],
     *,
-    fit_dates: Sequence[date] | None = None,
-    test_dates: Sequence[date] | None = None,
+    fit_dates: Sequence[date] | Mapping[str, Sequence[date]] | None = None,
+    test_dates: Sequence[date] | Mapping[str, Sequence[date]] | None = None,
     every_day: bool = False,
 ) -> DataFrame:
-    """Estimates for every (pair, as_of); pairs without enough data have another status.
+    """Estimates for every (pair, as_of) of one or several universes; pairs without enough data have
+    another status.
 
-    Fits are at the given dates, at each pair's own last day, or at every day of each pair; all come
-    from the same sums over windows. ``test_dates`` limits the unit-root test to those dates, on
-    which a pair is tested only when that day is on its own grid; None tests every fit.
+    Fits are at the given dates (of all universes, or by universe), at each pair's own last day, or at
+    every day of each pair; all come from the same sums over windows. ``test_dates`` limits the
+    unit-root test to those dates, on which a pair is tested only when that day is on its own grid;
+    None tests every fit.
     """
-    drivers = list(universe.drivers)
-    rows = cut_lineage(cells(features.filter(F.col("universe") == universe.name), drivers), "cells")
-    sums = window_sums(rows, drivers, universe.window_months, fit_dates=fit_dates, every_day=every_day)
-    solved = solve_fits(sums, universe)
+    universes = {universe.name: universe} if isinstance(universe, Universe) else universe
+    drivers = all_drivers(universes)
+    months = by_universe("window_months", universes)
+    chosen = features.filter(F.col("universe").isin(*universes))
+    rows = cut_lineage(cells(chosen, drivers), "cells")
+    sums = window_sums(rows, drivers, months, fit_dates=fit_dates, every_day=every_day)
+    solved = solve_fits(sums, universes, drivers)
     numbers = estimate_columns(
-        solved.withColumn("on_grid", F.col("newest.day") == F.col("as_of")), universe, "on_grid"
+        solved.withColumn("on_grid", F.col("newest.day") == F.col("as_of")), drivers, "on_grid"
     )
     tested = F.lit(True)
     if test_dates is not None:
-        dates = [F.lit(day).cast("date") for day in test_dates]
-        tested = F.col("as_of").isin(*dates) & F.col("on_grid") if dates else F.lit(False)
+        tested = F.array_contains(listed_dates(test_dates), F.col("as_of")) & F.col("on_grid")
     numbers = numbers.withColumn("tested", tested)
     schema = estimate_schema(drivers)
     names = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
@@ -114,9 +130,12 @@ def estimate(
         blank = {name: F.lit(None).cast(kind) for name, kind in TEST_FIELDS}
         return numbers.withColumns(blank).select(*names)
     numbers = cut_lineage(numbers, "fits")
-    enough = numbers.filter(F.col("tested") & (F.col("first_n") >= universe.min_observations))
-    tests = residual_tests(rows, enough, drivers, universe.window_months, universe.cointegration_significance)
-    passed = F.when(F.col("tested"), F.coalesce("cointegration_passed", F.lit(False)))
+    enough = numbers.filter(
+        F.col("tested") & (F.col("first_n") >= by_universe("min_observations", universes))
+    )
+    tests = residual_tests(rows, enough, drivers, months)
+    low = F.col("cointegration_p_value") <= by_universe("cointegration_significance", universes)
+    passed = F.when(F.col("tested"), F.coalesce(low, F.lit(False)))
     return numbers.join(tests, KEYS, "left").withColumn("cointegration_passed", passed).select(*names)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
 
@@ -13,6 +14,7 @@ from serieslake.operators.quality import drop_failing, failing_keys, gate
 from serieslake.operators.periods import last_days
 from serieslake.plans import discovery, drivers, estimation, results, signals
 from serieslake.plans.universes import CHN, UNIVERSES, Universe
+from serieslake.plans.windows import listed_dates
 from serieslake.schema import SERIES_CODE, InsufficientDataError
 from serieslake.session import cut_lineage
 
@@ -90,9 +92,12 @@ class FitResults:
         results.save_results(api, self.summary, self.rows())
 
 
-def resolve_cutover(universe: Universe, catalog: DataFrame, values: DataFrame) -> date | None:
+def resolve_cutover(
+    universes: Universe | Mapping[str, Universe], catalog: DataFrame, values: DataFrame
+) -> date | None:
     """Regime change of the flows driver; only China needs one, and only if it has flows."""
-    if universe.name != CHN or not drivers.flows_complete(values):
+    names = [universes.name] if isinstance(universes, Universe) else list(universes)
+    if CHN not in names or not drivers.flows_complete(values):
         return None
     return drivers.flows_cutover(catalog)
 
@@ -100,67 +105,104 @@ def resolve_cutover(universe: Universe, catalog: DataFrame, values: DataFrame) -
 def pair_features(
     catalog: DataFrame,
     values: DataFrame,
-    universe: Universe,
+    universe: Universe | Mapping[str, Universe],
     *,
     pairs: list[str] | None = None,
     require_real: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """(availability report, features) of a universe's pairs."""
-    found = discovery.discover_pairs(catalog, universe.name, require_real=require_real)
-    report = discovery.availability_report(found, catalog)
+    """(availability report, features) of the pairs of one or several universes."""
+    universes = {universe.name: universe} if isinstance(universe, Universe) else universe
+    found = discovery.discover_pairs(
+        catalog, next(iter(universes)) if len(universes) == 1 else None, require_real=require_real
+    )
+    report = discovery.availability_report(found.filter(F.col("universe").isin(*universes)), catalog)
     if pairs is not None:
         report = report.filter(F.col(SERIES_CODE).isin(pairs))
+    report = cut_lineage(report, "report")
     mapping = drivers.series_mapping(report.filter(~F.col("blocked")))
-    cutover = resolve_cutover(universe, catalog, values)
+    cutover = resolve_cutover(universes, catalog, values)
     raw = drivers.raw_driver_frame(values, mapping, cutover=cutover)
     conformed = drivers.conform_drivers(raw)
-    return report, drivers.build_features(conformed, {universe.name: universe})
+    return report, drivers.build_features(conformed, universes)
 
 
 def fit(
     catalog: DataFrame,
     values: DataFrame,
     universe: Universe,
+    **options,
+) -> FitResults:
+    """Fit every unblocked pair of one universe; see :func:`fit_universes`."""
+    return fit_universes(catalog, values, {universe.name: universe}, **options)[universe.name]
+
+
+def fit_universes(
+    catalog: DataFrame,
+    values: DataFrame,
+    universes: Mapping[str, Universe] = UNIVERSES,
     *,
     as_of: date | str | None = None,
     lookback_days: int = 1,
     cointegration: str = LATEST,
     pairs: list[str] | None = None,
-) -> FitResults:
-    """Fit every unblocked pair at the last ``lookback_days`` business days up to ``as_of``.
+) -> dict[str, FitResults]:
+    """Fit every unblocked pair at the last ``lookback_days`` business days of its universe up to
+    ``as_of``, all universes in one run.
 
     Each date uses only rows up to that date. ``cointegration='latest'`` tests each pair once,
     at the newest date, and applies the verdict to all dates; ``'each'`` tests every date.
     """
     if cointegration not in (LATEST, EACH):
         raise ValueError(f"cointegration must be {LATEST!r} or {EACH!r}, got {cointegration!r}")
-    report, features = pair_features(catalog, values, universe, pairs=pairs)
+    report, features = pair_features(catalog, values, universes, pairs=pairs)
     features = cut_lineage(features, "features")
-    days = last_days(features, lookback_days, as_of=as_of, day="day")
-    fit_dates = sorted(row["day"] for row in days.collect())
-    if not fit_dates and as_of is not None and not features.isEmpty():
-        raise InsufficientDataError(f"no data on or before {as_of} for {universe.name}")
-    test_dates = fit_dates[-1:] if cointegration == LATEST else None
-    estimates = estimation.estimate(features, universe, fit_dates=fit_dates, test_dates=test_dates)
-    estimates = cut_lineage(estimates, "estimates")
+    fit_dates = {
+        name: sorted(
+            row["day"]
+            for row in last_days(
+                features.filter(F.col("universe") == name), lookback_days, as_of=as_of, day="day"
+            ).collect()
+        )
+        for name in universes
+    }
+    for name, dates in fit_dates.items():
+        if not dates and as_of is not None and not features.filter(F.col("universe") == name).isEmpty():
+            raise InsufficientDataError(f"no data on or before {as_of} for {name}")
+    newest = {name: dates[-1:] for name, dates in fit_dates.items()}
+    estimates = cut_lineage(
+        estimation.estimate(
+            features, universes, fit_dates=fit_dates, test_dates=newest if cointegration == LATEST else None
+        ),
+        "estimates",
+    )
     if cointegration == LATEST:
-        estimates = _spread_verdict(estimates, fit_dates)
+        estimates = _spread_verdict(estimates, newest)
     fired = signals.with_signals(
         estimates,
-        z_threshold=universe.z_threshold,
-        stop_reward_ratio=universe.stop_reward_ratio,
+        z_threshold=drivers.by_universe("z_threshold", universes),
+        stop_reward_ratio=drivers.by_universe("stop_reward_ratio", universes),
     )
-    return FitResults(universe, features, fired, report, fit_dates)
+    unused = {
+        name: [c for c in fired.columns if c.endswith(tuple(f"_{d}" for d in estimation.all_drivers(universes) if d not in universe.drivers))]
+        for name, universe in universes.items()
+    }
+    of = lambda frame, name: frame.filter(F.col("universe") == name)
+    return {
+        name: FitResults(
+            universe, of(features, name), of(fired, name).drop(*unused[name]), of(report, name), fit_dates[name]
+        )
+        for name, universe in universes.items()
+    }
 
 
-def _spread_verdict(estimates: DataFrame, fit_dates: list[date]) -> DataFrame:
-    """Each pair's verdict of the newest date on all its rows; untested pairs have failed."""
+def _spread_verdict(estimates: DataFrame, newest: Mapping[str, list[date]]) -> DataFrame:
+    """Each pair's verdict of its universe's newest date on all its rows; untested pairs have failed."""
     carried = [c for c in estimates.columns if c.startswith(("cointegration_", "critical_"))]
-    if not fit_dates:
-        return estimates
-    verdict = estimates.filter(F.col("as_of") == F.lit(fit_dates[-1])).select(SERIES_CODE, *carried)
+    verdict = estimates.filter(F.array_contains(listed_dates(newest), F.col("as_of"))).select(
+        SERIES_CODE, "universe", *carried
+    )
     order = estimates.columns
-    joined = estimates.drop(*carried).join(verdict, SERIES_CODE, "left")
+    joined = estimates.drop(*carried).join(verdict, [SERIES_CODE, "universe"], "left")
     return joined.withColumn(
         "cointegration_passed", F.coalesce("cointegration_passed", F.lit(False))
     ).select(*order)

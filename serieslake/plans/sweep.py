@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from serieslake.plans.drivers import RATE
+from serieslake.plans.drivers import RATE, by_universe
 from serieslake.plans.universes import Universe
 from serieslake.plans.windows import KEYS, sum_places
 
@@ -146,33 +146,39 @@ def _solve(
     )
 
 
-def solve_fits(sums: DataFrame, universe: Universe) -> DataFrame:
-    """Fit, sign check and one refit for every row of :func:`windows.window_sums`.
+def solve_fits(sums: DataFrame, universes: Mapping[str, Universe], drivers: Sequence[str]) -> DataFrame:
+    """Fit, sign check and one refit for every row of :func:`windows.window_sums` over ``drivers``.
 
-    Adds ``first`` and ``final`` (see :func:`_solve`), ``kept`` (places of the kept drivers, from 1)
-    and ``status``. A driver that does not move in the window gets the coefficient zero; drivers that
-    repeat each other share their weight.
+    Adds ``first`` and ``final`` (see :func:`_solve`), ``places`` (of the universe's drivers, from 1),
+    ``kept`` (those that pass the sign check) and ``status``. A driver that does not move in the window
+    gets the coefficient zero; drivers that repeat each other share their weight.
     """
-    count = len(universe.drivers)
-    need = F.lit(universe.min_observations)
-    every = F.sequence(F.lit(1), F.lit(count))
-    frame = sums.withColumn("is_logged", F.col("newest.is_logged")).withColumn(
-        "current_rate", F.when(~F.isnan(f"newest.{RATE}"), F.col(f"newest.{RATE}"))
+    count = len(drivers)
+    need = by_universe("min_observations", universes)
+
+    def listed(of) -> Column:
+        chosen = F.expr("CAST(array() AS array<int>)")
+        for name, universe in universes.items():
+            values = F.array(*[F.lit(value) for value in of(universe)])
+            chosen = F.when(F.col("universe") == name, values).otherwise(chosen)
+        return chosen
+
+    frame = (
+        sums.withColumn("places", listed(lambda u: [j + 1 for j, name in enumerate(drivers) if name in u.drivers]))
+        .withColumn("_signs", listed(lambda u: [u.expected_signs.get(name, 0) for name in drivers]))
+        .withColumn("is_logged", F.col("newest.is_logged"))
+        .withColumn("current_rate", F.when(~F.isnan(f"newest.{RATE}"), F.col(f"newest.{RATE}")))
     )
-    frame = _solve(frame, "first", F.sequence(F.lit(0), F.lit(count)), _bits(every), need, count)
-    signs = F.array(*[F.lit(universe.expected_signs[name]) for name in universe.drivers])
+    every, nothing = F.col("places"), F.expr("CAST(array() AS array<int>)")
+    frame = _solve(frame, "first", F.concat(F.array(F.lit(0)), every), _bits(every), need, count)
     slope = lambda j: coefficient(F.col("first"), j, count)
-    frame = frame.withColumn(
-        "kept",
-        F.when(
-            F.col("first.n") >= need, F.filter(every, lambda j: ~(slope(j) * F.get(signs, j - 1) < 0))
-        ).otherwise(F.expr("CAST(array() AS array<int>)")),
-    )
+    right = F.filter(every, lambda j: ~(slope(j) * F.get("_signs", j - 1) < 0))
+    frame = frame.withColumn("kept", F.when(F.col("first.n") >= need, right).otherwise(nothing))
     frame = _solve(
         frame, "_refit", F.concat(F.array(F.lit(0)), F.col("kept")), _bits(F.col("kept")), need, count
     )
-    final = F.when(F.size("kept") == count, F.col("first")).otherwise(F.col("_refit"))
-    frame = frame.withColumn("final", final).drop("_refit")
+    final = F.when(F.size("kept") == F.size(every), F.col("first")).otherwise(F.col("_refit"))
+    frame = frame.withColumn("final", final).drop("_refit", "_signs")
     enough = (F.col("first.n") >= need) & (F.size("kept") > 0) & (F.col("final.n") >= need)
     return frame.withColumn("status", F.when(enough, "ok").otherwise("insufficient_data"))
 
@@ -183,11 +189,11 @@ def coefficient(fit: Column, place: Column, count: int) -> Column:
     return F.when(F.array_contains(fit["used"], place), value).otherwise(F.lit(0.0))
 
 
-def estimate_columns(solved: DataFrame, universe: Universe, *kept: str) -> DataFrame:
+def estimate_columns(solved: DataFrame, drivers: Sequence[str], *kept: str) -> DataFrame:
     """Numbers of the final fit as columns, the keys and what the unit-root test needs of the first
-    one: ``first_n`` and ``first_beta`` (constant and slopes in centred cells). Columns named in
+    one: ``first_n``, ``first_beta`` (constant and slopes in centred cells) and ``places``. Columns named in
     ``kept`` pass through."""
-    drivers, count = list(universe.drivers), len(universe.drivers)
+    count = len(drivers)
     ok, fit = F.col("status") == "ok", F.col("final")
     response = F.when(F.col("is_logged"), F.lit(1)).otherwise(F.lit(0))
     of_first = F.array(
@@ -250,7 +256,7 @@ def estimate_columns(solved: DataFrame, universe: Universe, *kept: str) -> DataF
     }
     shown = lambda value: F.when(ok, value)
     names = F.array(*[F.lit(name) for name in drivers])
-    dropped = F.filter(names, lambda name, i: ~F.array_contains("kept", i + 1))
+    dropped = F.transform(F.array_except("places", "kept"), lambda j: F.get(names, j - 1))
     return frame.select(
         *KEYS,
         "status",
@@ -271,5 +277,6 @@ def estimate_columns(solved: DataFrame, universe: Universe, *kept: str) -> DataF
         F.col("first.n").alias("first_n"),
         "first_beta",
         "centre",
+        "places",
         *kept,
     )

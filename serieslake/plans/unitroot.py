@@ -14,7 +14,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,66 +136,67 @@ class LaggedMoments:
         return out
 
 
-def _tested(rows: pd.DataFrame, fits: pd.DataFrame, drivers: list[str], months: int | None) -> pd.DataFrame:
+def _tested(rows: pd.DataFrame, fits: pd.DataFrame, names: list[str]) -> pd.DataFrame:
     """Tests of one pair's fits, those of the level and those of the logarithm."""
-    names = value_names(drivers)
     cells = rows[names].to_numpy(float)
     keys = rows["key"].to_numpy()
+    drivers = [int(place) + 1 for place in fits["places"].iloc[0]]
     found = []
     for logged, own in fits.groupby("is_logged"):
-        response = names.index(LOG if logged else LEVEL)
+        used = [names.index(LOG if logged else LEVEL), *drivers]
         own = own.sort_values("end")
-        complete = np.isfinite(cells[:, [response, *range(2, len(names))]]).all(axis=1)
+        complete = np.isfinite(cells[:, used]).all(axis=1)
         centre = np.vstack(own["centre"])[0]
-        used = np.column_stack([np.ones(complete.sum()), (cells - centre)[complete][:, [response, *range(2, len(names))]]])
         line = keys[complete]
         stop = np.searchsorted(line, own["end"].to_numpy(), side="right")
-        start = (
-            np.searchsorted(line, own["end"].to_numpy() - MONTH_UNITS * months, side="right")
-            if months
-            else np.zeros(len(own), int)
-        )
-        beta = np.vstack(own["first_beta"])
+        start = np.searchsorted(line, own["start"].to_numpy(), side="right")
+        beta = np.vstack(own["first_beta"])[:, [0, *[place - 1 for place in drivers]]]
         weights = np.column_stack([-beta[:, 0], np.ones(len(own)), -beta[:, 1:]])
-        result = LaggedMoments(used).tests(weights, start, stop)
+        moved = np.column_stack([np.ones(complete.sum()), (cells - centre)[complete][:, used]])
+        result = LaggedMoments(moved).tests(weights, start, stop)
         result.index = own.index
         result["count"] = stop - start
         found.append(result)
     return pd.concat(found)
 
 
-def residual_tests(
-    rows: DataFrame, fits: DataFrame, drivers: list[str], months: int | None, significance: float
-) -> DataFrame:
-    """Unit-root tests of the first fits' residuals. ``rows`` are :func:`windows.cells`; ``fits`` has the
-    keys, is_logged, first_beta and centre of the fits to test.
+def residual_tests(rows: DataFrame, fits: DataFrame, drivers: list[str], months: Column) -> DataFrame:
+    """Unit-root tests of the first fits' residuals, without verdicts. ``rows`` are
+    :func:`windows.cells`; ``fits`` has the keys, is_logged, first_beta, centre and places of the fits to
+    test.
 
     A pair's rows and its fits meet in one task; both are bounded by the calendar.
     """
     schema = T.StructType(
-        [f for f in fits.schema if f.name in KEYS] + [T.StructField(name, kind) for name, kind in TEST_FIELDS]
+        [f for f in fits.schema if f.name in KEYS] + [T.StructField(name, kind) for name, kind in TEST_FIELDS[1:]]
     )
-    names = [f.name for f in schema]
+    names, cells = [f.name for f in schema], value_names(drivers)
 
     def test(pair: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         if own.empty:  # a pair with nothing to test
-            kinds = {T.DoubleType(): "float64", T.LongType(): "int64", T.BooleanType(): "bool"}
+            kinds = {T.DoubleType(): "float64", T.LongType(): "int64"}
             return pd.DataFrame({f.name: pd.Series(dtype=kinds.get(f.dataType, "object")) for f in schema})
-        pair = pair.sort_values("key", ignore_index=True)
-        result = _tested(pair, own, drivers, months)
+        result = _tested(pair.sort_values("key", ignore_index=True), own, cells)
         out = own.loc[result.index, KEYS].copy()
         statistic = result["statistic"].to_numpy()
-        p = np.array([unit_root_p_value(s) for s in statistic])
-        out["cointegration_passed"] = p <= significance
-        out["cointegration_p_value"] = np.where(np.isnan(p), None, p)
-        out["cointegration_statistic"] = np.where(np.isnan(p), None, statistic)
+        known = ~np.isnan(statistic)
+        out["cointegration_p_value"] = [unit_root_p_value(s) for s in statistic]
+        out["cointegration_statistic"] = statistic
         for level in LEVELS:
-            values = [critical_value(level, n) for n in result["n"]]
-            out[f"critical_{level.rstrip('%')}pct"] = np.where(np.isnan(p), None, values)
+            values = np.array([critical_value(level, n) for n in result["n"]])
+            out[f"critical_{level.rstrip('%')}pct"] = np.where(known, values, np.nan)
         out["cointegration_n_obs"] = result["count"].astype("int64")
-        floats = [name for name, kind in TEST_FIELDS if isinstance(kind, T.DoubleType)]
-        return out.astype({name: "float64" for name in floats})[names]
+        return out[names]
 
-    marked = fits.select(*KEYS, month_key(F.col("as_of")).alias("end"), "is_logged", "first_beta", "centre")
-    slim = rows.select(*PAIR, "key", *value_names(drivers))
-    return slim.groupBy(*PAIR).cogroup(marked.groupBy(*PAIR)).applyInPandas(test, schema)
+    end = month_key(F.col("as_of"))
+    marked = fits.select(
+        *KEYS, end.alias("end"), (end - MONTH_UNITS * months).alias("start"), "is_logged", "first_beta", "centre", "places"
+    )
+    slim = rows.select(*PAIR, "key", *cells)
+    found = slim.groupBy(*PAIR).cogroup(marked.groupBy(*PAIR)).applyInPandas(test, schema)
+    return found.select(
+        *[
+            F.when(~F.isnan(f.name), F.col(f.name)).alias(f.name) if f.dataType == T.DoubleType() else F.col(f.name)
+            for f in schema
+        ]
+    )

@@ -13,7 +13,7 @@ A pair has one row per business day, so a window partition is bounded by the cal
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -69,30 +69,44 @@ def cells(features: DataFrame, drivers: Sequence[str]) -> DataFrame:
     return shaped.withColumn("mask", mask).withColumn("key", month_key(F.col("day")))
 
 
-def fit_days(rows: DataFrame, dates: Sequence[date] | None, *, every_day: bool) -> DataFrame:
+def listed_dates(dates: Sequence[date] | Mapping[str, Sequence[date]]) -> Column:
+    """Dates as an array: the same for all pairs, or those of the pair's universe."""
+
+    def listed(days: Sequence[date]) -> Column:
+        return F.array(*[F.lit(d).cast("date") for d in days]).cast("array<date>")
+
+    if not isinstance(dates, Mapping):
+        return listed(dates)
+    chosen = listed([])
+    for name, days in dates.items():
+        chosen = F.when(F.col("universe") == name, listed(days)).otherwise(chosen)
+    return chosen
+
+
+def fit_days(
+    rows: DataFrame, dates: Sequence[date] | Mapping[str, Sequence[date]] | None, *, every_day: bool
+) -> DataFrame:
     """The fits that are wanted: every day of each pair, the given days, or each pair's last."""
     if every_day:
-        days = rows.select(*PAIR, F.col("day").alias("as_of")).distinct()
-        return days if dates is None else days.filter(F.col("as_of").isin(*dates))
+        return rows.select(*PAIR, F.col("day").alias("as_of")).distinct()
     if dates is None:
         return rows.groupBy(*PAIR).agg(F.max("day").alias("as_of"))
-    listed = F.array(*[F.lit(d).cast("date") for d in dates]).cast("array<date>")
-    return rows.select(*PAIR).distinct().select("*", F.explode(listed).alias("as_of"))
+    return rows.select(*PAIR).distinct().select("*", F.explode(listed_dates(dates)).alias("as_of"))
 
 
 def window_sums(
     rows: DataFrame,
     drivers: Sequence[str],
-    months: int | None,
+    months: Column,
     *,
-    fit_dates: Sequence[date] | None = None,
+    fit_dates: Sequence[date] | Mapping[str, Sequence[date]] | None = None,
     every_day: bool = False,
 ) -> DataFrame:
     """One row per fit whose window has a row of :func:`cells`: the keys, ``centre`` (the pair's first value of
     each cell), ``classes`` and ``newest``.
 
     ``classes`` lists, by missing pattern, the mask, the sums of products (see :func:`sum_places`) and
-    the last row; ``newest`` is the window's last row of any pattern.
+    the last row; ``newest`` is the window's last row of any pattern. ``months`` may differ by universe.
     """
     names = value_names(drivers)
     centre = rows.groupBy(*PAIR).agg(
@@ -108,10 +122,9 @@ def window_sums(
         .join(rows.select(*PAIR, "mask").distinct(), PAIR)
         .withColumn("end", month_key(F.col("as_of")))
     )
-    signs = [F.struct(F.lit(1).alias("sign"), F.col("end").alias("key"))]
-    if months:
-        signs.append(F.struct(F.lit(-1).alias("sign"), (F.col("end") - MONTH_UNITS * months).alias("key")))
-    marks = marks.select(*PAIR, "mask", "as_of", F.inline(F.array(*signs)))
+    ends = F.struct(F.lit(1).alias("sign"), F.col("end").alias("key"))
+    starts = F.struct(F.lit(-1).alias("sign"), (F.col("end") - MONTH_UNITS * months).alias("key"))
+    marks = marks.select(*PAIR, "mask", "as_of", F.inline(F.array(ends, starts)))
     line = moved.unionByName(marks, allowMissingColumns=True)
     upto = W.partitionBy(*PAIR, "mask").orderBy("key").rangeBetween(W.unboundedPreceding, W.currentRow)
     one = F.when(F.col("day").isNotNull(), F.lit(1.0))

@@ -62,3 +62,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def rounded(column: Column | str, digits: int = 6) -> Column:
     """Rounded, with negative zero turned into zero."""
     return F.round(column, digits) + F.lit(0.0)
+
+
+def figure(column: Column | str, digits: int = 5) -> Column:
+    """A number to so many digits after the first one."""
+    value = F.col(column) if isinstance(column, str) else column
+    return F.when(value.isNotNull(), F.format_string(f"%.{digits}e", value).cast("double") + F.lit(0.0))

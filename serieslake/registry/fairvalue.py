@@ -15,16 +15,10 @@ from serieslake.functions.text import (
 )
 from serieslake.operators.quality import drop_failing, failing_keys
 from serieslake.plans import discovery, drivers, estimation, model, results, signals
-from serieslake.plans.universes import (
-    BUY_SELL_SERIES,
-    FX_CHN,
-    FX_EM,
-    FX_G10,
-    TURNOVER_SERIES,
-    UNIVERSES,
-)
+from serieslake.plans.universes import BUY_SELL_SERIES, FX_CHN, TURNOVER_SERIES, UNIVERSES
 from serieslake.registry import tables as t
-from serieslake.registry.base import query, rounded, views
+from serieslake.registry import fits
+from serieslake.registry.base import figure, query, rounded, views
 from serieslake.schema import SERIES_CODE
 from serieslake.session import cut_lineage
 
@@ -513,78 +507,152 @@ def ols_rolling(spark, folder):
     )
 
 
-@query("ols_multi")
-def ols_multi(spark, folder):
-    """Five- and seven-driver fits with sign check at each pair's newest day. Checked against
-    row-level least squares in the tests."""
-    features = cut_lineage(_features(spark, folder), "features")
-    parts = [estimation.estimate(features, universe) for universe in (FX_G10, FX_EM, FX_CHN)]
-    return parts[0].unionByName(parts[1], True).unionByName(parts[2], True)
-
-
 def _every_universe(run):
     """Rows of all universes; a driver that a universe does not have is NULL."""
     return reduce(lambda left, right: left.unionByName(right, True), map(run, UNIVERSES.values()))
 
 
-@query("fair_value_fit")
+def _figures(frame, digits=5):
+    """Numbers of a result table to a few digits: scores and p-values by places, others by size."""
+    places = ("z_score", "entry_z_score", "residual", "cointegration_p_value", "p_value")
+    return frame.select(
+        *[
+            (
+                F.col(f.name)
+                if f.dataType.simpleString() != "double"
+                else rounded(f.name, digits)
+                if f.name in places or f.name.startswith("p_value_")
+                else figure(f.name, digits)
+            ).alias(f.name)
+            for f in frame.schema
+        ]
+    )
+
+
+def _written_features(spark, folder):
+    return cut_lineage(_features(spark, folder), "features")
+
+
+def _fits_sql(days, *parts):
+    return fits.with_views(*FEATURE_VIEWS, days, *fits.FITS, *parts)
+
+
+EACH_TEST = (fits.EACH_TESTED, fits.RESIDUALS, *fits.TESTS)
+NEWEST_TEST = (fits.NEWEST_TESTED, fits.RESIDUALS, *fits.TESTS)
+MODEL_DAY = "2001-06-29"
+
+
+@query("ols_multi", _fits_sql(fits.LAST_DAYS, *EACH_TEST) + fits.estimate_sql())
+def ols_multi(spark, folder):
+    """Five- and seven-driver fits with sign check and unit-root test at each pair's newest day."""
+    features = _written_features(spark, folder)
+    return _figures(estimation.estimate(features, UNIVERSES))
+
+
+MONTH_ENDS = """fitdays AS (
+  SELECT series_code, universe, as_of FROM (SELECT DISTINCT series_code, universe FROM features),
+    (SELECT DISTINCT last_day(d) AS as_of FROM features))"""
+
+
+def _month_ends(features):
+    """Calendar month ends, of which a century has 1,200."""
+    ends = features.select(F.last_day(F.col("day").cast("date")).alias("d")).distinct().collect()
+    return sorted(row["d"] for row in ends)
+
+
+@query("ols_sign_refit", _fits_sql(MONTH_ENDS) + fits.estimate_sql(digits=4, tested=False))
+def ols_sign_refit(spark, folder):
+    """Fits with sign check and refit of every pair at every month's end."""
+    features = _written_features(spark, folder)
+    solved = estimation.estimate(features, UNIVERSES, fit_dates=_month_ends(features), test_dates=[])
+    return _without_tests(_figures(solved, 4))
+
+
+def _without_tests(frame):
+    return frame.drop(*[c for c in frame.columns if c.startswith(("cointegration_", "critical_"))])
+
+
+@query(
+    "cointegration_latest",
+    _fits_sql(MONTH_ENDS, *EACH_TEST)
+    + f"""SELECT o.series_code, o.universe, o.as_of::DATE AS as_of, o.n AS cointegration_n_obs,
+       coalesce(p <= significance, false) AS cointegration_passed, round(p, 4) + 0 AS cointegration_p_value,
+       {fits.figure("statistic", 4)} AS cointegration_statistic, {fits.critical_columns(4)}
+    FROM one o JOIN par USING (universe) LEFT JOIN tests USING (series_code, universe, as_of)""",
+)
+def cointegration_latest(spark, folder):
+    """The unit-root test of each pair's residuals with its newest window, at every month's end."""
+    features = _written_features(spark, folder)
+    tests = estimation.estimate(features, UNIVERSES, fit_dates=_month_ends(features))
+    shown = [c for c in tests.columns if c.startswith(("cointegration_", "critical_"))]
+    return _figures(tests.filter("cointegration_n_obs IS NOT NULL").select(*KEYS, "as_of", *shown), 4)
+
+
+@query(
+    "fair_value_fit",
+    _fits_sql(fits.last_dates(5, MODEL_DAY), *EACH_TEST, fits.EACH_VERDICT, fits.FIRED) + fits.CROSS_SECTION,
+)
 def fair_value_fit(spark, folder):
     """Five fit dates, tested at each: the cross-section of all pairs."""
     catalog, values = _world(spark, folder)
-    return _every_universe(
-        lambda universe: model.fit(
-            catalog, values, universe, as_of="2001-06-29", lookback_days=5, cointegration=model.EACH
-        ).summary
+    found = model.fit_universes(
+        catalog, values, as_of=MODEL_DAY, lookback_days=5, cointegration=model.EACH
     )
+    return _figures(_every_universe(lambda universe: found[universe.name].summary))
 
 
-@query("fair_value_rows")
+@query(
+    "fair_value_rows",
+    _fits_sql(fits.last_dates(1, MODEL_DAY)) + fits.WINDOW_ROWS,
+)
 def fair_value_rows(spark, folder):
     """Windowed fitted values and bands of all pairs."""
     catalog, values = _world(spark, folder)
-    return _every_universe(
-        lambda universe: model.fit(catalog, values, universe, as_of="2001-06-29").rows()
-    )
+    found = model.fit_universes(catalog, values, as_of=MODEL_DAY)
+    return _figures(_every_universe(lambda universe: found[universe.name].rows()))
 
 
-@query("fair_value_signals")
+@query(
+    "fair_value_signals",
+    _fits_sql(fits.last_dates(3, MODEL_DAY), *NEWEST_TEST, fits.NEWEST_VERDICT, fits.FIRED) + fits.SIGNAL_ROWS,
+)
 def fair_value_signals(spark, folder):
     catalog, values = _world(spark, folder)
-    return _every_universe(
-        lambda universe: results.signal_rows(
-            model.fit(catalog, values, universe, as_of="2001-06-29", lookback_days=3).signals
-        )
-    )
+    found = model.fit_universes(catalog, values, as_of=MODEL_DAY, lookback_days=3)
+    return _figures(_every_universe(lambda universe: results.signal_rows(found[universe.name].signals)))
 
 
-@query("fair_value_history")
+@query("fair_value_history", _fits_sql(fits.EVERY_DAY) + fits.estimate_sql(digits=3, tested=False))
 def fair_value_history(spark, folder):
-    """Sign-checked fits of every pair at every day. Checked against the row-level path in the
-    tests."""
-    features = cut_lineage(_features(spark, folder), "features")
-    parts = [
-        estimation.estimate(features, universe, every_day=True, test_dates=[])
-        for universe in (FX_G10, FX_EM, FX_CHN)
-    ]
-    return parts[0].unionByName(parts[1], True).unionByName(parts[2], True)
+    """Sign-checked fits of every pair at every day."""
+    features = _written_features(spark, folder)
+    solved = estimation.estimate(features, UNIVERSES, every_day=True, test_dates=[])
+    return _without_tests(_figures(solved, 3))
 
 
-@query("design_matrix")
+@query("design_matrix", _fits_sql(fits.LAST_DAYS) + fits.DESIGN_ROWS)
 def design_matrix(spark, folder):
-    features = cut_lineage(_features(spark, folder), "features")
-
-    def design(universe):
-        solved = cut_lineage(estimation.estimate(features, universe), "estimates")
-        return estimation.design_rows(features, solved, universe)
-
-    return _every_universe(design)
+    features = _written_features(spark, folder)
+    solved = cut_lineage(estimation.estimate(features, UNIVERSES, test_dates=[]), "estimates")
+    return _figures(
+        _every_universe(
+            lambda universe: estimation.design_rows(
+                features, solved.filter(F.col("universe") == universe.name), universe
+            )
+        )
+    )
 
 
-@query("cointegration_pairs")
+@query(
+    "cointegration_pairs",
+    fits.with_views(*FEATURE_VIEWS, fits.PAIR_RESIDUALS, *fits.TESTS) + fits.PAIR_TESTS,
+)
 def cointegration_pairs(spark, folder):
     """Two-series cointegration of every rate with its local equity driver."""
-    return estimation.pairwise_cointegration(
-        _features(spark, folder), "rate", "local_equity", keys=KEYS, as_of=date(2001, 6, 29)
+    return _figures(
+        estimation.pairwise_cointegration(
+            _features(spark, folder), "rate", "local_equity", keys=KEYS, as_of=date(2001, 6, 29)
+        )
     )
 
 
