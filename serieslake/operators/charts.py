@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from serieslake.functions.dates import period_label
 from serieslake.functions.text import day_label, range_label, tenor_months
+from serieslake.operators.gram import pearson_cells
 from serieslake.operators.reshape import pivot_values
 from serieslake.operators.totals import running_totals
+from serieslake.operators.values import last_wins
 from serieslake.schema import SERIES_CODE, TIMESTAMP, VALUE
 from serieslake.session import cut_lineage
 
@@ -222,28 +224,18 @@ def correlation_matrix(
 ) -> DataFrame:
     """Pairwise-complete correlation of every pair of the listed series.
 
-    Every method uses all timestamps on which both series are known. Pearson is one aggregate
-    over the wide frame, Spearman takes ranks from running totals over ranges of values; Kendall
+    Every method uses all timestamps on which both series are known; NaN is not known. Pearson adds up
+    blocked Gram matrices (:mod:`serieslake.operators.gram`) for any number of series, Spearman takes ranks from running totals over ranges of values; Kendall
     brings a pair's complete rows together in one task.
     """
     codes = list(codes)
     if len(codes) < 2:
         raise ValueError("a correlation needs at least 2 series")
-    wide = pivot_values(frame, codes, sort=False)
-    pairs = [(a, b) for i, a in enumerate(codes) for b in codes[i:]]
     if method == "pearson":
-        cells = F.array(
-            *[
-                F.struct(
-                    F.lit(a).alias("series_x"),
-                    F.lit(b).alias("series_y"),
-                    F.corr(F.col(f"`{a}`"), F.col(f"`{b}`")).alias("correlation"),
-                )
-                for a, b in pairs
-            ]
-        )
-        half = wide.agg(cells.alias("cells")).select(F.inline("cells"))
+        half = pearson_cells(last_wins(frame), codes).drop("n")
     elif method in ("spearman", "kendall"):
+        wide = pivot_values(frame.filter(~F.isnan(VALUE)), codes, sort=False)
+        pairs = [(a, b) for i, a in enumerate(codes) for b in codes[i:]]
         samples = (
             wide.select(
                 F.explode(
