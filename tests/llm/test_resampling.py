@@ -69,13 +69,22 @@ def texts():
     return rows
 
 
-@pytest.mark.parametrize("piece", [64, 1000, 1 << 20])
-def test_resampling(spark, monkeypatch, piece):
-    """Slices of any size give the same counts; texts and words go on across their borders."""
+@pytest.mark.parametrize("piece, width", [(64, 2), (1000, 2), (300, 3), (1 << 20, 2)])
+def test_slices_of_any_size_give_the_same_counts(monkeypatch, piece, width):
+    """Texts and words go on across the borders of slices."""
     monkeypatch.setattr(resampling, "SLICE", piece)
+    own = [t and t[:3000] for _, t in texts()]
+    got, words_of = [Counter() for _ in own], np.zeros(len(own), int)
+    for body, starts, ends, owners, of_words in resampling.ngram_slices(pa.array(own, pa.string()), width):
+        np.add.at(words_of, of_words, 1)
+        for a, b, k in zip(starts, ends, owners):
+            got[k][body[a:b].tobytes().decode()] += 1
+    assert got == [Counter(features(words(t), width)) for t in own]
+    assert words_of.tolist() == [len(words(t)) for t in own]
+
+
+def test_resampling(spark):
     rows, target = texts(), ["w1 w2 w3 Größe", None, "", "w1 w2 x", "no ID here"]
-    if piece == 64:
-        rows = [(i, t and t[:700]) for i, t in rows]
     table = spark.createDataFrame(
         [(i, t, "x", 1.0, 2) for i, t in rows], "doc_id long, text string, rank string, weight double, eligible int"
     )
