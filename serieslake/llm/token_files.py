@@ -16,6 +16,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -159,11 +160,14 @@ class WordEncoder:
         self.known: dict[bytes, int] = {}
         self.flat, self.starts, self.sizes = array("I"), array("q"), array("q")
 
-    def _remember(self, word: bytes, ids) -> None:
-        self.known[word] = len(self.starts)
-        self.starts.append(len(self.flat))
-        self.sizes.append(len(ids))
-        self.flat.extend(ids)
+    def _remember(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Words and their ids, one word's after the other."""
+        first, ends = len(self.starts), np.cumsum(sizes)
+        starts = len(self.flat) + ends - sizes
+        self.known.update(zip(words, range(first, first + len(words))))
+        self.flat.frombytes(np.ascontiguousarray(ids, np.uint32).tobytes())
+        self.starts.frombytes(starts.astype(np.int64).tobytes())
+        self.sizes.frombytes(sizes.astype(np.int64).tobytes())
 
     def _learn(self, words: list[bytes]) -> None:
         """Encodes words in one text and tells them apart by the tokens' offsets."""
@@ -174,9 +178,25 @@ class WordEncoder:
             begins = np.cumsum([0] + [len(text) + 1 for text in texts])
             offsets = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
             cuts = np.searchsorted(offsets, begins)
-            ids = found.ids
-            for word, low, high in zip(part, cuts[:-1].tolist(), cuts[1:].tolist()):
-                self._remember(word, ids[low:high])
+            low, high = int(cuts[0]), int(cuts[-1])
+            self._remember(part, np.array(found.ids, np.uint32)[low:high], np.diff(cuts))
+
+    def _join(self, words: list[bytes], cores: list[bytes], tails: list[bytes]) -> None:
+        """Remembers words as the ids of their two known parts."""
+        halves = [half for pair in zip(cores, tails) for half in pair]
+        ids, sizes = self._ids(np.fromiter(map(self.known.__getitem__, halves), np.int64, len(halves)))
+        self._remember(words, ids, sizes.reshape(-1, 2).sum(axis=1))
+
+    def _ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words at these places, one after the other, and how many each has."""
+        if not len(places):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        starts = np.frombuffer(self.starts, np.int64)[places]
+        sizes = np.frombuffer(self.sizes, np.int64)[places]
+        ends = np.cumsum(sizes)
+        take = np.repeat(starts - ends + sizes, sizes) + np.arange(int(ends[-1]))
+        flat = np.frombuffer(self.flat, np.uint32) if len(self.flat) else np.zeros(0, np.uint32)
+        return flat[take], sizes
 
     def _split(self, word: bytes) -> tuple[bytes, bytes]:
         core = word.rstrip(self.MARKS)
@@ -193,34 +213,25 @@ class WordEncoder:
         """All ids, one text after the other, and the number of ids of each text."""
         split = [self._words(text) for text in texts]
         words = [word for own in split for word in own]
-        places = list(map(self.known.get, words))
-        if None in places:
+        places = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(places < 0)
+        if len(unknown):
             if len(self.known) > REMEMBERED_WORDS:
                 self.forget()
-                places = [None] * len(words)
-            missing = {word for word, place in zip(words, places) if place is None}
-            parted = [(word, *self._split(word)) for word in missing]
-            new = {half for _, core, tail in parted for half in (core, tail) if half}
-            self._learn([half for half in new if half not in self.known])
-            for word, core, tail in parted:
-                if tail:
-                    self._remember(word, self._ids(core) + self._ids(tail))
-            places = list(map(self.known.__getitem__, words))
-        flat = np.frombuffer(self.flat, np.uint32) if len(self.flat) else np.zeros(0, np.uint32)
-        starts = np.frombuffer(self.starts, np.int64)[places] if words else np.zeros(0, np.int64)
-        sizes = np.frombuffer(self.sizes, np.int64)[places] if words else np.zeros(0, np.int64)
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(starts - ends + sizes, sizes) + np.arange(total)]
+                unknown = np.arange(len(words))
+            strange = [words[k] for k in unknown.tolist()]
+            parted = [(word, *self._split(word)) for word in dict.fromkeys(strange)]
+            halves = dict.fromkeys(half for _, core, tail in parted for half in (core, tail) if half)
+            self._learn([half for half in halves if half not in self.known])
+            joined = [own for own in parted if own[2]]
+            if joined:
+                self._join(*map(list, zip(*joined)))
+            places[unknown] = np.fromiter(map(self.known.__getitem__, strange), np.int64, len(strange))
+        ids, sizes = self._ids(places)
         bounds = np.concatenate([[0], np.cumsum([len(own) for own in split])])
-        sums = np.concatenate([[0], ends])
+        sums = np.concatenate([[0], np.cumsum(sizes)])
         return ids, np.diff(sums[bounds])
 
-    def _ids(self, word: bytes) -> array:
-        place = self.known[word]
-        start = self.starts[place]
-        return self.flat[start : start + self.sizes[place]]
-
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
