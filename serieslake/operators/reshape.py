@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from serieslake.functions.dates import floor_day
+from serieslake.functions.numeric import clean_double
 from serieslake.operators.joins import small_side
 from serieslake.operators.values import last_wins, order_key, save_order
 from serieslake.schema import (
@@ -61,15 +63,30 @@ def pivot_values(
 
 
 def melt_values(
-    wide: DataFrame, *, source: str | None = None, timestamp: str = TIMESTAMP
+    wide: DataFrame,
+    *,
+    source: str | None = None,
+    timestamp: str = TIMESTAMP,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """One row per (series, day, value); NULLs go, time of day and zone go."""
+    """One row per (series, day); NULLs go, time of day and zone go.
+
+    Of a series' values within a day the one with the latest time stays, of equal times the highest:
+    the layout of the frame decides nothing. Text that is no number becomes NULL; ``watch`` sees the
+    long rows (series_code, timestamp, value as text) before that.
+    """
     codes = [column for column in wide.columns if column not in (timestamp, TICKER_SOURCE)]
-    numbers = wide.select(timestamp, *[F.col(f"`{c}`").cast("double").alias(c) for c in codes])
+    texts = any(isinstance(wide.schema[c].dataType, T.StringType) for c in codes)
+    kind = "string" if texts else "double"
+    cells = wide.select(timestamp, *[F.col(f"`{c}`").cast(kind).alias(c) for c in codes])
+    rows = cells.unpivot(timestamp, codes, SERIES_CODE, VALUE)
+    if watch is not None:
+        rows = watch(rows)
+    known = rows.withColumn(VALUE, clean_double(F.col(VALUE))).filter(F.col(VALUE).isNotNull())
     long = (
-        numbers.unpivot(timestamp, codes, SERIES_CODE, VALUE)
-        .filter(F.col(VALUE).isNotNull())
-        .select(SERIES_CODE, floor_day(F.col(timestamp)).alias(TIMESTAMP), VALUE)
+        known.groupBy(SERIES_CODE, floor_day(F.col(timestamp)).alias("_day"))
+        .agg(F.max_by(VALUE, F.struct(F.col(timestamp), F.col(VALUE))).alias(VALUE))
+        .select(SERIES_CODE, F.col("_day").alias(TIMESTAMP), VALUE)
     )
     return long.withColumn(TICKER_SOURCE, F.lit(source)) if source else long
 

@@ -19,6 +19,8 @@ from serieslake.schema import SERIES_CODE, InsufficientDataError
 from serieslake.session import cut_lineage
 
 LATEST, EACH = "latest", "each"
+#: What names the rows of one run in the written tables.
+RUN = ["universe", "date"]
 
 
 @dataclass(frozen=True)
@@ -270,11 +272,11 @@ def run_daily(
     lines = results.signal_rows(fired)
     outcome["broken_rules"] = gate(rows, signals.estimate_rules(universe.drivers))
     if not outcome["broken_rules"]:
-        api.write_table(results.GOLD, results.ESTIMATES_TABLE, rows)
+        api.write_table(results.GOLD, results.ESTIMATES_TABLE, rows, replace=RUN)
         outcome["written"] = rows.count()
         outcome["broken_rules"] = gate(lines, signals.signal_rules())
         if not outcome["broken_rules"]:
-            api.write_table(results.GOLD, results.SIGNALS_TABLE, lines)
+            api.write_table(results.GOLD, results.SIGNALS_TABLE, lines, replace=RUN)
             outcome["signals"] = {
                 row["signal"]: row["n"] for row in signals.signal_counts(lines).collect()
             }

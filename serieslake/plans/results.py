@@ -124,9 +124,9 @@ def latest_save(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def save_results(api: DataAPI, summary: DataFrame, rows: DataFrame) -> None:
-    """Append both result tables."""
-    api.write_table(GOLD, ROWS_TABLE, rows)
-    api.write_table(GOLD, SUMMARY_TABLE, summary)
+    """Write both result tables; a repeated run takes the place of the one before."""
+    api.write_table(GOLD, ROWS_TABLE, rows, replace=["universe", "as_of"])
+    api.write_table(GOLD, SUMMARY_TABLE, summary, replace=["universe", "as_of"])
 
 
 def load_summary(

@@ -195,10 +195,13 @@ class VersionedTable:
         return self._save(frame, APPEND, None, commit_ts)
 
     def replace(
-        self, frame: DataFrame, key: str, *, commit_ts: datetime | None = None
+        self, frame: DataFrame, *keys: str, commit_ts: datetime | None = None
     ) -> int | None:
-        """Append rows and hide every older row that shares a key with them, in one commit."""
-        return self._save(frame, REPLACE, key, commit_ts)
+        """Append rows and hide every older row that shares all keys with one of them, in one
+        commit. A repeated run of a job thus leaves the rows of one run."""
+        if not keys:
+            raise ValueError("name at least one key column")
+        return self._save(frame, REPLACE, ",".join(keys), commit_ts)
 
     def _save(self, frame, kind, key, commit_ts):
         rows, schema = self._conform(frame)
@@ -211,7 +214,7 @@ class VersionedTable:
         if written.isEmpty():
             return None
         if kind == REPLACE:
-            keys = written.select(key).filter(F.col(key).isNotNull()).distinct()
+            keys = written.select(*key.split(",")).dropna().distinct()
             keys.withColumn(VERSION, F.lit(version).cast("long")).write.parquet(
                 f"{self.path}/gone/{COMMIT}={commit_id}"
             )
@@ -281,21 +284,19 @@ class VersionedTable:
         return ~matches | (F.col(VERSION) >= commit.version)
 
     def _drop_replaced(self, frame: DataFrame, commits: list[Commit]) -> DataFrame:
-        for key in sorted({commit.detail for commit in commits}):
-            ids = [c.commit_id for c in commits if c.detail == key]
-            key_type = frame.schema[key].dataType
+        for detail in sorted({commit.detail for commit in commits}):
+            ids, keys = [c.commit_id for c in commits if c.detail == detail], detail.split(",")
+            kinds = [T.StructField(key, frame.schema[key].dataType) for key in keys]
             gone = (
-                self.spark.read.schema(
-                    T.StructType([T.StructField(key, key_type), T.StructField(VERSION, T.LongType())])
-                )
+                self.spark.read.schema(T.StructType([*kinds, T.StructField(VERSION, T.LongType())]))
                 .parquet(*[f"{self.path}/gone/{COMMIT}={i}" for i in ids])
-                .groupBy(key)
+                .groupBy(*keys)
                 .agg(F.max(VERSION).alias("_replaced_at"))
             )
-            gone = small_side(gone.withColumnRenamed(key, "_gone_key"))
-            superseded = (F.col(key) == F.col("_gone_key")) & (
-                F.col(VERSION) < F.col("_replaced_at")
-            )
+            gone = small_side(gone.select(*[F.col(k).alias(f"_gone_{k}") for k in keys], "_replaced_at"))
+            superseded = F.col(VERSION) < F.col("_replaced_at")
+            for key in keys:
+                superseded = superseded & (F.col(key) == F.col(f"_gone_{key}"))
             frame = frame.join(gone, superseded, "left_anti")
         return frame
 
