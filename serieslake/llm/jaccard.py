@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from serieslake.llm.common import column, digest_of, select_rows, text_of
+from serieslake.llm.common import column, digest_of, select_rows, small_batches, text_of
 from serieslake.llm.graph import components
 from serieslake.llm.textvec import shingle_sets
 from serieslake.session import cut_lineage
@@ -278,6 +278,13 @@ def jaccard_components(
     and copies share a component; a null id is in a component but never names it unless alone.
     An empty table gives no rows.
     """
+    with small_batches(docs.sparkSession):
+        return _components(docs, id_column, text_column, width, percent)
+
+
+def _components(
+    docs: DataFrame, id_column: str, text_column: str, width: int, percent: int
+) -> DataFrame:
     order = frequent_runs(docs, text_column, width)
     prefixes = document_prefixes(docs, id_column, text_column, width, percent, order)
     classes = cut_lineage(

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from serieslake.llm.common import column, digest_of, text_of
+from serieslake.llm.common import column, digest_of, small_batches, text_of
 from serieslake.llm.graph import components
 from serieslake.llm.textvec import shingle_sets
 from serieslake.operators.totals import running_totals
@@ -410,6 +410,13 @@ def near_duplicates(
     link. A null id never names a component unless all its ids are null, then such rows are kept. An
     empty table gives no rows. Other columns are not looked at.
     """
+    with small_batches(docs.sparkSession):
+        return _near_duplicates(docs, id_column, text_column, width, percent)
+
+
+def _near_duplicates(
+    docs: DataFrame, id_column: str, text_column: str, width: int, percent: int
+) -> DataFrame:
     signed = signed_documents(docs, id_column, text_column, width)
     classes = cut_lineage(
         signed.where("n > 0")
