@@ -39,10 +39,12 @@ class LostValues:
         shown = [found[f"example{k}"] for k in range(EXAMPLES)]
         return found["lost"], sorted(text for text in shown if text is not None)
 
-    def warn(self) -> None:
+    def warn(self) -> tuple[int, list[str]]:
+        """The report, with a warning where something was lost."""
         count, examples = self.report()
         if count:
             warnings.warn(
                 f"{count} value(s) are no numbers and were stored as missing, such as {examples}",
                 stacklevel=3,
             )
+        return count, examples

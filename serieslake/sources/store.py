@@ -162,11 +162,12 @@ class VersionedTable:
     def _conform(self, frame: DataFrame) -> tuple[DataFrame, T.StructType]:
         """Cast to the recorded types and widen the schema by the frame's new columns.
 
-        Column names match without regard to case, as in SQL.
+        Column names match without regard to case, as in SQL. A column that tells the order of
+        saves passes through and is no part of the schema.
         """
         known = self.schema() or T.StructType([])
         by_name = {field.name.lower(): field for field in known}
-        incoming = {field.name.lower(): field for field in frame.schema}
+        incoming = {field.name.lower(): field for field in frame.schema if field.name != SEQ}
         added = [field for name, field in incoming.items() if name not in by_name]
         target = T.StructType([*known, *added])
         columns = []
@@ -174,12 +175,14 @@ class VersionedTable:
             source = incoming.get(field.name.lower())
             value = F.lit(None) if source is None else F.col(f"`{source.name}`")
             columns.append(value.cast(field.dataType).alias(field.name))
+        if SEQ in frame.columns:
+            columns.append(F.col(SEQ).cast("long").alias(SEQ))
         return frame.select(*columns), target
 
     def _write_rows(self, frame: DataFrame, commit_id: str, version: int) -> None:
-        stamped = frame.withColumn(VERSION, F.lit(version).cast("long")).withColumn(
-            SEQ, F.monotonically_increasing_id()
-        )
+        stamped = frame.withColumn(VERSION, F.lit(version).cast("long"))
+        if SEQ not in frame.columns:
+            stamped = stamped.withColumn(SEQ, F.monotonically_increasing_id())
         writer = stamped
         if self.partition_by:
             # Rebalance keeps files well-sized and still splits a hot partition over tasks.

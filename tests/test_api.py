@@ -313,3 +313,51 @@ def test_live_quotes_of_a_day_keep_the_last(spark):
         VendorRegistry({"hawkeye": table_reader(quotes)}), catalog, catalog.select("series_code"), "hawkeye"
     ).collect()
     assert [(r.series_code, r.value) for r in rows] == [("S", 5.0)]
+
+
+def test_lost_values_are_counted_in_the_write(spark, tmp_path):
+    api = DataAPI(spark, str(tmp_path))
+    rows = [("A", "2024-01-01", "1.5"), ("A", "2024-01-02", "x1"), ("B", "2024-01-01", "N/A"), ("B", "2024-01-02", None)]
+    frame = spark.createDataFrame(rows, "series_code string, timestamp string, value string")
+    with pytest.warns(UserWarning, match="2 value"):
+        api.write_values(frame)
+    assert api.lost_values[0] == 2 and set(api.lost_values[1]) <= {"x1", "N/A"}
+    wide = spark.createDataFrame([("2024-01-03", "7", "bad")], "timestamp string, A string, B string")
+    with pytest.warns(UserWarning, match="1 value"):
+        api.write_values(wide.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")))
+    assert api.values_frame().filter("value IS NOT NULL").count() == 2
+
+
+@pytest.mark.parametrize("parts", [1, 2, 5])
+def test_wide_writes_keep_the_latest_time_of_a_day(spark, tmp_path, parts):
+    api = DataAPI(spark, str(tmp_path))
+    rows = [("2024-01-01 17:00:00", 5.0, None), ("2024-01-01 09:00:00", 1.0, 2.0), ("2024-01-02 09:00:00", 3.0, None)]
+    wide = spark.createDataFrame(rows, "timestamp string, A double, B double")
+    api.write_values(wide.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).repartition(parts), ticker_source="BBG")
+    assert records(api.values_frame(), "series_code", "value") == [("A", 3.0), ("A", 5.0), ("B", 2.0)]
+
+
+def test_save_order_decides_within_a_write(spark, tmp_path):
+    api = DataAPI(spark, str(tmp_path))
+    rows = [("A", "2024-01-01", float(k), 100 - k) for k in range(6)]
+    frame = spark.createDataFrame(rows, "series_code string, timestamp string, value double, saved int")
+    api.write_values(frame.repartition(4), save_order="saved")
+    assert api.get_values(["A"]).first()["A"] == 0.0
+    api.write_values(frame.filter("value = 4"), save_order="saved")
+    assert api.get_values(["A"]).first()["A"] == 4.0
+
+
+def test_unknown_filter_values_are_named(spark, tmp_path):
+    api = DataAPI(spark, str(tmp_path))
+    api.import_metadata(spark.createDataFrame([("A", "Equity")], "series_code string, asset_class string"))
+    with pytest.warns(UserWarning, match="Bond"):
+        assert api.get_metadata(asset_class=["Equity", "Bond"]).count() == 1
+
+
+def test_replaced_runs(spark, tmp_path):
+    api = DataAPI(spark, str(tmp_path))
+    schema = "universe string, day int, v int"
+    first = spark.createDataFrame([("G10", 1, 1), ("G10", 1, 2), ("EM", 1, 3)], schema)
+    api.write_table("gold", "t", first, replace=["universe", "day"])
+    api.write_table("gold", "t", spark.createDataFrame([("G10", 1, 9), ("G10", 2, 4)], schema), replace=["universe", "day"])
+    assert records(api.read_table("gold", "t").frame) == [("EM", 1, 3), ("G10", 1, 9), ("G10", 2, 4)]
