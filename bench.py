@@ -24,6 +24,7 @@ HEADLINE = [
     "value_scan",
     "value_topn",
     "pivot_last_wins",
+    "pivot_values",
     "melt_values",
     "group_series",
     "filter_options_all",
@@ -40,6 +41,7 @@ HEADLINE = [
     "ols_moments",
     "ols_rolling",
     "fair_value_fit",
+    "fair_value_history",
     "signals",
 ]
 
@@ -47,7 +49,7 @@ HEADLINE = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_session(
         "serieslake-bench",
         master=f"local[{cpus}]",

@@ -407,6 +407,23 @@ def feature_gate(spark, folder):
     return kept.groupBy("universe").agg(F.count("*").alias("n"))
 
 
+@query(
+    "feature_gate_months",
+    views(*FEATURE_VIEWS)
+    + """SELECT universe, date_trunc('month', d)::TIMESTAMP AS "month", count(DISTINCT series_code) AS pairs, count(*) AS n
+    FROM features WHERE (series_code, date_trunc('month', d)) NOT IN (
+      SELECT (series_code, date_trunc('month', d)) FROM features WHERE rate IS NULL OR rate < 1e-4 OR rate > 1e5
+        OR realized_volatility > 1) GROUP BY 1, 2""",
+)
+def feature_gate_months(spark, folder):
+    """The gate by pair and month: a month with one bad day is left out whole."""
+    rows = _features(spark, folder).withColumn("month", F.date_trunc("month", "day").cast("timestamp_ntz"))
+    kept = drop_failing(rows, [SERIES_CODE, "month"], drivers.feature_rules())
+    return kept.groupBy("universe", "month").agg(
+        F.count_distinct(SERIES_CODE).alias("pairs"), F.count("*").alias("n")
+    )
+
+
 # -- regression ----------------------------------------------------------------------------
 
 X1, X2 = "interest_rate_differential", "global_equity"
