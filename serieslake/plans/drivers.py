@@ -279,6 +279,21 @@ def stale_pairs(
     )
 
 
+#: Days a pair's rate may be old.
+TOLERANCE_DAYS = 3
+
+
+def open_raw(values: DataFrame, report: DataFrame, *, cutover: date | None = None) -> DataFrame:
+    """Raw driver rows of the pairs that are not blocked."""
+    open_pairs = report.filter(~F.col("blocked"))
+    return raw_driver_frame(values, series_mapping(open_pairs), cutover=cutover)
+
+
+def moment_of(as_of: date | str | None) -> Column:
+    """The day a run looks back from; today when none is given."""
+    return F.current_date() if as_of is None else F.lit(str(as_of)).cast("timestamp").cast("date")
+
+
 def silver_frame(
     values: DataFrame,
     report: DataFrame,
@@ -286,14 +301,13 @@ def silver_frame(
     as_of: date | str | None = None,
     cutover: date | None = None,
     per_rate: bool = True,
+    tolerance_days: int = TOLERANCE_DAYS,
+    raw: DataFrame | None = None,
 ) -> DataFrame:
-    """Conformed driver rows of the pairs that are neither blocked nor stale."""
-    open_pairs = report.filter(~F.col("blocked"))
-    raw = raw_driver_frame(values, series_mapping(open_pairs), cutover=cutover)
-    moment = F.current_date() if as_of is None else F.lit(str(as_of)).cast("timestamp")
+    """Conformed driver rows of the pairs that are neither blocked nor stale. ``raw`` takes rows that
+    are already at hand."""
+    raw = open_raw(values, report, cutover=cutover) if raw is None else raw
     rate_or_any = F.col(RATE).isNotNull() if per_rate else F.lit(True)
     latest = raw.filter(rate_or_any).groupBy(SERIES_CODE).agg(F.max("day").alias("latest"))
-    fresh = latest.filter(F.datediff(moment.cast("date"), F.col("latest")) <= 3)
+    fresh = latest.filter(F.datediff(moment_of(as_of), F.col("latest")) <= tolerance_days)
     return conform_drivers(raw.join(fresh.select(SERIES_CODE), SERIES_CODE, "left_semi"))
-
-

@@ -244,7 +244,11 @@ def run_daily(
         cutover = resolve_cutover(universe, catalog, values)
     except ValueError as error:  # reported; the run goes on without a regime change
         cutover_error = str(error)
-    silver = drivers.silver_frame(values, report, as_of=as_of, cutover=cutover)
+    raw = cut_lineage(drivers.open_raw(values, report, cutover=cutover), "raw")
+    silver = drivers.silver_frame(values, report, as_of=as_of, raw=raw)
+    stale = drivers.stale_pairs(
+        raw, drivers.moment_of(as_of).cast("timestamp_ntz"), tolerance_days=drivers.TOLERANCE_DAYS
+    )
     built = drivers.build_features(silver, {universe.name: universe})
     built = cut_lineage(built, "features")
     rules = drivers.feature_rules()
@@ -256,6 +260,10 @@ def run_daily(
         "blocked_pairs": {
             row[SERIES_CODE]: row["block_reasons"] for row in report.filter("blocked").collect()
         },
+        "stale_pairs": {
+            row[SERIES_CODE]: "no rate" if row["latest"] is None else f"newest rate {str(row['latest'])[:10]}, {row['age_days']} days old"
+            for row in stale.collect()
+        },
         "cutover_error": cutover_error,
         "written": 0,
     }

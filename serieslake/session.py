@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     folder = tempfile.mkdtemp(prefix="serieslake-")
     spark.conf.set("spark.checkpoint.dir", folder)

@@ -137,9 +137,10 @@ class VersionedTable:
         commit_id: str | None = None,
         detail: str | None = None,
         commit_ts: datetime | None = None,
+        version: int | None = None,
     ) -> int:
-        latest = self.latest_version()
-        version = 1 if latest is None else latest + 1
+        if version is None:
+            version = (self.latest_version() or 0) + 1
         row = (
             version,
             commit_ts or utc_now(),
@@ -159,13 +160,15 @@ class VersionedTable:
         if not self.exists():
             self._record(APPEND, schema, detail="create")
 
-    def _conform(self, frame: DataFrame) -> tuple[DataFrame, T.StructType]:
+    def _conform(
+        self, frame: DataFrame, recorded: T.StructType | None
+    ) -> tuple[DataFrame, T.StructType]:
         """Cast to the recorded types and widen the schema by the frame's new columns.
 
         Column names match without regard to case, as in SQL. A column that tells the order of
         saves passes through and is no part of the schema.
         """
-        known = self.schema() or T.StructType([])
+        known = recorded or T.StructType([])
         by_name = {field.name.lower(): field for field in known}
         incoming = {field.name.lower(): field for field in frame.schema if field.name != SEQ}
         added = [field for name, field in incoming.items() if name not in by_name]
@@ -207,10 +210,11 @@ class VersionedTable:
         return self._save(frame, REPLACE, ",".join(keys), commit_ts)
 
     def _save(self, frame, kind, key, commit_ts):
-        rows, schema = self._conform(frame)
+        commits = self._commits()  # the one look at the commits of this write
+        recorded = T.StructType.fromJson(json.loads(commits[-1].table_schema)) if commits else None
+        version = commits[-1].version + 1 if commits else 1
+        rows, schema = self._conform(frame, recorded)
         commit_id = uuid.uuid4().hex
-        latest = self.latest_version()
-        version = 1 if latest is None else latest + 1
         self._write_rows(rows, commit_id, version)
         written = self.spark.read.schema(T.StructType([*schema, T.StructField(VERSION, T.LongType())]))
         written = written.parquet(f"{self.path}/data/{COMMIT}={commit_id}")
@@ -221,7 +225,9 @@ class VersionedTable:
             keys.withColumn(VERSION, F.lit(version).cast("long")).write.parquet(
                 f"{self.path}/gone/{COMMIT}={commit_id}"
             )
-        return self._record(kind, schema, commit_id=commit_id, detail=key, commit_ts=commit_ts)
+        return self._record(
+            kind, schema, commit_id=commit_id, detail=key, commit_ts=commit_ts, version=version
+        )
 
     def delete(self, filters: Mapping[str, object] | None = None) -> int | None:
         """Hide every current row that equals all given values (all rows when none are given).
@@ -232,13 +238,19 @@ class VersionedTable:
         if schema is None:
             return None
         known = {field.name.lower(): field for field in schema}
-        for name, value in (filters or {}).items():
+        wanted = {name: value for name, value in (filters or {}).items() if value is not None}
+        for name in filters or {}:
             if name.lower() not in known:
                 raise InvalidFilterFieldError(f"cannot delete by {name!r}: no such column")
-            kind = known[name.lower()].dataType
-            typed = F.lit(json.loads(json.dumps(value, default=str))).try_cast(kind)
-            if value is not None and self.spark.range(1).select(typed).first()[0] is None:
-                raise InvalidQueryError(f"{value!r} is no {kind.simpleString()} for column {name!r}")
+        typed = [
+            F.lit(json.loads(json.dumps(value, default=str))).try_cast(known[name.lower()].dataType)
+            for name, value in wanted.items()
+        ]
+        found = self.spark.range(1).select(*typed).first() if typed else []
+        for (name, value), cell in zip(wanted.items(), found):
+            if cell is None:
+                kind = known[name.lower()].dataType.simpleString()
+                raise InvalidQueryError(f"{value!r} is no {kind} for column {name!r}")
         return self._record(DELETE, schema, detail=json.dumps(filters or {}, default=str))
 
     # -- reads -----------------------------------------------------------------------------

@@ -478,8 +478,10 @@ def test_save_load_and_daily_run(spark, tmp_path):
     saved = api.read_table(results.GOLD, results.ESTIMATES_TABLE).frame.first()
     direct = fitted.get_cross_section().first()
     assert saved["z_score"] == pytest.approx(direct["z_score"])
+    assert outcome["stale_pairs"] == {}
     stale = model.run_daily(api, FX_EM, as_of="2030-01-01")
-    assert stale["written"] == 0
+    assert stale["written"] == 0 and list(stale["stale_pairs"]) == ["USDZAR_PX_LAST"]
+    assert f"newest rate {fitted.resolve()}" in stale["stale_pairs"]["USDZAR_PX_LAST"]
 
 
 def test_features_schema_failures_drop_only_that_pair(spark):
