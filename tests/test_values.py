@@ -6,6 +6,7 @@ import pytest
 from conftest import records
 from pyspark.sql import functions as F
 
+from serieslake.functions.dates import age_days
 from serieslake.operators import reshape, rolling, values
 from serieslake.schema import (
     InvalidOrderByError,
@@ -166,3 +167,12 @@ def test_value_counts(long):
     frame = long([("A", D1, 1.0), ("A", D2, None)])
     assert values.count_points(frame).first()[0] == 1
     assert frame.filter(F.col("value").isNull()).count() == 1
+
+
+def test_age_counts_whole_days_to_the_microsecond(spark):
+    frame = spark.sql(
+        """SELECT TIMESTAMP_NTZ '2024-02-01' AS now, explode(array(
+          TIMESTAMP_NTZ '2024-01-31 00:00:00', TIMESTAMP_NTZ '2024-01-31 00:00:00.000001',
+          TIMESTAMP_NTZ '2024-01-30 23:59:59.999999', TIMESTAMP_NTZ '2024-02-01 00:00:00.5')) AS ts"""
+    )
+    assert [r[0] for r in frame.select(age_days(F.col("now"), F.col("ts"))).collect()] == [1, 0, 1, -1]
