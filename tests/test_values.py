@@ -176,3 +176,17 @@ def test_age_counts_whole_days_to_the_microsecond(spark):
           TIMESTAMP_NTZ '2024-01-30 23:59:59.999999', TIMESTAMP_NTZ '2024-02-01 00:00:00.5')) AS ts"""
     )
     assert [r[0] for r in frame.select(age_days(F.col("now"), F.col("ts"))).collect()] == [1, 0, 1, -1]
+
+
+def test_row_totals_have_no_widest_row(spark, long):
+    rows = [("A", D1, 1.0, 1), ("A", D1, 2.0, 2), ("A", D1, None, 3), ("B", D1, 5.0, 1), ("B", D2, None, 1), ("C", D3, 4.0, 1)]
+    few = long(rows, "_seq")
+    wide = reshape.pivot_values(few, ["A", "B", "C"])
+    assert records(reshape.row_totals(few)) == [("2024-01-01T00:00:00", 2, 7.0), ("2024-01-03T00:00:00", 1, 4.0)]
+    assert records(wide, "timestamp") == records(reshape.row_totals(few), "timestamp")
+    many = spark.range(reshape.MAX_WIDTH + 1).selectExpr(
+        "concat('S', id) AS series_code", "TIMESTAMP_NTZ '2024-01-01' AS timestamp", "1.5D AS value"
+    )
+    with pytest.raises(PivotTooWideError):
+        reshape.column_codes(many)
+    assert reshape.row_totals(many).first()[1:] == (reshape.MAX_WIDTH + 1, 1.5 * (reshape.MAX_WIDTH + 1))
