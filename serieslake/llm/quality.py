@@ -9,19 +9,21 @@ the scanning tasks, with the weights (at most ``1 << BITS``) broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from serieslake.llm.common import column, text_of
+from serieslake.llm.common import column, small_batches, text_of
 from serieslake.llm.textvec import combine, hash_words, mix, word_slices
 
 BITS = 18
 #: The most labelled rows that training looks at, those with the smallest hashes of their ids.
 TRAIN_ROWS = 8000
+#: Rows of a batch of texts or vectors in training.
+TRAIN_BATCH = 250
 EPOCHS = 4
 SCALE = 20.0
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.002, 0.1
@@ -103,8 +105,9 @@ def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def follow_leader(rows: list[tuple[np.ndarray, np.ndarray, float]]) -> tuple[np.ndarray, float]:
-    """Weights and bias after EPOCHS passes; the bias is a feature of its own."""
+def follow_leader(rows: Iterable[tuple[np.ndarray, np.ndarray, float]]) -> tuple[np.ndarray, float]:
+    """Weights and bias after EPOCHS passes; the bias is a feature of its own. Rows are read once and
+    held in a compact form alone."""
     size = (1 << BITS) + 1
     z, n = np.zeros(size), np.zeros(size)
 
@@ -118,7 +121,7 @@ def follow_leader(rows: list[tuple[np.ndarray, np.ndarray, float]]) -> tuple[np.
     for places, values, label in rows:
         own, back = np.unique(places, return_inverse=True)
         summed = np.bincount(back, values, len(own)) if len(own) else np.zeros(0)
-        ready.append((np.append(own, size - 1), np.append(summed, 1.0), label))
+        ready.append((np.append(own, np.int32(size - 1)), np.append(summed, 1.0), label))
     for _ in range(EPOCHS):
         for at, x, label in ready:
             w = weights(at)
@@ -131,18 +134,13 @@ def follow_leader(rows: list[tuple[np.ndarray, np.ndarray, float]]) -> tuple[np.
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = []
-    for batch in batches:
-        labels = batch.column(1).to_pylist()
-        for k, label in enumerate(labels):
-            rows.append(
-                (
-                    batch.column(2)[k].values.to_numpy(zero_copy_only=False),
-                    batch.column(3)[k].values.to_numpy(zero_copy_only=False),
-                    label,
-                )
-            )
-    found, bias = follow_leader(rows) if rows else (np.zeros(1 << BITS), 0.0)
+    def rows() -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+        for batch in batches:
+            for k, label in enumerate(batch.column(1).to_pylist()):
+                places, values = (batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in (2, 3))
+                yield places, values, label
+
+    found, bias = follow_leader(rows())
     kept = np.flatnonzero(found)
     yield pa.RecordBatch.from_arrays(
         [
@@ -181,12 +179,13 @@ def train(
     vectors = joined.select("doc_id", "label", "text").mapInArrow(
         _featurize, "doc_id string, label double, places array<int>, values array<double>"
     )
-    model = (
+    fitted = (
         vectors.repartition(1)
         .sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
         .mapInArrow(_fit, "place int, weight double")
-        .toPandas()
     )
+    with small_batches(docs.sparkSession, TRAIN_BATCH):
+        model = fitted.toPandas()
     weights = np.zeros(1 << BITS)
     kept = model[model["place"] >= 0]
     weights[kept["place"].to_numpy()] = kept["weight"].to_numpy()

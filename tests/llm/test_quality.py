@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 
 import numpy as np
@@ -66,3 +67,33 @@ def test_training_equals_a_dense_reference(monkeypatch):
                     n[i] += g * g
     got, bias = quality.follow_leader(rows)
     assert np.allclose(np.append(got, bias), [weight(i) for i in range(17)], atol=1e-9)
+
+
+def test_training_holds_no_vectors_beside_its_own_form():
+    """Rows come from an iterator, a batch is freed once its rows are taken over."""
+    seen = []
+
+    def batches():
+        for at in range(6):
+            rng = np.random.default_rng(at)
+            places = [np.sort(rng.choice(1 << quality.BITS, 20, replace=False)).astype(np.int32) for _ in range(10)]
+            batch = pa.RecordBatch.from_arrays(
+                [
+                    pa.array([f"{at}-{k}" for k in range(10)]),
+                    pa.array(rng.integers(0, 2, 10).astype(float)),
+                    pa.array(places, pa.list_(pa.int32())),
+                    pa.array([rng.random(20) for _ in range(10)], pa.list_(pa.float64())),
+                ],
+                ["doc_id", "label", "places", "values"],
+            )
+            del places
+            yield batch
+            del batch
+            gc.collect()
+            seen.append(pa.total_allocated_bytes())
+
+    start = pa.total_allocated_bytes()
+    fitted = next(quality._fit(batches()))
+    assert len(seen) == 6 and fitted.num_rows >= 1
+    assert max(seen) - start < 2 * (seen[0] - start) + 1000
+    assert next(quality._fit(iter([]))).to_pydict() == {"place": [-1], "weight": [0.0]}
