@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import re
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from serieslake.llm import ORACLES, QUERIES
-from serieslake.llm.common import table
+from serieslake.llm.common import TEXT_ROWS, table
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="shared tables not present")
@@ -74,3 +76,18 @@ def test_stages_on_an_empty_table(spark, tmp_path):
 def test_every_operator_has_a_query():
     numbers = {int(re.match(r"op(\d+)_", name).group(1)) for name in QUERIES}
     assert numbers == set(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+
+
+def test_quality_stage_scores_few_texts_at_a_time(spark, monkeypatch):
+    """The scorer is handed no more texts at once than ``small_batches`` allows."""
+
+    def widest(docs, model, text_column="text"):
+        @F.arrow_udf("double")
+        def score(texts: pa.Array) -> pa.Array:
+            return pa.array([1.0 if len(texts) <= TEXT_ROWS else 0.0] * len(texts))
+
+        return score(F.col(text_column))
+
+    monkeypatch.setattr(corpus_pipeline.quality, "score_column", widest)
+    docs = spark.range(3 * TEXT_ROWS, numPartitions=1).selectExpr("id AS doc_id", "'some words' AS text")
+    assert corpus_pipeline.keep_quality(spark, docs, FOLDER).count() == 3 * TEXT_ROWS
