@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from serieslake.llm import exact_dedup, jaccard, mixing, pieces, quality
-from serieslake.llm.common import select_rows, small_batches, table
+from serieslake.llm.common import keep_batches_light, select_rows, small_batches, table
 from serieslake.llm.queries import vocabulary
 from serieslake.session import cut_lineage
 
@@ -46,6 +46,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and ids of every row."""
     encoded = pieces.encode_documents(docs, vocabulary("piece_bpe_32k.model"))
+    keep_batches_light(spark)  # the rows are computed when the caller writes them
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 

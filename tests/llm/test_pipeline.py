@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from serieslake.llm import ORACLES, QUERIES
-from serieslake.llm.common import TEXT_ROWS, table
+from serieslake.llm.common import BATCH_BYTES, TEXT_ROWS, table
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="shared tables not present")
@@ -91,3 +91,24 @@ def test_quality_stage_scores_few_texts_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(corpus_pipeline.quality, "score_column", widest)
     docs = spark.range(3 * TEXT_ROWS, numPartitions=1).selectExpr("id AS doc_id", "'some words' AS text")
     assert corpus_pipeline.keep_quality(spark, docs, FOLDER).count() == 3 * TEXT_ROWS
+
+
+def test_encoding_stage_takes_texts_by_bytes(spark, monkeypatch):
+    """The encoder is handed few long texts at once, and many short ones."""
+
+    def sizes(docs, path):
+        def measure(batches):
+            for batch in batches:
+                size = [[batch.num_rows, batch.nbytes]] * batch.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(size, pa.list_(pa.int32()))], ["doc_id", "ids"]
+                )
+
+        return docs.select("doc_id", "text").mapInArrow(measure, "doc_id long, ids array<int>")
+
+    monkeypatch.setattr(corpus_pipeline.pieces, "encode_documents", sizes)
+    for length, rows in ((20_000, 900), (2, 5000)):
+        docs = spark.range(rows, numPartitions=1).selectExpr("id AS doc_id", f"repeat('x', {length}) AS text")
+        found = [r.ids for r in corpus_pipeline.encode(spark, docs, FOLDER).collect()]
+        assert len(found) == rows and max(size for _, size in found) <= 1.5 * BATCH_BYTES
+        assert length > 2 or found[0][0] == rows
