@@ -7,16 +7,16 @@ list entries to scan, but a partner must then share l of them before it is verif
 becomes a candidate when it shares at least the smaller of its two l, so no true pair is lost.
 
 Equal sets are one class from the start. Large families of near copies are not expanded into all
-pairs: candidates with the first document of each list are verified first, and afterwards only
-pairs that lie in different components are looked at. Every link that could still join two
-components is verified, so the components are those of all links.
+pairs: candidates with the first class of each list connect classes into clusters, and afterwards
+only pairs of a list that lie in different clusters are counted. A cluster's whole sets are then
+compared in blocks inside tasks (``lsh_forest.verified_links``), which write a spanning forest. So
+every link is looked at or joins what is connected already, and the components are those of all links.
 
 Runs are 64-bit hashes of words, and a class is known by a 128-bit digest of its sorted hashes.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from serieslake.llm.common import column, digest_of, select_rows, small_batches, text_of
 from serieslake.llm.graph import components
+from serieslake.llm.lsh_forest import Remembered, signature_of, verified_links
 from serieslake.llm.textvec import shingle_sets
 from serieslake.session import cut_lineage
 
@@ -35,19 +36,9 @@ MOST_MATCHES = 4
 #: The frequent runs that are ordered last: a bounded table that every task gets. Which runs are
 #: in it changes the cost of the join, never its result.
 FREQUENT_RUNS = 100_000
-LOCAL_REPEATS = 4
+LOCAL_REPEATS = 3
 #: Runs that a task counts together.
-HELD_RUNS = 2_000_000
-#: Bits of the filter that names documents whose sets are needed; false hits cost time only.
-FILTER_BITS = 1 << 22
-
-
-def _signature(runs: np.ndarray) -> bytes:
-    return hashlib.blake2b(runs.tobytes(), digest_size=16).digest()
-
-
-def _bit(signature: bytes) -> int:
-    return int.from_bytes(signature[:3], "little") % FILTER_BITS
+HELD_RUNS = 500_000
 
 
 def _texts(docs: DataFrame, text_column: str) -> DataFrame:
@@ -104,18 +95,17 @@ def document_prefixes(
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = shared.value
-        seen: set[bytes] = set()
+        seen = Remembered()
         for batch in batches:
             sizes, signatures, firsts = [], [], []
             for runs in shingle_sets(batch.column(1), width):
                 n = len(runs)
-                signature = _signature(runs)
+                signature = signature_of(runs)
                 sizes.append(n)
                 signatures.append(signature)
-                if not n or signature in seen:
+                if not n or not seen.new(signature):
                     firsts.append(None)
                     continue
-                seen.add(signature)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, runs), len(known) - 1)
                     frequent = known[at] == runs
@@ -207,60 +197,37 @@ def _pair(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     )
 
 
-def _verified(
-    docs: DataFrame, text_column: str, width: int, percent: int, pairs: DataFrame, classes: DataFrame
-) -> DataFrame:
-    """The pairs whose whole sets are similar enough."""
-    spark = docs.sparkSession
-    wanted = cut_lineage(
-        pairs.select(F.explode(F.array("a", "b")).alias("class"))
-        .distinct()
-        .join(classes, "class")
-        .select(F.col("class").alias("node"), "signature"),
-        "wanted",
+def candidate_edges(lists: DataFrame, percent: int) -> DataFrame:
+    """a, b: connects all classes that are candidates of each other, without all their pairs."""
+    heads = cut_lineage(
+        lists.groupBy("run").agg(F.min(F.struct("node", "n", "matches")).alias("head")).select(
+            "run", "head.*"
+        ),
+        "heads",
     )
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    # The signature's first three bytes, little-endian.
-    word = F.concat(*[F.substring("signature", k, 1) for k in (3, 2, 1)])
-    place = F.conv(F.hex(word), 16, 10).cast("long") % FILTER_BITS
-    cells = (
-        wanted.select(place.alias("place"))
-        .groupBy(F.expr("place div 8").alias("cell"))
-        .agg(F.bit_or(F.expr("shiftleft(1, CAST(place % 8 AS INT))")).alias("bits"))
-        .toPandas()
+    near = f"x.run = y.run AND x.node != y.node AND {_sized(percent)}"
+    tried = cut_lineage(_enough(_pair(lists, heads, near)), "candidates")
+    parts = components(tried)
+    listed = cut_lineage(
+        lists.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")), "listed"
     )
-    bits[cells["cell"].to_numpy()] = cells["bits"].to_numpy().astype(np.uint8)
-    shared = spark.sparkContext.broadcast(bits)
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked, seen = shared.value, set()
-        for batch in batches:
-            signatures, found = [], []
-            for runs in shingle_sets(batch.column(0), width):
-                signature = _signature(runs)
-                at = _bit(signature)
-                if marked[at >> 3] >> (at & 7) & 1 and signature not in seen:
-                    seen.add(signature)
-                    signatures.append(signature)
-                    found.append(runs.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signatures, pa.binary()), pa.array(found, pa.list_(pa.int64()))],
-                ["signature", "runs"],
-            )
-
-    known = cut_lineage(
-        _texts(docs, text_column)
-        .mapInArrow(sets, "signature binary, runs array<long>")
-        .join(wanted, "signature")
-        .groupBy("node")
-        .agg(F.first("runs").alias("runs")),
-        "sets",
+    # The largest part of each list; lists within one part hold nothing to join.
+    weights = listed.groupBy("run", "part").agg(F.count(F.lit(1)).alias("members"))
+    mixed = cut_lineage(
+        weights.groupBy("run")
+        .agg(F.max(F.struct("members", "part")).alias("top"), F.count(F.lit(1)).alias("parts"))
+        .where("parts > 1")
+        .select("run", F.col("top")["part"].alias("main")),
+        "mixed",
+    )
+    open_lists = cut_lineage(listed.join(mixed, "run").drop("component"), "open")
+    others = open_lists.where("part != main")
+    main = open_lists.where("part = main")
+    apart = f"x.run = y.run AND {_sized(percent)}"
+    rest = _pair(others, main, apart).unionByName(
+        _pair(others, others, f"{apart} AND x.node < y.node AND x.part != y.part")
     )
-    left = pairs.join(known.select(F.col("node").alias("a"), F.col("runs").alias("mine")), "a")
-    both = left.join(known.select(F.col("node").alias("b"), F.col("runs").alias("theirs")), "b")
-    common = F.size(F.array_intersect("mine", "theirs"))
-    union = F.size("mine") + F.size("theirs") - common
-    return cut_lineage(both.where(common * 100 >= union * percent).select("a", "b"), "links")
+    return tried.unionByName(cut_lineage(_enough(rest), "candidates"))
 
 
 def jaccard_components(
@@ -293,43 +260,13 @@ def _components(
         .agg(
             F.min(F.when(F.col("prefix").isNotNull(), F.col("row"))).alias("class"),
             F.min("doc_id").alias("least"),
+            F.first("n").alias("n"),
         ),
         "classes",
     )
     lists = _postings(prefixes, classes, percent)
-    heads = cut_lineage(
-        lists.groupBy("run").agg(F.min(F.struct("node", "n", "matches")).alias("head")).select(
-            "run", "head.*"
-        ),
-        "heads",
-    )
-    near = f"x.run = y.run AND x.node != y.node AND {_sized(percent)}"
-    tried = cut_lineage(_enough(_pair(lists, heads, near)), "candidates")
-    links = _verified(docs, text_column, width, percent, tried, classes)
+    links = verified_links(docs, text_column, width, percent, classes, candidate_edges(lists, percent))
     parts = components(links)
-    listed = cut_lineage(
-        lists.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")), "listed"
-    )
-    # The largest part of each list; lists within one part hold nothing to join.
-    weights = listed.groupBy("run", "part").agg(F.count(F.lit(1)).alias("members"))
-    mixed = cut_lineage(
-        weights.groupBy("run")
-        .agg(F.max(F.struct("members", "part")).alias("top"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1")
-        .select("run", F.col("top")["part"].alias("main")),
-        "mixed",
-    )
-    open_lists = cut_lineage(listed.join(mixed, "run").drop("component"), "open")
-    others = open_lists.where("part != main")
-    main = open_lists.where("part = main")
-    apart = f"x.run = y.run AND {_sized(percent)}"
-    rest = _pair(others, main, apart).unionByName(
-        _pair(others, others, f"{apart} AND x.node < y.node AND x.part != y.part")
-    )
-    rest = cut_lineage(_enough(rest).join(tried, ["a", "b"], "left_anti"), "candidates")
-    if not rest.isEmpty():
-        links = links.unionByName(_verified(docs, text_column, width, percent, rest, classes))
-        parts = components(links)
     named = classes.join(parts, classes["class"] == parts["node"], "left").select(
         "signature", "least", F.coalesce("component", "class").alias("part")
     )

@@ -69,7 +69,7 @@ def minima(runs: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
-class _Remembered:
+class Remembered:
     """Digests seen in a task; forgotten when full, which costs repeated rows only."""
 
     def __init__(self):
@@ -89,7 +89,7 @@ def signed_documents(docs: DataFrame, id_column: str, text_column: str, width: i
     and row of every row."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Remembered()
+        known = Remembered()
         for batch in batches:
             sizes, signatures, least = [], [], []
             for runs in shingle_sets(batch.column(1), width):
@@ -246,7 +246,7 @@ def wanted_sets(docs: DataFrame, text_column: str, width: int, wanted: DataFrame
     shared = docs.sparkSession.sparkContext.broadcast(_bits_of(wanted))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, known = shared.value, _Remembered()
+        cells, known = shared.value, Remembered()
         bits = len(cells) * 64
         for batch in batches:
             signatures, found = [], []

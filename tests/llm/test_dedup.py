@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from serieslake.llm import exact_dedup, jaccard
 from serieslake.llm.graph import components
+from serieslake.session import cut_lineage
 
 SCHEMA = "doc_id long, text string, level string, name string, digest string, row string"
 
@@ -165,6 +166,28 @@ def test_jaccard_without_frequent_runs(spark, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute(rows)
 
 
+def test_jaccard_does_not_write_the_pairs_of_a_family(spark, monkeypatch):
+    """A family just below the threshold is compared in blocks: its pairs never become rows."""
+    rows = []
+    for member in range(90):
+        words = [f"w{k}" for k in range(100)]
+        words[(member * 7) % 50] = f"left{member}"
+        words[50 + (member * 11) % 50] = f"right{member}"
+        rows.append((member, " ".join(words)))
+    written = []
+
+    def counted(frame, name="table"):
+        kept = cut_lineage(frame, name)
+        if name == "candidates":
+            written.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(jaccard, "cut_lineage", counted)
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute(rows)
+    assert 0 < sum(written) < 10 * len(rows)
+
+
 def test_jaccard_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.jaccard_components(none).count() == 0
