@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from serieslake.llm.common import column, digest_of, select_rows, small_batches, text_of
@@ -141,11 +142,12 @@ def _postings(prefixes: DataFrame, classes: DataFrame, percent: int) -> DataFram
     places = prefixes.where("prefix IS NOT NULL").select(
         F.col("row").alias("node"), "n", F.posexplode("prefix").alias("place", "run")
     )
-    shared = cut_lineage(
-        places.groupBy("run").agg(F.count(F.lit(1)).alias("listed")).where("listed > 1"), "shared"
-    )
+    # One shuffle: the window only counts a run's rows, and runs alone in their list end here.
+    listed = F.count(F.lit(1)).over(W.partitionBy("run"))
     places = cut_lineage(
-        places.join(shared, "run").join(classes.select(F.col("class").alias("node")), "node", "semi"),
+        places.withColumn("listed", listed)
+        .where("listed > 1")
+        .join(classes.select(F.col("class").alias("node")), "node", "semi"),
         "places",
     )
     # Entries to scan, and sets to compare if each partner shares exactly as many as are asked.

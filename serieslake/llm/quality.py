@@ -9,6 +9,7 @@ the scanning tasks, with the weights (at most ``1 << BITS``) broadcast.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -107,23 +108,28 @@ def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def follow_leader(rows: Iterable[tuple[np.ndarray, np.ndarray, float]]) -> tuple[np.ndarray, float]:
     """Weights and bias after EPOCHS passes; the bias is a feature of its own. Rows are read once and
-    held in a compact form alone."""
+    held one after the other in two arrays, which go back to the system whole when they are freed."""
     size = (1 << BITS) + 1
     z, n = np.zeros(size), np.zeros(size)
 
     def weights(at: np.ndarray) -> np.ndarray:
-        held = z[at]
-        gate = np.sign(held) * L1 - held
+        own = z[at]
+        gate = np.sign(own) * L1 - own
         found = gate / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
-        return np.where(np.abs(held) <= L1, 0.0, found)
+        return np.where(np.abs(own) <= L1, 0.0, found)
 
-    ready = []
+    flat, held, bounds, labels = array("i"), array("d"), [0], []
     for places, values, label in rows:
         own, back = np.unique(places, return_inverse=True)
         summed = np.bincount(back, values, len(own)) if len(own) else np.zeros(0)
-        ready.append((np.append(own, np.int32(size - 1)), np.append(summed, 1.0), label))
-    for _ in range(EPOCHS):
-        for at, x, label in ready:
+        flat.frombytes(np.append(own, size - 1).astype(np.int32).tobytes())
+        held.frombytes(np.append(summed, 1.0).tobytes())
+        bounds.append(len(flat))
+        labels.append(label)
+    all_places, all_values = np.frombuffer(flat, np.int32), np.frombuffer(held, np.float64)
+    for _ in range(EPOCHS if labels else 0):
+        for first, last, label in zip(bounds, bounds[1:], labels):
+            at, x = all_places[first:last], all_values[first:last]
             w = weights(at)
             slope = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - label) * x
             step = (np.sqrt(n[at] + slope * slope) - np.sqrt(n[at])) / ALPHA

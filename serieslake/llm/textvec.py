@@ -1,6 +1,6 @@
 """Words of many texts at once as numpy arrays, for the operators that hash words in tasks.
 
-Texts are taken from Arrow buffers without copies and worked on in slices of about a megabyte, cut
+Texts are taken from Arrow buffers without copies and worked on in slices of a quarter megabyte, cut
 at white space, so memory is bounded by the slice and the longest word.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: Bytes of texts whose words are held together.
 GROUP = 2 * SLICE
 LANES = 64

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -251,3 +252,15 @@ def test_words_do_not_depend_on_slices(monkeypatch):
     assert [s.tolist() for s in shingle_sets(column.slice(3), 5)] == sets[3:]
     counts = [len((t or "").encode().split()) for t in texts]
     assert np.diff(whole[1]).tolist() == counts
+
+
+def test_shingle_sets_work_on_small_slices():
+    """Hashing the words of some megabytes of text takes little more than a small slice's arrays."""
+    words = np.random.default_rng(3).integers(0, 50_000, (1000, 400))
+    texts = pa.array([" ".join(f"word{k}" for k in row) for row in words])
+    tracemalloc.start()
+    for _ in shingle_sets(texts, 5):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 << 20
