@@ -1,24 +1,28 @@
 """SentencePiece encoding and decoding on a relational lattice.
 
 Texts are cut into units at spaces, at line breaks and between letters and other marks, where no
-piece of the vocabulary crosses (checked against the pieces). Every substring of a unit up to the
-longest piece is a row, an equi-join with the piece table leaves the edges of the unit's lattice,
-edges are grouped by unit, and a higher-order aggregate folds them from left to right, keeping the
-best path to every place (Viterbi). A character without a piece costs the unknown score and becomes
-its bytes.
+piece of the vocabulary crosses (checked against the pieces). Every place of a unit is a row with
+the longest piece that ends there. All other pieces that end there are endings of that one, so an
+equi-join with the piece table, where a piece comes with its endings, gives the edges of the unit's
+lattice. Edges are grouped by unit, and a higher-order aggregate folds them from left to right,
+keeping the best path to every place (Viterbi). A character without a piece costs the unknown score
+and becomes its bytes.
 
-The fold keeps the best score to every place; the path is read back from the end of the unit.
-Substrings are bounded by the longest piece that ends in the same characters.
+The fold keeps the best score to every place; the path is read back from the end of the unit. The
+longest pieces are found by hashes of all lengths at once and compared character by character.
 
 All this runs in the scanning tasks, without a shuffle: a task sends each unit that it does not
 remember through the lattice once, ahead of the texts that hold it, and the texts follow as numbers
-of units. What a task remembers is bounded; when full, it forgets the less used half. Decoding joins
-pieces, turns byte pieces back into text and takes off the leading mark.
+of units. What a task remembers is bounded; when full, it forgets the less used half. Units that are
+frequent in a sample of the texts go through the lattice once, and every task starts with them: which
+they are changes the cost, never the ids. Decoding joins pieces, turns byte pieces back into text and
+takes off the leading mark.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,7 +32,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serieslake.llm.common import column, text_of
+from serieslake.llm.common import column, small_batches, text_of
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -37,25 +41,33 @@ REMEMBERED_UNITS = 300_000
 DEALT_UNITS = 120_000
 #: Units of texts whose ids are put together at once.
 JOINED_UNITS = 100_000
+#: Texts that are looked at for frequent units, as many of which a task knows from the start, and
+#: units that are counted together there.
+SAMPLED_TEXTS = 10_000
+KNOWN_UNITS = 150_000
+COUNTED_UNITS = 200_000
+#: Units whose longest pieces are looked for together.
+REACHED_UNITS = 20_000
 #: Units this long are cut further, between characters that no piece holds side by side.
 LONG_UNIT = 64
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-#: Size of the tables that bound substrings; a small one costs time only.
-REACH_BITS = 19
-_ODD = np.random.default_rng(5).integers(0, 2**63, 5, np.uint64) * np.uint64(2) + np.uint64(1)
+#: Size of the tables that sort out most substrings which are no pieces; a small one costs time only.
+REACH_BITS = 18
+_ODD = np.random.default_rng(5).integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 #: Spaces and the letters or other marks that follow. Where a vocabulary has pieces that hold both
 #: letters and marks, words are not cut between them.
 _FINE = re.compile(rf" *[{_LATIN}]+| *[^{_LATIN} \n]+| +|\n")
 _COARSE = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 
 
-def _windows(text: str, size: int) -> np.ndarray:
-    """For every character a hash of the last ``size`` characters, its own included."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    total = np.zeros(len(codes), np.uint64)
-    for k in range(min(size, len(codes))):
-        total[k:] += codes[: len(codes) - k] * _ODD[k]
-    return (total * _ODD[4]) >> np.uint64(64 - REACH_BITS)
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its count."""
+    ends = np.cumsum(counts)
+    return np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Vocabulary:
@@ -90,12 +102,35 @@ class Vocabulary:
         #: Scores by id; the last one is that of a character without a piece.
         self.score_of = np.full(len(self.pieces) + 1, self.unknown)
         self.score_of[self.normal] = [self.scores[k] for k in self.normal]
-        #: Longest piece with the same last three or four characters, by their hash.
-        self._reach = {size: np.zeros(1 << REACH_BITS, np.int32) for size in (3, 4)}
-        for size, longest in self._reach.items():
-            ends = [piece[-size:] for piece in whole if len(piece) >= size]
-            lengths = [len(piece) for piece in whole if len(piece) >= size]
-            np.maximum.at(longest, _windows("".join(ends), size)[size - 1 :: size], lengths)
+        if self.longest > len(_ODD):
+            raise ValueError("a piece is too long")
+        #: Pieces that end a piece, itself included, by length: of piece k those numbered from
+        #: ``first_ending[k]``, ``endings[k]`` of them. A last character without a piece is unknown.
+        self.endings = np.zeros(len(self.pieces), np.int64)
+        self.first_ending = np.zeros(len(self.pieces), np.int64)
+        ids = {self.pieces[k]: k for k in self.normal}
+        back, ended = [], []
+        for k in self.normal:
+            piece, self.first_ending[k] = self.pieces[k], len(back)
+            for size in range(1, len(piece) + 1):
+                ending = ids.get(piece[-size:], -1 - ord(piece[-1]) if size == 1 else None)
+                if ending is not None:
+                    back.append(size)
+                    ended.append(ending)
+            self.endings[k] = len(back) - self.first_ending[k]
+        self.ending_back, self.ending_id = np.array(back, np.int64), np.array(ended, np.int64)
+        #: By length: hashes of the pieces in order, their characters, and a table of hashes' first bits.
+        self._hashed = {}
+        for size in sorted({len(piece) for piece in whole if len(piece) > 1}):
+            body = _codes("".join(piece for piece in whole if len(piece) == size)).reshape(-1, size)
+            hashes = (body[:, ::-1].astype(np.uint64) * _ODD[:size]).sum(axis=1, dtype=np.uint64)
+            order = np.argsort(hashes)
+            hashes, body = hashes[order], body[order]
+            if (hashes[1:] == hashes[:-1]).any():
+                raise ValueError("two pieces share a hash")
+            table = np.zeros(1 << REACH_BITS, bool)
+            table[hashes >> np.uint64(64 - REACH_BITS)] = True
+            self._hashed[size] = hashes, body, table
 
     def units(self, text: str) -> list[str]:
         """The text, with the leading mark's space, in parts that no piece crosses."""
@@ -107,15 +142,39 @@ class Vocabulary:
         return [part for unit in found for part in self._cut(unit)]
 
     def reach(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """For every place of every unit the length of the longest piece that could end there, and
-        the units' lengths: longer pieces differ in their last three or four characters. Ends that
-        share a hash share the larger length."""
+        """For every place of every unit the length of the longest piece that ends there (1 where
+        none does), and the units' lengths."""
+        parts = [self._reach(units[k : k + REACHED_UNITS]) for k in range(0, len(units), REACHED_UNITS)]
+        longest, lengths = zip(*parts) if parts else ([np.zeros(0, np.int32)],) * 2
+        return np.concatenate(longest), np.concatenate(lengths)
+
+    def _reach(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         lengths = np.fromiter(map(len, units), np.int32, len(units))
-        body = "".join(units)
-        place = np.arange(1, len(body) + 1, dtype=np.int32)
+        codes = _codes("".join(units).replace(MARK, " "))
+        place = np.arange(1, len(codes) + 1, dtype=np.int32)
         place -= np.repeat(np.cumsum(lengths, dtype=np.int32) - lengths, lengths)
-        few = np.clip(self._reach[3][_windows(body, 3)], 2, 3)
-        return np.minimum(np.maximum(self._reach[4][_windows(body, 4)], few), place), lengths
+        wide = codes.astype(np.uint64)
+        at, total, likely = np.arange(len(codes)), wide * _ODD[0], []
+        for size in range(2, self.longest + 1):
+            far = place[at] >= size
+            at, total = at[far], total[far]
+            total += wide[at - (size - 1)] * _ODD[size - 1]
+            if size in self._hashed:
+                hit = self._hashed[size][2][total >> np.uint64(64 - REACH_BITS)]
+                likely.append((size, at[hit], total[hit]))
+        longest = np.ones(len(codes), np.int32)
+        for size, ends, own in reversed(likely):
+            left = longest[ends] == 1
+            ends, own = ends[left], own[left]
+            hashes, body, _ = self._hashed[size]
+            found = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+            equal = hashes[found] == own
+            ends, found = ends[equal], found[equal]
+            same = np.ones(len(ends), bool)
+            for k in range(size):
+                same &= codes[ends - (size - 1 - k)] == body[found, k]
+            longest[ends[same]] = size
+        return longest, lengths
 
     def _cut(self, unit: str) -> list[str]:
         if len(unit) <= LONG_UNIT:
@@ -146,54 +205,44 @@ def vocabulary_of(path: str) -> Vocabulary:
 
 
 def piece_table(spark: SparkSession, path: str) -> DataFrame:
+    """piece, id, scores: those of the pieces that end the piece, by length (null: no piece)."""
     known = vocabulary_of(path)
-    rows = [(known.pieces[k], k, known.scores[k]) for k in known.normal]
-    return spark.createDataFrame(rows, "piece string, id int, score double")
+    rows = []
+    for k in known.normal:
+        scores = [None] * len(known.pieces[k])
+        first = known.first_ending[k]
+        for place in range(first, first + known.endings[k]):
+            scores[known.ending_back[place] - 1] = float(known.score_of[max(known.ending_id[place], -1)])
+        rows.append((known.pieces[k], k, scores))
+    return spark.createDataFrame(rows, "piece string, id int, scores array<double>")
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges that follow one another in a task, as one row per ``seq``.
+    """Places that follow one another in a task, as one row per ``seq``.
 
-    ``places`` lists, for every place of the unit, the scores of the pieces that end there by their
-    lengths (null where there is no piece); ``edges`` holds end, length and id of each, four bytes
-    a number. Rows of no unit pass as they are.
+    ``places`` lists the scores of every place of the unit; ``ends`` holds the ids of the longest
+    pieces there, four bytes a number. Rows of no unit pass as they are.
     """
 
     def packed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(parts).combine_chunks()
         seq = rows["seq"].to_numpy()
         if (np.diff(seq) < 0).any():
-            raise ValueError("edges of a unit are apart")
-        new_unit = np.r_[True, np.diff(seq) != 0]
-        firsts = np.flatnonzero(new_unit)
-        end, back, ids = (rows[k].fill_null(0).to_numpy() for k in ("end", "back", "id"))
-        score = rows["score"].fill_null(0.0).to_numpy()
-        # Edges of a place come by length, so its last edge is its longest.
-        new_place = new_unit | np.r_[True, np.diff(end) != 0]
-        places = np.flatnonzero(new_place)
-        widths = back[np.r_[places[1:], len(seq)] - 1].astype(np.int64)
-        starts = np.cumsum(widths) - widths
-        missing = np.ones(int(widths.sum()), bool)
-        scores = np.zeros(len(missing))
-        is_edge = back > 0
-        at = (starts[np.cumsum(new_place) - 1] + back - 1)[is_edge]
-        missing[at], scores[at] = False, score[is_edge]
-        by_place = pa.ListArray.from_arrays(
-            pa.array(np.r_[starts, len(scores)].astype(np.int32)), pa.array(scores, mask=missing)
-        )
-        by_unit = pa.ListArray.from_arrays(
-            pa.array(np.r_[np.searchsorted(places, firsts), len(places)].astype(np.int32)), by_place
-        )
-        body = np.column_stack([end, back, ids]).astype("<i4").tobytes()
-        edges = pa.LargeBinaryArray.from_buffers(
+            raise ValueError("places of a unit are apart")
+        firsts = np.flatnonzero(np.r_[True, np.diff(seq) != 0])
+        borders = np.r_[firsts, len(seq)]
+        scores, ids = (rows[name].combine_chunks() for name in ("scores", "id"))
+        by_unit = pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), scores)
+        body = ids.fill_null(0).to_numpy().astype("<i4").tobytes()
+        ends = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(),
             len(firsts),
-            [None, pa.py_buffer((np.r_[firsts, len(seq)] * 12).astype(np.int64)), pa.py_buffer(body)],
+            [None, pa.py_buffer((borders * 4).astype(np.int64)), pa.py_buffer(body)],
         ).cast(pa.binary())
-        kept = rows.drop_columns(["seq", "end", "back", "score", "id"]).take(pa.array(firsts))
+        kept = rows.drop_columns(["seq", "scores", "id"]).take(pa.array(firsts))
         columns = [c.combine_chunks() for c in kept.columns]
         return pa.RecordBatch.from_arrays(
-            [*columns, by_unit, edges], [*kept.column_names, "places", "edges"]
+            [*columns, by_unit, ends], [*kept.column_names, "places", "ends"]
         )
 
     held: list[pa.RecordBatch] = []
@@ -212,74 +261,74 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _best_scores(rows: DataFrame, path: str) -> DataFrame:
-    """``rows`` with edges and best: the lattice of ``unit`` and the best score to each of its
-    places, the last place first (an empty list where the unit is null).
+    """``rows`` with ends and best: the longest pieces that end at the places of ``unit``, and the
+    best score to each place, the last place first (an empty list where the unit is null).
 
-    ``seq`` numbers the rows of a task upwards and ``reach`` bounds the substrings that end at each
-    place. Edges are exploded and joined to the broadcast pieces where the row is, so a unit's
-    edges follow one another and are grouped without a shuffle. ``unit``, ``reach`` and ``seq`` are
+    ``seq`` numbers the rows of a task upwards and ``reach`` has the lengths of the longest pieces.
+    Places are exploded and joined to the broadcast pieces where the row is, so those of a unit
+    follow one another and are grouped without a shuffle. ``unit``, ``reach`` and ``seq`` are
     not returned.
     """
     known = vocabulary_of(path)
     others = [name for name in rows.columns if name not in ("unit", "reach", "seq")]
-    # Two plain explodes stay in compiled code, which a function over nested arrays does not.
     exploded = (
         rows.withColumn("marked", F.translate("unit", " ", MARK))
         .select("seq", *others, "marked", F.posexplode_outer("reach").alias("place", "most"))
-        .withColumn("lengths", F.expr("if(most IS NULL, NULL, sequence(1, most))"))
-        .select("seq", *others, "marked", "place", F.explode_outer("lengths").alias("back"))
-        .withColumn("end", F.col("place") + 1)
-        .withColumn("piece", F.expr("substring(marked, end - back + 1, back)"))
+        .withColumn("piece", F.expr("substring(marked, place + 2 - most, most)"))
         .drop("marked", "place")
     )
     # The piece table has as many rows as the vocabulary file, whatever the corpus. A character
     # without a piece is known by its code point, as a negative id.
     edges = (
         exploded.join(F.broadcast(piece_table(rows.sparkSession, path)), "piece", "left")
-        .where("id IS NOT NULL OR back = 1 OR back IS NULL")
         .select(
             *others,
             "seq",
-            "end",
-            "back",
-            F.coalesce("score", F.lit(known.unknown)).alias("score"),
+            F.when(F.col("most").isNotNull(), F.coalesce("scores", F.array(F.lit(known.unknown)))).alias("scores"),
             F.coalesce("id", -1 - F.ascii("piece")).alias("id"),
         )
     )
     kept = ", ".join(f"{name} {kind}" for name, kind in edges.select(*others).dtypes)
-    grouped = edges.mapInArrow(_grouped, f"{kept}, places array<array<double>>, edges binary")
+    grouped = edges.mapInArrow(_grouped, f"{kept}, places array<array<double>>, ends binary")
     # Most places end few and short pieces; their scores are compared without inner functions.
-    near = ", ".join(f"get(best, {k}) + get(scores, {k})" for k in range(4))
-    fold = f"""aggregate(places, array(0D), (best, scores) -> concat(array(if(size(scores) <= 4,
-        greatest({near}),
-        array_max(zip_with(slice(best, 1, size(scores)), scores, (b, s) -> b + s)))), best))"""
+    near = [f"get(best, {k}) + get(scores, {k})" for k in range(4)]
+    short = " ".join(f"WHEN {n} THEN greatest({', '.join(near[:n])})" for n in (2, 3, 4))
+    fold = f"""aggregate(places, array(0D), (best, scores) -> array_prepend(best,
+        CASE size(scores) {short} WHEN 1 THEN {near[0]}
+        ELSE array_max(zip_with(slice(best, 1, size(scores)), scores, (b, s) -> b + s)) END))"""
     return grouped.select(
-        *others, "edges", F.expr(f"if(size(places[0]) > 0, {fold}, array())").alias("best")
+        *others, "ends", F.expr(f"if(size(places[0]) > 0, {fold}, array())").alias("best")
     )
 
 
-def _paths(known: Vocabulary, edges: pa.Array, best: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _paths(known: Vocabulary, ends: pa.Array, best: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the best paths of units, one after another, and how many each has. Of equal scores
     the longest last piece is taken."""
-    body = np.frombuffer(b"".join(edges.to_pylist()), "<i4").reshape(-1, 3)
-    end, back, ids = (body[:, k].astype(np.int64) for k in range(3))
-    of_unit = np.repeat(np.arange(len(edges)), pa.compute.binary_length(edges).to_numpy() // 12)
+    longest = np.frombuffer(b"".join(ends.to_pylist()), "<i4").astype(np.int64)
     scores = best.flatten().to_numpy()
     sizes = best.value_lengths().to_numpy().astype(np.int64)
     # Where a unit's score to its very beginning is: from there the places lie backwards.
     origin = np.cumsum(sizes) - 1
-    there = origin[of_unit] - end
-    fits = scores[there + back] + known.score_of[np.maximum(ids, -1)] == scores[there]
-    choice = np.zeros(len(scores), np.int64)
-    choice[there[fits]] = np.flatnonzero(fits)  # the last one, as edges come by length
-    place, unit = origin - sizes + 1, np.arange(len(sizes))
-    counts, steps = np.zeros(len(sizes), np.int64), []
+    width = pa.compute.binary_length(ends).to_numpy().astype(np.int64) // 4
+    before = np.cumsum(width) - width - 1
+    unit = np.flatnonzero(sizes > 1)
+    place, counts, steps = sizes[unit] - 1, np.zeros(len(sizes), np.int64), []
     while len(unit):
-        taken = choice[place]
-        steps.append((unit, ids[taken]))
+        last = longest[before[unit] + place]
+        back, taken = np.ones(len(unit), np.int64), last.copy()
+        piece = np.maximum(last, 0)
+        edges = np.where(last < 0, 0, known.endings[piece])
+        edge = _spread(known.first_ending[piece], edges)
+        own = np.repeat(np.arange(len(unit)), edges)
+        there = (origin[unit] - place)[own]
+        score = known.score_of[np.maximum(known.ending_id[edge], -1)]
+        fits = scores[there + known.ending_back[edge]] + score == scores[there]
+        own, edge = own[fits], edge[fits]
+        back[own], taken[own] = known.ending_back[edge], known.ending_id[edge]  # the last, so the longest
+        steps.append((unit, taken))
         counts[unit] += 1
-        place = place + back[taken]
-        going = place < origin[unit]
+        place = place - back
+        going = place > 0
         place, unit = place[going], unit[going]
     out, ends = np.zeros(counts.sum(), np.int32), np.cumsum(counts)
     for k, (units, found) in enumerate(steps):
@@ -289,18 +338,21 @@ def _paths(known: Vocabulary, edges: pa.Array, best: pa.Array) -> tuple[np.ndarr
 
 def encode_units(units: DataFrame, path: str) -> DataFrame:
     """unit, ids: the best path through each unit's lattice, for the rows of ``units``."""
-    longest = vocabulary_of(path).longest
-    rows = units.select(
-        "unit",
-        F.expr(f"transform(sequence(1, length(unit)), k -> least(k, {longest}))").alias("reach"),
-        F.col("unit").alias("own"),
-        F.monotonically_increasing_id().alias("seq"),
+
+    def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, seq = batch.columns
+            reach = _listed(*vocabulary_of(path).reach(own.to_pylist()), 0)
+            yield pa.RecordBatch.from_arrays([own, own, seq, reach], ["unit", "own", "seq", "reach"])
+
+    rows = units.select("unit", F.monotonically_increasing_id().alias("seq")).mapInArrow(
+        reached, "unit string, own string, seq long, reach array<int>"
     )
 
     def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                ids, counts = _paths(vocabulary_of(path), batch.column("edges"), batch.column("best"))
+                ids, counts = _paths(vocabulary_of(path), batch.column("ends"), batch.column("best"))
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), ids)
                 yield pa.RecordBatch.from_arrays([batch.column("own"), lists], ["unit", "ids"])
 
@@ -310,10 +362,11 @@ def encode_units(units: DataFrame, path: str) -> DataFrame:
 class _Numbers(dict):
     """Numbers units and lists the new ones. Numbers of forgotten units are given again."""
 
-    def __init__(self):
+    def __init__(self, known: list[str]):
+        super().__init__(zip(known, range(len(known))))
         self.fresh: list[str] = []
         self.free: list[int] = []
-        self.uses = np.zeros(0, np.int64)
+        self.uses = np.zeros(len(known), np.int64)
 
     def __missing__(self, unit: str) -> int:
         self.fresh.append(unit)
@@ -345,12 +398,58 @@ def _listed(flat: np.ndarray, lengths: np.ndarray, nulls: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), flat, mask=absent)
 
 
-def _deal(path: str, remembered: int):
-    """Texts as numbers of units. A unit that the task does not remember comes first, as a row of
-    its own; ``epoch`` counts how often the task has forgotten units, whose numbers come again."""
+#: What comes before a text's numbers: the digest of the text, and the count of the numbers that
+#: the new units ahead of it get.
+DIGEST_BYTES, HEAD_BYTES = 32, 36
+
+
+def frequent_units(
+    docs: DataFrame, path: str, text_column: str, most: int
+) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Units that repeat most in a sample of the texts, how many ids each has, and all their ids."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, times = vocabulary_of(path), Counter()
+
+        def repeated() -> pa.RecordBatch:
+            found = [(unit, n) for unit, n in times.items() if n > 1]
+            times.clear()
+            columns = [pa.array([unit for unit, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["unit", "times"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                times.update(known.units(text))
+                if len(times) > COUNTED_UNITS:
+                    yield repeated()
+        yield repeated()
+
+    texts = docs.select(text_of(text_column).alias("text"))
+    with small_batches(docs.sparkSession):
+        share = min(1.0, SAMPLED_TEXTS / max(texts.count(), 1))
+        frequent = (
+            texts.sample(share, 5)
+            .mapInArrow(counted, "unit string, times long")
+            .groupBy("unit")
+            .agg(F.sum("times").alias("times"))
+            .orderBy(F.desc("times"), "unit")
+            .limit(most)
+            .select("unit")
+            .repartition(32, "unit")
+        )
+        rows = encode_units(frequent, path).toArrow().combine_chunks()
+    ids = rows["ids"].combine_chunks() if rows.num_rows else pa.array([], pa.list_(pa.int32()))
+    sizes = ids.value_lengths().to_numpy().astype(np.int64)
+    return rows["unit"].to_pylist(), sizes, ids.flatten().to_numpy()
+
+
+def _deal(path: str, remembered: int, start):
+    """Texts as numbers of units. Units that the task does not remember come first, as rows of their
+    own that hold nothing else; their numbers come with the first text after them. Numbers of
+    forgotten units are given again."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, numbers, epoch, seq = vocabulary_of(path), _Numbers(), 0, 0
+        known, numbers, seq = vocabulary_of(path), _Numbers(start.value), 0
 
         def given(ids: pa.Array, digests: pa.Array, codes: list[np.ndarray]) -> pa.RecordBatch:
             nonlocal seq
@@ -359,24 +458,27 @@ def _deal(path: str, remembered: int):
             n = before + after
             seq += n
             numbers.count(np.concatenate(codes))
+            fresh = np.array([numbers[unit] for unit in units], np.int32)
+            news = [fresh, *[fresh[:0]] * (after - 1)]
+            bodies = [
+                bytes.fromhex(digest) + np.int32(len(new)).tobytes() + new.tobytes() + own.tobytes()
+                for digest, new, own in zip(digests.to_pylist(), news, codes)
+            ]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(seq - n, seq)),
-                    pa.array(np.full(n, epoch, np.int32)),
-                    pa.array([numbers[unit] for unit in units] + [None] * after, pa.int32()),
                     pa.array(units + [None] * after, pa.string()),
                     _listed(*known.reach(units), after),
                     pa.concat_arrays([pa.nulls(before, ids.type), ids]),
-                    pa.concat_arrays([pa.nulls(before, digests.type), digests]),
-                    pa.array([None] * before + [own.tobytes() for own in codes], pa.binary()),
+                    pa.array([None] * before + bodies, pa.binary()),
                 ],
-                ["seq", "epoch", "number", "unit", "reach", "doc_id", "text_sha256", "codes"],
+                ["seq", "unit", "reach", "doc_id", "codes"],
             )
 
         for batch in batches:
             codes, first, held = [], 0, 0
-            for k, text in enumerate(batch.column("text")):
-                own = known.units(text.as_py())
+            for k, text in enumerate(batch.column("text").to_pylist()):
+                own = known.units(text)
                 codes.append(np.fromiter(map(numbers.__getitem__, own), np.int32, len(own)))
                 held += len(own)
                 if held > DEALT_UNITS or len(numbers) > remembered or k == batch.num_rows - 1:
@@ -385,60 +487,66 @@ def _deal(path: str, remembered: int):
                     codes, first, held = [], k + 1, 0
                     if len(numbers) > remembered:
                         numbers.forget(remembered // 2)
-                        epoch += 1
 
     return deal
 
 
-def _assembled(path: str):
+def _assembled(path: str, start):
     """Numbers of units replaced by the units' ids, whose lattices came before in the same task."""
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, starts, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        sizes, flat = start.value
+        starts = np.cumsum(sizes) - sizes
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def learn(units: pa.RecordBatch) -> None:
+        def learn(numbers: np.ndarray) -> None:
             nonlocal flat, starts, sizes
-            ids, counts = _paths(vocabulary_of(path), units.column("edges"), units.column("best"))
-            numbers = units.column("number").to_numpy()
+            counts = np.concatenate([own for _, own in waiting])
+            if len(counts) != len(numbers):
+                raise ValueError("units and their numbers are apart")
             more = max(int(numbers.max()) + 1 - len(sizes), 0)
-            starts, sizes = (np.r_[old, np.zeros(more, np.int64)] for old in (starts, sizes))
+            starts, sizes = (np.concatenate([old, np.zeros(more, np.int64)]) for old in (starts, sizes))
             starts[numbers] = len(flat) + np.cumsum(counts) - counts
             sizes[numbers] = counts
-            flat = np.concatenate([flat, ids])
+            flat = np.concatenate([flat, *[ids for ids, _ in waiting]])
+            waiting.clear()
             if len(flat) > 2 * sizes.sum() + 1_000_000:  # mostly paths of forgotten units
-                offsets = np.cumsum(sizes) - sizes
-                flat = flat[np.repeat(starts - offsets, sizes) + np.arange(sizes.sum())]
-                starts = offsets
+                flat = flat[_spread(starts, sizes)]
+                starts = np.cumsum(sizes) - sizes
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            epochs = batch.column("epoch").to_numpy()
-            bounds = np.r_[np.flatnonzero(np.r_[True, np.diff(epochs) != 0]), len(epochs)]
+            is_unit = batch.column("codes").is_null().to_numpy(zero_copy_only=False)
+            bounds = np.r_[np.flatnonzero(np.r_[True, np.diff(is_unit)]), len(is_unit)]
             for low, high in zip(bounds[:-1], bounds[1:]):
                 part = batch.slice(low, high - low)
-                is_unit = part.column("codes").is_null()
-                units, docs = part.filter(is_unit), part.filter(pa.compute.invert(is_unit))
-                if units.num_rows:
-                    learn(units)
-                if not docs.num_rows:
+                if is_unit[low]:
+                    waiting.append(_paths(vocabulary_of(path), part.column("ends"), part.column("best")))
                     continue
-                counts = pa.compute.binary_length(docs.column("codes")).to_numpy() // 4
+                bodies = part.column("codes").to_pylist()
+                if waiting:
+                    numbers = np.frombuffer(bodies[0], np.int32, offset=DIGEST_BYTES)
+                    numbers, rest = numbers[1 : 1 + numbers[0]], numbers[1 + numbers[0] :]
+                    bodies[0] = bodies[0][:HEAD_BYTES] + rest.tobytes()
+                    learn(numbers)
+                counts = np.array([(len(body) - HEAD_BYTES) // 4 for body in bodies], np.int64)
                 # A few texts at a time, as their ids take many times the room of the numbers.
-                group = (np.cumsum(counts, dtype=np.int64) - counts) // JOINED_UNITS
+                group = (np.cumsum(counts) - counts) // JOINED_UNITS
                 cuts = np.r_[np.flatnonzero(np.r_[True, np.diff(group) != 0]), len(counts)]
                 for first, last in zip(cuts[:-1], cuts[1:]):
-                    some = docs.slice(first, last - first)
-                    numbers = np.frombuffer(b"".join(some.column("codes").to_pylist()), np.int32)
+                    some = bodies[first:last]
+                    numbers = np.frombuffer(b"".join([body[HEAD_BYTES:] for body in some]), np.int32)
                     length = sizes[numbers]
                     ends = np.r_[0, np.cumsum(length)]
-                    take = np.repeat(starts[numbers] - ends[:-1], length) + np.arange(ends[-1])
-                    offsets = ends[np.r_[0, np.cumsum(counts[first:last], dtype=np.int64)]]
+                    offsets = ends[np.r_[0, np.cumsum(counts[first:last])]]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            some.column("doc_id"),
-                            some.column("text_sha256"),
-                            pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), flat[take]),
+                            part.column("doc_id").slice(first, last - first),
+                            pa.array([body[:DIGEST_BYTES].hex() for body in some], pa.string()),
+                            pa.ListArray.from_arrays(
+                                pa.array(offsets.astype(np.int32)), flat[_spread(starts[numbers], length)]
+                            ),
                         ],
                         ["doc_id", "text_sha256", "ids"],
                     )
@@ -464,13 +572,14 @@ def encode_documents(
         text_of(text_column).alias("text"),
     )
     kind = dict(slim.dtypes)["doc_id"]
+    units, *paths = frequent_units(docs, path, text_column, min(KNOWN_UNITS, remembered // 2))
+    known, coded = (docs.sparkSession.sparkContext.broadcast(part) for part in (units, paths))
     dealt = slim.mapInArrow(
-        _deal(path, remembered),
-        "seq long, epoch int, number int, unit string, reach array<int>, "
-        f"doc_id {kind}, text_sha256 string, codes binary",
+        _deal(path, remembered, known),
+        f"seq long, unit string, reach array<int>, doc_id {kind}, codes binary",
     )
     scored = _best_scores(dealt, path)
-    return scored.mapInArrow(_assembled(path), f"doc_id {kind}, text_sha256 string, ids array<int>")
+    return scored.mapInArrow(_assembled(path, coded), f"doc_id {kind}, text_sha256 string, ids array<int>")
 
 
 def decoded(ids: Column, path: str) -> Column:

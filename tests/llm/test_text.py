@@ -237,6 +237,25 @@ def test_pieces_best_path_by_brute_force(spark):
     for r in rows:
         assert score(known, r.ids) == best(r.unit.replace(" ", pieces.MARK))
 
+def test_pieces_reach_is_the_longest_piece(spark):
+    """Every place is one row of the lattice, with the longest piece that ends there."""
+    path = vocabulary("piece_bpe_32k.model")
+    known = pieces.vocabulary_of(path)
+    whole = {known.pieces[k].replace(pieces.MARK, " ") for k in known.normal}
+    units = [" the", "internationalization", " of", "anties", " 12", "é", "漢𝄞字", "\n", "zqx", " " * 20]
+    wanted = [
+        max([n for n in range(1, end + 1) if unit[end - n : end] in whole], default=1)
+        for unit in units
+        for end in range(1, len(unit) + 1)
+    ]
+    reach, lengths = known.reach(units)
+    assert reach.tolist() == wanted and lengths.tolist() == [len(unit) for unit in units]
+    table = {r.piece: r.scores for r in pieces.piece_table(spark, path).collect()}
+    by_piece = {known.pieces[k]: known.scores[k] for k in known.normal}
+    for piece in [pieces.MARK + "the", *list(by_piece)[::997]]:
+        ends = [by_piece.get(piece[-n:], known.unknown if n == 1 else None) for n in range(1, len(piece) + 1)]
+        assert table[piece] == ends
+
 
 def brute_plain(text):
     """The contract's patterns as they stand."""
