@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from serieslake.llm import exact_dedup, jaccard, mixing, pieces, quality
-from serieslake.llm.common import keep_batches_light, select_rows, small_batches, table
+from serieslake.llm.common import keep_batches_light, keep_batches_small, select_rows, table
 from serieslake.llm.queries import vocabulary
 from serieslake.session import cut_lineage
 
@@ -18,9 +18,8 @@ from serieslake.session import cut_lineage
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the classifier rejects (a score below one half)."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    kept = docs.where(quality.score_column(docs, model) >= 0.5)
-    with small_batches(spark):
-        return cut_lineage(kept, "kept")
+    keep_batches_small(spark)  # the rows are computed when the caller writes them
+    return docs.where(quality.score_column(docs, model) >= 0.5)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

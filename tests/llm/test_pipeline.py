@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from serieslake.llm import ORACLES, QUERIES
-from serieslake.llm.common import BATCH_BYTES, TEXT_ROWS, table
+from serieslake.llm.common import BATCH_BYTES, TEXT_ROWS, digest_of, select_rows, table
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="shared tables not present")
@@ -112,3 +112,23 @@ def test_encoding_stage_takes_texts_by_bytes(spark, monkeypatch):
         found = [r.ids for r in corpus_pipeline.encode(spark, docs, FOLDER).collect()]
         assert len(found) == rows and max(size for _, size in found) <= 1.5 * BATCH_BYTES
         assert length > 2 or found[0][0] == rows
+
+
+def test_quality_stage_writes_no_copy_of_the_texts(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(corpus_pipeline, "cut_lineage", lambda frame, name: names.append(name) or frame)
+    docs = table(spark, FOLDER, "documents")
+    kept = corpus_pipeline.keep_quality(spark, docs, FOLDER)
+    assert "kept" not in names and 0 < kept.count() <= docs.count()
+
+
+def test_rows_are_selected_with_one_shuffle_of_the_texts(spark):
+    docs = table(spark, FOLDER, "documents")
+    plan = docs.select("doc_id", digest_of().alias("digest"), F.lit(1).alias("copies"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = select_rows(docs, plan)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("Exchange hashpartitioning") <= 3
